@@ -8,7 +8,7 @@ from basketry.functions.dates import (
     parse_timestamp,
 )
 from basketry.functions.keys import surrogate_key
-from basketry.functions.numbers import greatest_strict, mean_of, ratio
+from basketry.functions.numbers import greatest_strict, mean_of, ratio, rounded_ratio
 from basketry.functions.text import address_part, is_blank
 
 __all__ = [
@@ -22,6 +22,7 @@ __all__ = [
     "months_before",
     "parse_timestamp",
     "ratio",
+    "rounded_ratio",
     "surrogate_key",
     "to_int",
 ]

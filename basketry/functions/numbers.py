@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,3 +22,16 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def mean_of(total: Column, count: Column) -> Column:
     """Mean from an exact sum and a count, so that partial sums never lose cents."""
     return ratio(total, count)
+
+
+def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+    """Quotient of two exact numbers rounded half away from zero, as a decimal.
+
+    Worked out in whole units, because Spark cuts the scale of a wide decimal
+    division before ``round`` could see the digits.
+    """
+    scaled = F.abs(numerator) * F.lit(2 * 10**digits)
+    size = F.abs(denominator)
+    units = F.call_function("div", scaled + size, size * F.lit(2))
+    signed = units * F.signum(numerator).cast("bigint") * F.signum(denominator).cast("bigint")
+    return (signed * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(24,{digits})")

@@ -71,7 +71,8 @@ class DriverTables:
             "p_name AS product_name",
             "concat(p_name, ' by ', p_brand) AS description",
             "p_retailprice AS base_price",
-            "p_retailprice AS sale_price",
+            "((cast(round(p_retailprice * 100) AS bigint) * (1 + p_size % 10)) div 10) / 100.0D "
+            "AS sale_price",
             "p_size AS stock_quantity",
             "p_size / 4.0D AS weight_kg",
             "p_size % 7 <> 0 AS is_active",
