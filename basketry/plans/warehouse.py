@@ -6,7 +6,6 @@ from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from basketry.plans import intermediate, marts, staging
 from basketry.schemas import TABLES
@@ -46,7 +45,8 @@ FACTS: dict[str, str | None] = {
 
 
 class Warehouse:
-    """Models over raw tables. ``w["orders"]`` composes the plan and runs nothing.
+    """Models over raw tables. ``w["orders"]`` composes the plan and runs nothing;
+    ``w["raw_orders"]`` is the raw table of that name.
 
     A model that has been published is read from its table by the models after it, as
     in a layered refresh; otherwise plans compose and Catalyst prunes across layers.
@@ -74,8 +74,8 @@ class Warehouse:
 
     def _build(self, name: str) -> DataFrame:
         w, ts = self, self.run_ts
-        if name in TABLES:
-            return self.raw[name]()
+        if name.startswith("raw_"):
+            return self.raw[name.removeprefix("raw_")]()
         if name in STAGING:
             table = name.removeprefix("stg_")
             return staging.stage(self.raw[table](), table)
@@ -201,9 +201,9 @@ class Warehouse:
         files and lets AQE split a day that is too large for one task.
         """
         path = f"{root.rstrip('/')}/{name}"
-        df = self[name]
+        df = self._build(name)  # from its inputs, never from the table being replaced
         if day:
-            writer = df.hint("rebalance", F.col(day)).write.partitionBy(day)
+            writer = df.hint("rebalance", day).write.partitionBy(day)
         else:
             writer = df.write
         writer.mode("overwrite").parquet(path)
