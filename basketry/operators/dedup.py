@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def row_fingerprint(columns: Sequence[str]) -> Column:
-    """Stable hash of a whole row, the last tie-break of every order below."""
-    return F.xxhash64(*[F.col(c) for c in columns])
-
-
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row per key. The ``row_number() = 1`` filter is also applied before the
     shuffle (window group limit), so a hot key sends one row per map task."""
@@ -42,5 +37,6 @@ def drop_duplicate_keys(
         order.append((F.col(present["data_source"]) == "latest").desc_nulls_last())
     if date_column and date_column.lower() in present:
         order.append(F.col(present[date_column.lower()]).desc_nulls_last())
-    order.append(row_fingerprint(df.columns))
+    # the whole row as last tie-break, so the winner never depends on the partitioning
+    order += [F.col(c).asc_nulls_first() for c in df.columns]
     return keep_first(df, [present[key.lower()]], order)

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import address_part, is_blank, mean_of, surrogate_key
-from basketry.operators.dedup import keep_first
 
 
 def _run_timestamp(run_ts: datetime) -> Column:
@@ -332,15 +331,12 @@ def latest_review_scores(stg_reviews: DataFrame) -> DataFrame:
     An unknown load time counts as newest; equal times go to the greater review id.
     """
     known = stg_reviews.filter(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
-    return keep_first(
-        known.select("order_id", "product_id", "review_score", "loaded_at", "review_id"),
-        ["order_id", "product_id"],
-        [
-            F.col("loaded_at").desc_nulls_first(),
-            F.col("review_id").desc_nulls_last(),
-            F.col("review_score").desc_nulls_last(),
-        ],
-    ).select("order_id", "product_id", "review_score")
+    newest = F.struct(
+        F.col("loaded_at").isNull(), "loaded_at", "review_id", F.col("review_score").isNotNull()
+    )
+    return known.groupBy("order_id", "product_id").agg(
+        F.max_by("review_score", newest).alias("review_score")
+    )
 
 
 def order_items(
@@ -351,13 +347,23 @@ def order_items(
 ) -> DataFrame:
     """Distinct items of known products, with customer, product groups and review score.
 
-    One inner join to the products both filters and widens; one distinct at the end
-    covers the item duplicates too, and needs no shuffle of its own after the last join.
+    Every side is made distinct before it joins, so the result is distinct by itself:
+    copies of an item are folded in the map tasks, however many there are, and a plan
+    that needs no review score drops that join altogether.
     """
-    groups = products.select("product_id", "category_id", "subcategory_id", "brand_id")
-    buyers = stg_orders.select("order_id", "customer_id")
+    items = stg_order_items.select(
+        "order_item_id",
+        "order_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+        "total_price",
+        "created_at",
+    ).distinct()
+    groups = products.select("product_id", "category_id", "subcategory_id", "brand_id").distinct()
+    buyers = stg_orders.select("order_id", "customer_id").distinct()
     return (
-        stg_order_items.join(groups, "product_id")
+        items.join(groups, "product_id")
         .join(buyers, "order_id", "left")
         .join(latest_review_scores(stg_reviews), ["order_id", "product_id"], "left")
         .select(
@@ -374,7 +380,6 @@ def order_items(
             "review_score",
             "created_at",
         )
-        .distinct()
     )
 
 

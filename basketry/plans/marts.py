@@ -498,12 +498,12 @@ def fct_product_performance(
         revenue > 0, rounded_ratio((revenue - units * F.col("base_price")) * 100, revenue, 2)
     ).otherwise(F.lit(0).cast("decimal(24,2)"))
     trailing = Window.partitionBy("product_id").orderBy("date").rowsBetween(-30, 0)
-    velocity = F.avg("units_sold").over(trailing)
-    needed = F.col("stock_level") <= greatest_strict(velocity * 7, F.lit(10.0))
+    needed = F.col("stock_level") <= greatest_strict(F.col("velocity") * 7, F.lit(10.0))
     return (
         daily.join(shelf, "product_id")
         .withColumn("units_sold", F.col("units") * F.col("copies"))
         .withColumn("revenue", F.col("sales") * F.col("copies"))
+        .withColumn("velocity", F.avg("units_sold").over(trailing))
         .select(
             "product_id",
             "date",

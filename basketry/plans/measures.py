@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions import days_between, ratio
+from basketry.functions import days_between, ratio, rounded_ratio
 from basketry.operators.adjacency import adjacent_pairs
 
 # Age ranges of the customer segments, both ends included.
@@ -214,6 +214,10 @@ def review_sentiment(reviews: DataFrame) -> DataFrame:
     )
 
 
+def _rating(score_sum: Column, scores: Column) -> Column:
+    return F.when(scores > 0, rounded_ratio(score_sum, scores, 1))
+
+
 def refresh_ratings(products: DataFrame, reviews: DataFrame) -> DataFrame:
     """Products with rating and review count from their reviews; unreviewed ones keep theirs."""
     fresh = (
@@ -221,7 +225,7 @@ def refresh_ratings(products: DataFrame, reviews: DataFrame) -> DataFrame:
         .groupBy("product_id")
         .agg(
             F.count(F.lit(1)).alias("_count"),
-            F.round(ratio(F.sum("review_score"), F.count("review_score")), 1).alias("_rating"),
+            _rating(F.sum("review_score"), F.count("review_score")).alias("_rating"),
         )
     )
     return products.join(fresh, "product_id", "left").select(

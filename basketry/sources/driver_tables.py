@@ -18,15 +18,56 @@ _META = [
 ]
 
 
+# Read schemas, so that opening a table starts no job to infer one.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
+# Near-unique columns of the one table large enough to spread.
+SPREAD_KEYS = {"lineitem": ("l_orderkey", "l_partkey", "l_linenumber")}
+
+
+def spread(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Spread the rows of a table that arrives in fewer files than there are cores.
+
+    A Parquet file with one row group is read by one task, and so is all that follows
+    up to the first shuffle. Tables in many files, the normal case, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= min(cores, 8):
+        return df
+    return df.repartition(cores, *keys)
+
+
 class DriverTables:
     """The eight raw tables over one directory of test Parquet files."""
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        if name not in self._opened:
+            path = f"{self.directory}/{name}.parquet"
+            df = self.spark.read.schema(SCHEMAS[name]).parquet(path)
+            if name in SPREAD_KEYS:
+                df = spread(df, SPREAD_KEYS[name])
+            self._opened[name] = df
+        return self._opened[name]
 
     def _places(self) -> DataFrame:
         nation, region = self.read("nation"), self.read("region")
@@ -112,15 +153,22 @@ class DriverTables:
         )
 
     def orders(self) -> DataFrame:
-        places = (
-            self._places()
+        homes = (
+            self.read("customer")
             .groupBy(F.col("c_custkey").alias("o_custkey"))
+            .agg(F.max("c_nationkey").alias("n_nationkey"))
+        )
+        nations = (
+            self.read("nation")
+            .join(self.read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .groupBy("n_nationkey")
             .agg(F.max(F.concat_ws(", ", "n_name", "r_name")).alias("place"))
         )
         main_street = "concat(o_orderkey, ' Main St, City_', o_custkey % 50, ', ', place)"
         return (
             self.read("orders")
-            .join(places, "o_custkey", "left")
+            .join(homes, "o_custkey", "left")
+            .join(nations, "n_nationkey", "left")
             .selectExpr(
                 "o_orderkey AS order_id",
                 "o_custkey AS customer_id",
