@@ -99,8 +99,8 @@ def run_ingest(
     """Ingest every table: extract with report under ``root``, merged table ``raw_<name>``.
 
     Tables are independent jobs, a few at a time; one that fails is reported and does
-    not stop the others. The extract is written once and the merge reads it back, so
-    the sources are read a single time.
+    not stop the others. The merge reads the written extract back instead of building
+    it again; the report scans the key, date and source columns of the inputs.
     """
     run = run or Run()
 

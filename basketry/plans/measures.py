@@ -96,7 +96,10 @@ def segment_share(customers: DataFrame) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(F.lit("education").alias("attribute"), F.col("education").alias("value")),
-                F.struct(F.lit("channel"), F.col("preferred_channel")),
+                F.struct(
+                    F.lit("channel").alias("attribute"),
+                    F.col("preferred_channel").alias("value"),
+                ),
             )
         ),
     )
@@ -151,7 +154,9 @@ def seasonality(orders: DataFrame, interactions: DataFrame) -> DataFrame:
                     F.struct(
                         F.lit("month").alias("dimension"), F.month("order_date").alias("bucket")
                     ),
-                    F.struct(F.lit("weekday"), F.weekday("order_date")),
+                    F.struct(
+                        F.lit("weekday").alias("dimension"), F.weekday("order_date").alias("bucket")
+                    ),
                 )
             ),
         )

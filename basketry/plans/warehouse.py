@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketry.plans import intermediate, marts, staging
 from basketry.schemas import TABLES
+from basketry.session import ensure_checkpoint_dir
 
 STAGING = [f"stg_{name}" for name in TABLES]
 INTERMEDIATE = [
@@ -189,6 +190,12 @@ class Warehouse:
 
     # materialization
 
+    def pin(self, names: list[str]) -> None:
+        """Build models once for all later readers, kept in the checkpoint folder."""
+        ensure_checkpoint_dir(self.spark)
+        for name in names:
+            self._built[name] = self._build(name).checkpoint()
+
     def as_view(self, name: str) -> DataFrame:
         """Register a model as a temporary view; nothing runs."""
         self[name].createOrReplaceTempView(name)

@@ -9,6 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.operators.audit import date_summary, load_audit
+from basketry.operators.columns import flatten, normalise_dates, stamp
+from basketry.operators.cutover import combine, trim_historic
+from basketry.operators.dedup import drop_duplicate_keys
+from basketry.operators.ids import (
+    fill_missing_key,
+    first_missing_ids,
+    gap_summary,
+    id_gaps,
+    key_range,
+    lost_ids,
+)
+from basketry.operators.merge import append_increment, upsert
+from basketry.operators.quality import Check, run_checks
+from basketry.operators.sampling import refresh_sampled, sample_keys
+from basketry.plans import marts, measures
+from basketry.plans.checks import (
+    INTERMEDIATE_CHECKS,
+    MART_CHECKS,
+    RAW_CHECKS,
+    STAGING_CHECKS,
+)
+from basketry.plans.ingest import Run
 from basketry.plans.warehouse import Warehouse
 from basketry.schemas import TABLES
 from basketry.session import tune
@@ -86,10 +109,264 @@ def _model(model: str, audit: str | None, as_of: date = ORDERS_AS_OF, mode: str
     return run
 
 
+# Extracts for the ingest queries: the historic one is the whole table, the latest one
+# begins at this day and overlaps it.
+LATEST_FROM = "2000-01-01"
+LATEST_RUN = Run("batch-1", datetime(2001, 8, 3))
+
+
+def _order_rows(spark: SparkSession, directory: str) -> DataFrame:
+    return open_warehouse(spark, directory)["stg_orders"].select(
+        "order_id",
+        "customer_id",
+        "order_date",
+        "status",
+        "total_amount",
+        "data_source",
+        "batch_id",
+        "loaded_at",
+    )
+
+
+def _latest_orders(spark: SparkSession, directory: str) -> DataFrame:
+    """The overlap with pending orders settled, plus the newest month under new ids."""
+    recent = _order_rows(spark, directory).filter(
+        F.col("order_date") >= F.lit(LATEST_FROM).cast("timestamp_ntz")
+    )
+    settled = recent.withColumn(
+        "status", F.when(F.col("status") == "P", "O").otherwise(F.col("status"))
+    )
+    added = recent.filter(F.col("order_date") >= F.lit("2001-07-01").cast("timestamp_ntz"))
+    added = added.withColumn("order_id", F.concat(F.lit("N"), "order_id"))
+    both = settled.unionByName(added)
+    return stamp(both, "latest", LATEST_RUN.batch_id, LATEST_RUN.loaded_at)
+
+
+def ingest_cutover(spark: SparkSession, directory: str) -> DataFrame:
+    historic, latest = _order_rows(spark, directory), _latest_orders(spark, directory)
+    return present(combine(trim_historic(historic, latest, "order_date"), latest))
+
+
+def ingest_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    items = open_warehouse(spark, directory)["stg_order_items"]
+    return present(drop_duplicate_keys(items, "order_item_id", "created_at"))
+
+
+def ingest_upsert(spark: SparkSession, directory: str) -> DataFrame:
+    target, batch = _order_rows(spark, directory), _latest_orders(spark, directory)
+    return present(upsert(target, batch, "order_id", "order_date"))
+
+
+def ingest_audit(spark: SparkSession, directory: str) -> DataFrame:
+    historic, latest = _order_rows(spark, directory), _latest_orders(spark, directory)
+    orders = load_audit(
+        combine(trim_historic(historic, latest, "order_date"), latest),
+        latest,
+        "orders",
+        "order_id",
+        "order_date",
+        LATEST_RUN.batch_id,
+        LATEST_RUN.loaded_at,
+    )
+    items = open_warehouse(spark, directory)["stg_order_items"]
+    doubled = load_audit(
+        items,
+        items,
+        "order_items",
+        "order_item_id",
+        "created_at",
+        LATEST_RUN.batch_id,
+        LATEST_RUN.loaded_at,
+    )
+    return present(orders.unionByName(doubled).drop("columns", "data_types"))
+
+
+def incremental_orders(spark: SparkSession, directory: str) -> DataFrame:
+    rows = _order_rows(spark, directory).select("order_id", "order_date", "total_amount")
+    loaded = rows.filter(F.col("order_date") < F.lit(LATEST_FROM).cast("timestamp_ntz"))
+    return present(append_increment(rows, "order_date", loaded))
+
+
+def incremental_customer_orders(spark: SparkSession, directory: str) -> DataFrame:
+    """The mart built up to a day, then extended past its newest date."""
+    w = open_warehouse(spark, directory)
+    loaded = (
+        w["orders"]
+        .select(F.to_date("order_date").alias("order_date"))
+        .filter(F.col("order_date") < F.lit(LATEST_FROM).cast("date"))
+    )
+    return present(
+        marts.fct_customer_orders(
+            w["orders"], w["order_items"], w["reviews_enriched"], RUN_TS, target=loaded
+        ).drop("created_at")
+    )
+
+
+def pk_gaps(spark: SparkSession, directory: str) -> DataFrame:
+    return present(id_gaps(open_warehouse(spark, directory)["stg_order_items"], "order_id"))
+
+
+def pk_gap_summary(spark: SparkSession, directory: str) -> DataFrame:
+    return present(gap_summary(open_warehouse(spark, directory)["stg_order_items"], "order_id"))
+
+
+def first_gaps(spark: SparkSession, directory: str) -> DataFrame:
+    return present(
+        first_missing_ids(open_warehouse(spark, directory)["stg_order_items"], "order_id")
+    )
+
+
+def pk_ranges(spark: SparkSession, directory: str) -> DataFrame:
+    """Key range of the historic and the latest side of an ingest."""
+    w = open_warehouse(spark, directory)
+    ids = w["raw_orders"].select(F.col("order_id").cast("bigint").alias("order_id"), "order_date")
+    recent = ids.filter(F.col("order_date") >= F.lit(LATEST_FROM).cast("timestamp_ntz"))
+    historic = key_range(ids, "order_id").withColumn("side", F.lit("historic"))
+    return present(
+        historic.unionByName(key_range(recent, "order_id").withColumn("side", F.lit("latest")))
+    )
+
+
+def lost_order_ids(spark: SparkSession, directory: str) -> DataFrame:
+    w = open_warehouse(spark, directory)
+    return present(lost_ids(w["stg_orders"], w["stg_order_items"], "order_id"))
+
+
+def json_flatten(spark: SparkSession, directory: str) -> DataFrame:
+    events = DriverTables(tune(spark), directory).read("events")
+    nested = events.select(
+        "event_id",
+        F.from_json("props", "k bigint").alias("props"),
+        F.struct("event_type", F.struct("user_id").alias("by")).alias("what"),
+        F.array("event_id", "user_id").alias("ids"),
+    )
+    return present(flatten(nested))
+
+
+def date_normalise(spark: SparkSession, directory: str) -> DataFrame:
+    """The three spellings of the extracts and unreadable text, by event."""
+    events = DriverTables(tune(spark), directory).read("events")
+    spelled = (
+        F.when(F.col("event_id") % 4 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+        .when(F.col("event_id") % 4 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        .when(F.col("event_id") % 4 == 2, F.date_format("ts", "yyyy-MM-dd"))
+        .otherwise("not a date")
+    )
+    return normalise_dates(events.select("event_id", spelled.alias("event_date")))
+
+
+def key_fill(spark: SparkSession, directory: str) -> DataFrame:
+    """Range and density of the key given to extracts that come without one."""
+    items = DriverTables(tune(spark), directory).read("lineitem")
+    filled = fill_missing_key(items.select("l_orderkey", "l_linenumber"), "id")
+    return filled.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.countDistinct("id").alias("distinct_ids"),
+        F.min("id").alias("min_id"),
+        F.max("id").alias("max_id"),
+    )
+
+
+def extract_summary(spark: SparkSession, directory: str) -> DataFrame:
+    w = open_warehouse(spark, directory)
+    tables = {}
+    for name, spec in TABLES.items():
+        staged = w[f"stg_{name}"]
+        day = spec.date_column if spec.date_column in staged.columns else None
+        tables[name] = (staged, day)
+    return present(date_summary(tables))
+
+
+def customer_sample(spark: SparkSession, directory: str) -> DataFrame:
+    """Exactly 30 % of the customers, the same ones on every run."""
+    customers = open_warehouse(spark, directory)["stg_customers"]
+    wanted = customers.agg(F.floor(F.count(F.lit(1)) * 0.3)).scalar()
+    return present(sample_keys(customers, "customer_id", wanted))
+
+
+def returning_customers(spark: SparkSession, directory: str) -> DataFrame:
+    """A fifth of the customers seen again, joined by the customers of the newest extract."""
+    customers = open_warehouse(spark, directory)["stg_customers"]
+    fresh = customers.filter(F.col("signup_date") >= F.lit("1995-12-01").cast("timestamp_ntz"))
+    fresh = fresh.withColumn("customer_id", F.concat(F.lit("N"), "customer_id"))
+    seen_again = {
+        "last_login": F.lit(LATEST_RUN.loaded_at).cast("timestamp_ntz"),
+        "is_active": F.lit(True),
+    }
+    return present(refresh_sampled(customers, fresh, "customer_id", 0.2, seen_again))
+
+
+# Models several checked tables read; built once per report.
+_SHARED_INTERMEDIATE = ["customers_enriched", "products_enriched", "orders", "order_items"]
+_SHARED_MARTS = [*_SHARED_INTERMEDIATE, "reviews_enriched", "dim_customers", "dim_products"]
+
+
+def _checks(
+    checks: list[Check], prefix: str = "", shared: list[str] | None = None
+) -> Query:
+    def run(spark: SparkSession, directory: str) -> DataFrame:
+        w = open_warehouse(spark, directory, EVENTS_AS_OF)
+        w.pin(shared or [])
+        names = {c.table for c in checks} | {c.parent.split(".")[0] for c in checks if c.parent}
+        return run_checks({name: w[f"{prefix}{name}"] for name in sorted(names)}, checks)
+
+    return run
+
+
+def _measure(build: Callable[[Warehouse], DataFrame]) -> Query:
+    def run(spark: SparkSession, directory: str) -> DataFrame:
+        return present(build(open_warehouse(spark, directory)))
+
+    return run
+
+
+_MEASURES: dict[str, Callable[[Warehouse], DataFrame]] = {
+    "order_status_recency": lambda w: measures.order_status_recency(w["stg_orders"], ORDERS_AS_OF),
+    "income_tier": lambda w: measures.income_tiers(w["stg_customers"]),
+    "price_band_scores": lambda w: measures.price_band_scores(
+        w["stg_reviews"], w["stg_products"], "sale_price"
+    ),
+    "segment_share": lambda w: measures.segment_share(w["stg_customers"]),
+    "new_vs_returning": lambda w: measures.new_vs_returning(w["stg_orders"], 100),
+    "event_transitions": lambda w: measures.event_transitions(w["stg_interactions"]),
+    "seasonality": lambda w: measures.seasonality(w["stg_orders"], w["stg_interactions"]),
+    "review_delay": lambda w: measures.review_delay(w["stg_reviews"], w["stg_orders"], "F"),
+    "review_sentiment": lambda w: measures.review_sentiment(w["stg_reviews"]),
+    "rating_refresh": lambda w: measures.refresh_ratings(
+        w["stg_products"], w["stg_reviews"]
+    ).select("product_id", "rating", "review_count"),
+}
+
+
 def registered_queries() -> dict[str, Query]:
     queries = {
         name: _model(model, audit, EVENTS_AS_OF if model == "dim_dates" else ORDERS_AS_OF)
         for name, (model, audit) in _MODELS.items()
     }
     queries["orders_corrected"] = _model("orders", None, mode="corrected")
+    for query in (
+        ingest_cutover,
+        ingest_dedup,
+        ingest_upsert,
+        ingest_audit,
+        incremental_orders,
+        incremental_customer_orders,
+        pk_gaps,
+        pk_gap_summary,
+        first_gaps,
+        pk_ranges,
+        lost_order_ids,
+        json_flatten,
+        date_normalise,
+        key_fill,
+        extract_summary,
+        customer_sample,
+        returning_customers,
+    ):
+        queries[query.__name__] = query
+    queries["dq_report"] = _checks(RAW_CHECKS, "raw_")
+    queries["dq_staging"] = _checks(STAGING_CHECKS)
+    queries["dq_intermediate"] = _checks(INTERMEDIATE_CHECKS, shared=_SHARED_INTERMEDIATE)
+    queries["dq_marts"] = _checks(MART_CHECKS, shared=_SHARED_MARTS)
+    queries |= {name: _measure(build) for name, build in _MEASURES.items()}
     return queries

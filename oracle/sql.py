@@ -9,6 +9,15 @@ from __future__ import annotations
 
 import re
 
+from basketry.operators.quality import Check
+from basketry.plans.checks import (
+    INTERMEDIATE_CHECKS,
+    MART_CHECKS,
+    RAW_CHECKS,
+    STAGING_CHECKS,
+)
+from basketry.schemas import TABLES
+
 
 def _key(*columns: str) -> str:
     parts = [
@@ -495,6 +504,264 @@ JOIN m_categories b ON b.category_id = target
 GROUP BY a.category_name, b.category_name"""
 
 
+# ingest
+
+COMMON["order_rows"] = """
+SELECT order_id, customer_id, order_date, status, total_amount, data_source, batch_id, loaded_at
+FROM stg_orders"""
+COMMON["latest_orders"] = """
+SELECT order_id, customer_id, order_date, CASE WHEN status = 'P' THEN 'O' ELSE status END AS status,
+       total_amount, 'latest' AS data_source, 'batch-1' AS batch_id,
+       TIMESTAMP '2001-08-03 00:00:00' AS loaded_at
+FROM order_rows WHERE order_date >= TIMESTAMP '2000-01-01 00:00:00'
+UNION ALL
+SELECT 'N' || order_id, customer_id, order_date, status, total_amount, 'latest', 'batch-1',
+       TIMESTAMP '2001-08-03 00:00:00'
+FROM order_rows WHERE order_date >= TIMESTAMP '2001-07-01 00:00:00'"""
+COMMON["combined_orders"] = """
+SELECT * FROM order_rows WHERE order_date < (SELECT min(order_date) FROM latest_orders)
+UNION ALL
+SELECT * FROM latest_orders"""
+
+_FINAL["ingest_cutover"] = _staged("combined_orders", "", "total_amount")
+_FINAL["ingest_dedup"] = """
+SELECT * EXCLUDE (place) REPLACE (CAST(quantity AS BIGINT) AS quantity,
+       CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_price AS DOUBLE) AS total_price)
+FROM (
+    SELECT *, row_number() OVER (
+        PARTITION BY order_item_id
+        ORDER BY loaded_at DESC, created_at DESC, order_id, product_id, quantity, unit_price,
+                 total_price) AS place
+    FROM stg_order_items
+) AS ranked WHERE place = 1"""
+_FINAL["ingest_upsert"] = """
+SELECT o.order_id, o.customer_id, o.order_date, coalesce(l.status, o.status) AS status,
+       CAST(o.total_amount AS DOUBLE) AS total_amount,
+       CASE WHEN l.status <> o.status THEN l.data_source ELSE o.data_source END AS data_source,
+       CASE WHEN l.status <> o.status THEN l.batch_id ELSE o.batch_id END AS batch_id,
+       CASE WHEN l.status <> o.status THEN l.loaded_at ELSE o.loaded_at END AS loaded_at
+FROM order_rows o LEFT JOIN latest_orders l ON l.order_id = o.order_id
+UNION ALL
+SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount)
+FROM latest_orders WHERE order_id NOT IN (SELECT order_id FROM order_rows)"""
+_FINAL["ingest_audit"] = """
+SELECT 'orders' AS table_name, 'batch-1' AS batch_id,
+       TIMESTAMP '2001-08-03 00:00:00' AS loaded_at,
+       count(*) FILTER (WHERE data_source = 'historic') AS historic_records,
+       count(*) FILTER (WHERE data_source = 'latest') AS latest_records,
+       count(DISTINCT order_id) AS total_records,
+       count(*) - count(DISTINCT order_id) AS duplicates_removed,
+       'order_date' AS date_column_used,
+       (SELECT CAST(min(order_date) AS VARCHAR) FROM latest_orders) AS min_latest_date,
+       'order_id' AS primary_keys_used
+FROM combined_orders
+UNION ALL
+SELECT 'order_items', 'batch-1', TIMESTAMP '2001-08-03 00:00:00', count(*), 0,
+       count(DISTINCT order_item_id), count(*) - count(DISTINCT order_item_id), 'created_at',
+       CAST(min(created_at) AS VARCHAR), 'order_item_id'
+FROM stg_order_items"""
+_FINAL["incremental_orders"] = """
+SELECT order_id, order_date, CAST(total_amount AS DOUBLE) AS total_amount FROM order_rows"""
+COMMON["loaded_days"] = """
+SELECT CAST(order_date AS DATE) AS day FROM m_orders WHERE order_date < TIMESTAMP '2000-01-01 00:00:00'"""
+_FINAL["incremental_customer_orders"] = f"""
+SELECT * FROM ({_FINAL["fct_customer_orders"]}) AS whole
+WHERE order_date > (SELECT max(day) FROM loaded_days)"""
+_FINAL["pk_gaps"] = """
+SELECT id + 1 AS gap_start, following - 1 AS gap_end, following - id - 1 AS missing_ids
+FROM (
+    SELECT id, lead(id) OVER (ORDER BY id) AS following
+    FROM (SELECT DISTINCT CAST(order_id AS BIGINT) AS id FROM stg_order_items) AS ids
+) AS neighbours WHERE following - id > 1"""
+COMMON["missing_order_ids"] = """
+SELECT r.id
+FROM (SELECT unnest(generate_series(
+          (SELECT min(CAST(order_id AS BIGINT)) FROM stg_order_items),
+          (SELECT max(CAST(order_id AS BIGINT)) FROM stg_order_items))) AS id) AS r
+WHERE r.id NOT IN (SELECT CAST(order_id AS BIGINT) FROM stg_order_items)"""
+_FINAL["pk_gap_summary"] = """
+SELECT min(CAST(order_id AS BIGINT)) AS min_id, max(CAST(order_id AS BIGINT)) AS max_id,
+       count(DISTINCT order_id) AS distinct_ids,
+       (SELECT count(*) FROM missing_order_ids) AS missing_ids
+FROM stg_order_items"""
+_FINAL["first_gaps"] = """
+SELECT id AS missing_id FROM missing_order_ids ORDER BY id LIMIT 5"""
+_FINAL["pk_ranges"] = """
+SELECT 'historic' AS side, min(o_orderkey) AS min_id, max(o_orderkey) AS max_id FROM orders
+UNION ALL
+SELECT 'latest', min(o_orderkey), max(o_orderkey) FROM orders
+WHERE o_orderdate >= TIMESTAMP '2000-01-01 00:00:00'"""
+_FINAL["lost_order_ids"] = """
+SELECT DISTINCT order_id FROM stg_orders
+WHERE order_id NOT IN (SELECT order_id FROM stg_order_items)"""
+_FINAL["json_flatten"] = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS props_k,
+       event_type AS what_event_type, user_id AS what_by_user_id,
+       '[' || event_id || ',' || user_id || ']' AS ids
+FROM events"""
+_FINAL["date_normalise"] = """
+SELECT event_id, CASE event_id % 4
+           WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+           WHEN 2 THEN strftime(ts, '%Y-%m-%d 00:00:00') END AS event_date
+FROM events"""
+_FINAL["key_fill"] = """
+SELECT count(*) AS records, count(*) AS distinct_ids, 1 AS min_id, count(*) AS max_id FROM lineitem"""
+_FINAL["extract_summary"] = "\nUNION ALL\n".join(
+    f"SELECT '{table}' AS table_name, count(*) AS records, "
+    f"min({day}) AS first_date, max({day}) AS last_date FROM stg_{table}"
+    for table, day in {
+        "categories": "created_at",
+        "subcategories": "created_at",
+        "customers": "signup_date",
+        "products": "created_at",
+        "orders": "order_date",
+        "order_items": "created_at",
+        "interactions": "event_date",
+        "reviews": "CAST(NULL AS TIMESTAMP)",
+    }.items()
+)
+
+# measures
+
+_FINAL["order_status_recency"] = """
+SELECT order_id, order_date,
+       CASE WHEN date_diff('day', order_date, TIMESTAMP '2001-08-01') < 2 THEN 'Pending'
+            WHEN date_diff('day', order_date, TIMESTAMP '2001-08-01') < 4 THEN 'Processing'
+            WHEN date_diff('day', order_date, TIMESTAMP '2001-08-01') < 7 THEN 'Shipped'
+            ELSE 'Delivered' END AS status
+FROM stg_orders"""
+_FINAL["income_tier"] = """
+SELECT CASE WHEN annual_income > 80000 THEN 'High Value' WHEN annual_income > 50000 THEN 'Mid Value'
+            ELSE 'Low Value' END AS tier,
+       count(*) AS customers, CAST(sum(annual_income) AS DOUBLE) AS total_income
+FROM stg_customers GROUP BY 1"""
+_FINAL["price_band_scores"] = """
+SELECT band, CAST(review_score AS BIGINT) AS review_score, count(*) AS reviews,
+       count(*) / CAST(sum(count(*)) OVER (PARTITION BY band) AS DOUBLE) AS share
+FROM (
+    SELECT v.review_score, CASE WHEN p.sale_price > 500 THEN 'Premium'
+               WHEN p.sale_price > 100 THEN 'Mid-range' ELSE 'Budget' END AS band
+    FROM stg_reviews v JOIN stg_products p ON p.product_id = v.product_id
+) AS banded GROUP BY band, review_score"""
+COMMON["segments"] = """
+SELECT *, CASE WHEN age BETWEEN 18 AND 25 THEN 'Gen Z' WHEN age BETWEEN 26 AND 32 THEN 'Young Millennials'
+              WHEN age BETWEEN 33 AND 40 THEN 'Older Millennials' WHEN age BETWEEN 41 AND 56 THEN 'Gen X'
+              WHEN age BETWEEN 57 AND 75 THEN 'Boomers' ELSE 'Other' END AS segment
+FROM stg_customers"""
+_FINAL["segment_share"] = """
+SELECT segment, 'education' AS attribute, education AS value, count(*) AS customers,
+       count(*) / CAST(sum(count(*)) OVER (PARTITION BY segment) AS DOUBLE) AS share
+FROM segments GROUP BY segment, education
+UNION ALL
+SELECT segment, 'channel', preferred_channel, count(*),
+       count(*) / CAST(sum(count(*)) OVER (PARTITION BY segment) AS DOUBLE)
+FROM segments GROUP BY segment, preferred_channel"""
+_FINAL["new_vs_returning"] = """
+SELECT CASE WHEN CAST(customer_id AS BIGINT) >= 100 THEN 'new' ELSE 'returning' END AS customer_kind,
+       count(DISTINCT customer_id) AS customers, count(*) AS orders,
+       CAST(sum(total_amount) AS DOUBLE) AS revenue
+FROM stg_orders GROUP BY 1"""
+_FINAL["event_transitions"] = """
+SELECT from_event, to_event, count(*) AS transitions,
+       count(*) / CAST(sum(count(*)) OVER (PARTITION BY from_event) AS DOUBLE) AS probability
+FROM (
+    SELECT event_type AS from_event, lead(event_type) OVER (
+               PARTITION BY session_id ORDER BY event_date, event_id) AS to_event
+    FROM stg_interactions
+) AS moves WHERE to_event IS NOT NULL GROUP BY from_event, to_event"""
+_FINAL["seasonality"] = """
+SELECT 'month' AS dimension, month(order_date) AS bucket, 'all' AS device_type, count(*) AS n,
+       (CAST(sum(total_amount) AS DOUBLE) / count(*))
+       / (SELECT CAST(sum(total_amount) AS DOUBLE) / count(*) FROM stg_orders) AS factor
+FROM stg_orders GROUP BY month(order_date)
+UNION ALL
+SELECT 'weekday', isodow(order_date) - 1, 'all', count(*),
+       (CAST(sum(total_amount) AS DOUBLE) / count(*))
+       / (SELECT CAST(sum(total_amount) AS DOUBLE) / count(*) FROM stg_orders)
+FROM stg_orders GROUP BY isodow(order_date) - 1
+UNION ALL
+SELECT 'hour', hour(event_date), device_type, count(*),
+       count(*) / CAST(sum(count(*)) OVER (PARTITION BY device_type) AS DOUBLE)
+FROM stg_interactions GROUP BY hour(event_date), device_type"""
+_FINAL["review_delay"] = """
+SELECT date_diff('day', o.order_date, v.loaded_at) AS delay_days, count(*) AS reviews
+FROM stg_reviews v JOIN stg_orders o ON o.order_id = v.order_id
+WHERE o.status = 'F' GROUP BY 1"""
+_FINAL["review_sentiment"] = """
+SELECT CASE WHEN review_score >= 4 THEN 'positive' WHEN review_score >= 3 THEN 'neutral'
+            ELSE 'negative' END AS sentiment,
+       count(*) AS reviews, CAST(sum(review_score) AS BIGINT) AS score_sum
+FROM stg_reviews GROUP BY 1"""
+_FINAL["rating_refresh"] = """
+SELECT p.product_id,
+       coalesce(((20 * sum(v.review_score) + count(v.review_score)) // nullif(2 * count(v.review_score), 0))
+                / 10.0, CAST(any_value(p.rating) AS DOUBLE)) AS rating,
+       CASE WHEN count(v.review_id) > 0 THEN count(v.review_id) ELSE any_value(p.review_count) END
+           AS review_count
+FROM stg_products p LEFT JOIN stg_reviews v ON v.product_id = p.product_id
+GROUP BY p.product_id"""
+
+# quality
+
+_RELATIONS = {
+    "education_types": "m_education",
+    "marital_statuses": "m_marital",
+    "order_statuses": "m_status",
+    "payment_methods": "m_payment",
+    "brands": "m_brands",
+    "locations": "m_locations",
+    "addresses": "m_addresses",
+    "categories_enriched": "m_categories",
+    "subcategories_enriched": "m_subcategories",
+    "customers_enriched": "m_customers",
+    "products_enriched": "m_products",
+    "reviews_enriched": "m_reviews",
+    "customer_interactions": "m_interactions",
+    "order_items": "m_items",
+    "orders": "m_orders",
+}
+_SERVED = [name for name in _FINAL if name.startswith(("dim_", "fct_"))]
+for _name in _SERVED:
+    COMMON[f"served_{_name}"] = "\n" + _FINAL[_name].strip()
+    _RELATIONS[_name] = f"served_{_name}"
+
+
+def _check_sql(check: Check, relations: dict[str, str]) -> str:
+    table = relations[check.table]
+    if check.kind == "not_null":
+        count = f"SELECT count(*) FROM {table} WHERE {check.column} IS NULL"
+    elif check.kind == "relationships":
+        parent, column = check.parent.split(".")
+        count = (
+            f"SELECT count(*) FROM {table} c WHERE c.{check.column} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {relations[parent]} p WHERE p.{column} = c.{check.column})"
+        )
+    else:
+        key = check.column
+        count = (
+            f"SELECT count(*) FROM (SELECT {key} FROM {table} "
+            f"WHERE {' AND '.join(k + ' IS NOT NULL' for k in key.split(', '))} "
+            f"GROUP BY {key} HAVING count(*) > 1) AS repeated"
+        )
+    bad = "warn" if check.severity == "warn" else "fail"
+    return (
+        f"SELECT '{check.table}' AS table_name, '{check.column}' AS column_name, "
+        f"'{check.kind}' AS check_name, '{check.severity}' AS severity, n AS failing_rows, "
+        f"CASE WHEN n = 0 THEN 'pass' ELSE '{bad}' END AS status FROM ({count}) AS found(n)"
+    )
+
+
+def _checks_sql(checks: list[Check], relations: dict[str, str]) -> str:
+    return "\nUNION ALL\n".join(_check_sql(check, relations) for check in checks)
+
+
+_STAGED = {name: f"stg_{name}" for name in TABLES}
+_FINAL["dq_report"] = _checks_sql(RAW_CHECKS, _STAGED)
+_FINAL["dq_staging"] = _checks_sql(STAGING_CHECKS, {f"stg_{n}": f"stg_{n}" for n in TABLES})
+_FINAL["dq_intermediate"] = _checks_sql(INTERMEDIATE_CHECKS, _RELATIONS)
+_FINAL["dq_marts"] = _checks_sql(MART_CHECKS, _RELATIONS)
+
+
 def _with(sql: str) -> str:
     """Prefix the shared relations a query names, directly or through one another."""
     needed: set[str] = set()
