@@ -84,6 +84,25 @@ def ingest_table(
     return Ingested(table, rows, report)
 
 
+def merge_into(name: str, batch: DataFrame, table: str) -> str:
+    """Upsert a transformed batch into the published table and publish the result.
+
+    Either side may have columns the other lacks; they are NULL there. Merging the same
+    batch twice changes nothing.
+    """
+    target = writers.published(batch.sparkSession, name)
+    if target is None:
+        return writers.publish(batch, name)
+    day = date_column(table)
+    merged = upsert(
+        combine(target, batch.limit(0)),
+        combine(batch, target.limit(0)),
+        primary_key(table).upper(),
+        day.upper() if day else None,
+    )
+    return writers.publish(merged, name)
+
+
 Loader = Callable[[], DataFrame]
 
 
@@ -117,12 +136,7 @@ def run_ingest(
         if form == "csv":
             writers.write_csv_extract(spark.read.parquet(folder), f"{folder}_csv", key)
         writers.write_metadata(result.report, f"{folder}_metadata")
-        loaded = spark.read.parquet(folder)
-        target = writers.published(spark, f"{prefix}{table}")
-        merged = loaded if target is None else upsert(
-            combine(target, loaded.limit(0)), _aligned(loaded, target), key, day.upper() if day else None
-        )
-        writers.publish(merged, f"{prefix}{table}", run.batch_id)
+        merge_into(f"{prefix}{table}", spark.read.parquet(folder), table)
         return "ok"
 
     def guarded(table: str) -> str:
@@ -134,8 +148,3 @@ def run_ingest(
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         outcomes = pool.map(guarded, sources)
         return dict(zip(sources, outcomes))
-
-
-def _aligned(batch: DataFrame, target: DataFrame) -> DataFrame:
-    """The batch with every column of the target, so that a narrower extract merges."""
-    return combine(batch, target.limit(0))

@@ -82,21 +82,29 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").format("parquet").saveAsTable(name)
 
 
-def publish(df: DataFrame, name: str, batch_id: str) -> str:
+def _snapshots(spark: SparkSession, name: str) -> list[str]:
+    """Snapshot tables of a published table, oldest first."""
+    pattern = re.compile(rf"{re.escape(name.lower())}__v\d{{6}}")
+    found = [t.name for t in spark.catalog.listTables(pattern=f"{name}__v*")]
+    return sorted(t for t in found if pattern.fullmatch(t.lower()))
+
+
+def publish(df: DataFrame, name: str, keep: int = 3) -> str:
     """Write a new snapshot of ``name`` as its own table and point the view at it.
 
     The old snapshot stays readable while the new one is built from it, and readers
-    move over in one catalog change. A repeated batch gets a further suffix, because
-    its own snapshot may be what ``df`` reads.
+    move over in one catalog change. The ``keep`` newest snapshots are kept.
     """
+    if keep < 2:
+        raise ValueError("keep at least the snapshot readers may still be on")
     spark = df.sparkSession
-    base = f"{name}__{re.sub('[^0-9a-zA-Z]', '_', batch_id)}"
-    snapshot, attempt = base, 1
-    while spark.catalog.tableExists(snapshot):
-        attempt += 1
-        snapshot = f"{base}_{attempt}"
+    older = _snapshots(spark, name)
+    number = int(older[-1][-6:]) + 1 if older else 1
+    snapshot = f"{name}__v{number:06d}"
     df.write.mode("errorifexists").format("parquet").saveAsTable(snapshot)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {snapshot}")
+    for expired in [*older, snapshot][:-keep]:
+        spark.sql(f"DROP TABLE {expired}")
     return snapshot
 
 

@@ -77,9 +77,10 @@ SELECT DISTINCT p_type || '-' || (p_size % 5) AS subcategory_id, p_type AS categ
        TIMESTAMP '1995-01-01 00:00:00' AS created_at, {_META}
 FROM part""",
     "order_text": """
-SELECT o.*, o_orderkey || ' Main St, City_' || (o_custkey % 50) || ', ' || n_name || ', ' || r_name
-           AS main_street
-FROM orders o LEFT JOIN places ON c_custkey = o_custkey""",
+SELECT *, o_orderkey || ' Main St, City_' || (o_custkey % 50) || ', NATION_' || (o_custkey % 25) || ', '
+       || CASE o_custkey % 5 WHEN 0 THEN 'AFRICA' WHEN 1 THEN 'AMERICA' WHEN 2 THEN 'ASIA'
+               WHEN 3 THEN 'EUROPE' ELSE 'MIDDLE EAST' END AS main_street
+FROM orders""",
     "stg_orders": f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
        o_orderdate AS order_date, o_orderstatus AS status,
