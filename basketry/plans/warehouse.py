@@ -198,28 +198,32 @@ class Warehouse:
 
     def as_view(self, name: str) -> DataFrame:
         """Register a model as a temporary view; nothing runs."""
-        self[name].createOrReplaceTempView(name)
+        self._built[name] = self._build(name)
+        self._built[name].createOrReplaceTempView(name)
         return self.spark.table(name)
 
     def as_table(self, name: str, root: str, day: str | None = None) -> DataFrame:
         """Write a model as Parquet under ``root`` and read it back from now on.
 
+        A table is never written over: somebody may be reading it.
         Facts are partitioned by day. The rebalance hint groups a day's rows into few
         files and lets AQE split a day that is too large for one task.
         """
         path = f"{root.rstrip('/')}/{name}"
-        df = self._build(name)  # from its inputs, never from the table being replaced
+        df = self._build(name)
         if day:
             writer = df.hint("rebalance", day).write.partitionBy(day)
         else:
             writer = df.write
-        writer.mode("overwrite").parquet(path)
+        writer.mode("errorifexists").parquet(path)
         # a hidden-folder partition column comes back last: restore the order
         self._built[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
         return self._built[name]
 
     def refresh(self, root: str) -> list[str]:
-        """Full refresh: staging views, intermediate tables, dimension views, fact tables."""
+        """Full refresh into a new folder: staging views, intermediate tables, dimension
+        views, fact tables."""
+        self._built.clear()
         for name in STAGING:
             self.as_view(name)
         for name in INTERMEDIATE:
