@@ -1,9 +1,10 @@
 """Neighbouring rows of an ordered sequence, for sequences of any length.
 
-``lead()`` over a window puts a whole sequence into one task. Here rows are range
-partitioned on (sequence, order), which cuts a long sequence wherever it must, each
-task pairs its own neighbours batch by batch, and the pairs across two partitions
-come from the first and last row of each partition.
+``lead()`` over a window puts a whole sequence into one task. Here copies of a row are
+folded into one with a count, so that no order key repeats, and rows are range
+partitioned on (sequence, order), which cuts a long sequence wherever it must. Each
+task pairs its own neighbours batch by batch, and the pairs across two partitions come
+from the first and last row of each partition.
 """
 
 from __future__ import annotations
@@ -47,15 +48,26 @@ def _pair_up(keep_sequence: bool):
                 rows = batch
             else:
                 rows = pd.concat([last, batch], ignore_index=True)
-            same = rows["sequence"].eq(rows["sequence"].shift())
-            pairs = pd.DataFrame(
+            follows = rows["sequence"].eq(rows["sequence"].shift())
+            steps = pd.DataFrame(
                 {
                     "sequence": rows["sequence"],
                     "source": rows["state"].shift(),
                     "target": rows["state"],
+                    "n": 1,
                 }
-            )[same]
-            counted = pairs.groupby(groups, sort=False).size().reset_index(name="n")
+            )[follows]
+            repeated = batch[batch["copies"] > 1]
+            stays = pd.DataFrame(
+                {
+                    "sequence": repeated["sequence"],
+                    "source": repeated["state"],
+                    "target": repeated["state"],
+                    "n": repeated["copies"] - 1,
+                }
+            )
+            pairs = pd.concat([steps, stays], ignore_index=True)
+            counted = pairs.groupby(groups, sort=False)["n"].sum().reset_index()
             if not keep_sequence:
                 counted["sequence"] = None
             counted["edge"], counted["part"], counted["side"] = False, part, 0
@@ -77,22 +89,28 @@ def adjacent_pairs(
 ) -> DataFrame:
     """Counts ``(sequence, source, target, n)`` of neighbours in each sequence.
 
-    Rows without a sequence or a state are left out. The same combination may occur
+    Rows without a sequence or a state are left out; rows equal in every order column
+    follow one another by state. The same combination may occur
     on several rows: group the result. With ``keep_sequence=False`` the sequence is
     NULL and tasks count over all of theirs, which leaves a few rows per task.
     The checkpoint makes both reads below see one and the same partitioning.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    ordered = (
+    keys = [f"order_{i}" for i in range(len(order))]
+    folded = (
         df.filter(F.col(sequence).isNotNull() & F.col(state).isNotNull())
         .select(
             F.col(sequence).cast("string").alias("sequence"),
+            *[F.col(c).alias(k) for c, k in zip(order, keys)],
             F.col(state).cast("string").alias("state"),
-            *[F.col(c).alias(f"order_{i}") for i, c in enumerate(order)],
         )
-        .repartitionByRange("sequence", *[f"order_{i}" for i in range(len(order))])
-        .sortWithinPartitions("sequence", *[f"order_{i}" for i in range(len(order))])
-        .select("sequence", "state")
+        .groupBy("sequence", *keys, "state")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    ordered = (
+        folded.repartitionByRange("sequence", *keys, "state")
+        .sortWithinPartitions("sequence", *keys, "state")
+        .select("sequence", "state", "copies")
     )
     paired = ordered.mapInPandas(_pair_up(keep_sequence), _SCHEMA).checkpoint()
     across = Window.orderBy("part", "side")  # two rows per partition

@@ -239,6 +239,7 @@ def test_adjacent_pairs_with_a_hot_sequence(spark, hot):
         ("hot" if rng.random() < hot else f"s{rng.randint(0, 40)}", rng.randint(0, 3), i, rng.choice("abc"))
         for i in range(3000)
     ] + [(None, 1, 9000, "a"), ("s1", 1, 9001, None)]
+    events += [("hot", 2, 9002, "b")] * 700 + [("s2", 0, 9003, "c")] * 5  # groups of copies
     df = spark.createDataFrame(events, "k string, t int, i int, state string").repartition(5)
     # keep small partitions apart, so that a hot sequence really spans several
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
