@@ -107,7 +107,9 @@ SELECT l_orderkey || '-' || l_partkey || '-' || l_linenumber AS review_id,
        CAST(1 + (l_orderkey + l_partkey + l_linenumber) % 5 AS INTEGER) AS review_score,
        'Review of part ' || l_partkey AS review_text,
        'historic' AS data_source, 'batch-0' AS batch_id, l_shipdate AS loaded_at
-FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey
+FROM lineitem
+LEFT JOIN (SELECT o_orderkey, max(o_custkey) AS o_custkey FROM orders GROUP BY o_orderkey) AS buyers
+       ON o_orderkey = l_orderkey
 WHERE l_returnflag = 'R'""",
     "stg_interactions": f"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS customer_id,
@@ -496,7 +498,7 @@ FROM (
     SELECT i.customer_id, i.category_id AS source,
            lead(i.category_id) OVER (
                PARTITION BY i.customer_id
-               ORDER BY o.order_date, i.order_id, i.order_item_id, i.product_id) AS target
+               ORDER BY o.order_date NULLS FIRST, i.order_id, i.order_item_id, i.product_id) AS target
     FROM m_items i
     JOIN (SELECT DISTINCT order_id, order_date FROM m_orders) AS o ON o.order_id = i.order_id
 ) AS moves
@@ -668,7 +670,7 @@ SELECT from_event, to_event, count(*) AS transitions,
 FROM (
     SELECT event_type AS from_event, lead(event_type) OVER (
                PARTITION BY session_id ORDER BY event_date, event_id) AS to_event
-    FROM stg_interactions
+    FROM stg_interactions WHERE session_id IS NOT NULL
 ) AS moves WHERE to_event IS NOT NULL GROUP BY from_event, to_event"""
 _FINAL["seasonality"] = """
 SELECT 'month' AS dimension, month(order_date) AS bucket, 'all' AS device_type, count(*) AS n,
