@@ -271,9 +271,7 @@ def fct_customer_orders(
     if target is not None:
         dated = orders.withColumn("_day", F.to_date("order_date"))
         orders = newer_than_target(dated, "_day", target, "order_date").drop("_day")
-    grouped = orders.groupBy("customer_id", "order_id", "order_date", "total_amount").agg(
-        F.count(F.lit(1)).alias("copies")
-    )
+    grain = ["customer_id", "order_id", "order_date", "total_amount"]
     items = (
         order_items.filter(F.col("order_id").isNotNull())
         .groupBy("order_id")
@@ -288,19 +286,31 @@ def fct_customer_orders(
             F.sum("review_score").alias("score_sum"),
         )
     )
-    fan_out = F.greatest(F.coalesce("reviews", F.lit(1)), F.lit(1)) * F.col("copies")
-    units = F.col("units") * fan_out if mode == "faithful" else F.col("units")
+    if mode == "faithful":
+        per_review = F.greatest(F.coalesce("reviews", F.lit(1)), F.lit(1))
+        total_items = F.sum(F.col("units") * per_review)
+    else:
+        total_items = F.max("units")
     products = F.coalesce("products", F.lit(0).cast("bigint"))
     return (
-        grouped.join(items, "order_id", "left")
+        orders.select(*grain)
+        .join(items, "order_id", "left")
         .join(scores, "order_id", "left")
+        # the grain includes the join key: no shuffle of its own
+        .groupBy(*grain)
+        .agg(
+            F.max("products").alias("products"),
+            total_items.alias("total_items"),
+            F.max("score_sum").alias("score_sum"),
+            F.max("scores").alias("scores"),
+        )
         .select(
             "customer_id",
             "order_id",
             F.to_date("order_date").alias("order_date"),
             "total_amount",
             products.alias("unique_products"),
-            units.alias("total_items"),
+            "total_items",
             ratio(F.col("total_amount"), products).alias("avg_order_value"),
             mean_of(F.col("score_sum"), F.col("scores")).alias("avg_review_score"),
             _stamp(run_ts).alias("created_at"),

@@ -41,13 +41,14 @@ SPREAD_KEYS = {"lineitem": ("l_orderkey", "l_partkey", "l_linenumber")}
 
 
 def spread(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Spread the rows of a table that arrives in fewer files than there are cores.
+    """Spread the rows of a table that is read by fewer tasks than there are cores.
 
     A Parquet file with one row group is read by one task, and so is all that follows
     up to the first shuffle. Tables in many files, the normal case, are left alone.
+    The tasks are counted by planning the scan; nothing is read.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= min(cores, 8):
+    if df.rdd.getNumPartitions() >= min(cores, 8):
         return df
     return df.repartition(cores, *keys)
 

@@ -282,8 +282,6 @@ def test_published_layers_give_the_same_marts(spark, tmp_path):
     assert (tmp_path / "one" / "fct_order_details" / "order_date=2024-01-10").exists()
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         built.refresh(str(tmp_path / "one"))
-    built.refresh(str(tmp_path / "two"))
-    assert {name: rows(built[name]) for name in FACTS} == expected
     assert spark.table("dim_products").count() == 2
 
 
