@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from basketry.llm.decontaminate import digest, mark_contaminated
 from basketry.llm.host_rules import host_quality
+from basketry.llm.quality_rank import CUT, score_quality
 from basketry.llm.simhash import near_duplicates
+from basketry.llm.toxicity import held_out, score_toxicity
+
+TOXIC_CUT = 0.5
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,11 +34,32 @@ def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, _read(spark, sf_dir, "documents"))
 
 
+def _scored(found: DataFrame, cut: float) -> DataFrame:
+    return found.select(
+        "row.doc_id",
+        held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= cut).cast("int").alias("predicted"),
+    )
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_read(spark, sf_dir, t) for t in ("documents", "labels"))
+    return _scored(score_quality(spark, docs, labels), CUT)
+
+
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (_read(spark, sf_dir, t) for t in ("documents", "labels"))
+    return _scored(score_toxicity(spark, docs, labels), TOXIC_CUT)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op3_host_rules": _host_rules,
         "op6_decontaminate": _decontaminate,
+        "op7_quality_rank": _quality,
         "op9_simhash": _simhash,
+        "op10_toxicity": _toxicity,
     }
 
 
