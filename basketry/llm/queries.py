@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from basketry.llm.decontaminate import digest, mark_contaminated
 from basketry.llm.host_rules import host_quality
+from basketry.llm.mixing import mix_documents
 from basketry.llm.quality_rank import CUT, score_quality
 from basketry.llm.simhash import near_duplicates
+from basketry.llm.sql import LLM_ORACLE
 from basketry.llm.toxicity import held_out, score_toxicity
+from basketry.llm.url_filter import filter_urls, site_list
 
 TOXIC_CUT = 0.5
 
@@ -53,15 +56,27 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(score_toxicity(spark, docs, labels), TOXIC_CUT)
 
 
+def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_documents(spark, _read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    return filter_urls(spark, pages, site_list(pages))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op3_host_rules": _host_rules,
+        "op5_mixing": _mixing,
         "op6_decontaminate": _decontaminate,
         "op7_quality_rank": _quality,
+        "op8_url_filter": _url_filter,
         "op9_simhash": _simhash,
         "op10_toxicity": _toxicity,
     }
 
 
 def llm_oracle() -> dict[str, str]:
-    return {}
+    return dict(LLM_ORACLE)
