@@ -13,6 +13,7 @@ from basketry.llm.mixing import mix_documents
 from basketry.llm.quality_rank import CUT, score_quality
 from basketry.llm.simhash import near_duplicates
 from basketry.llm.sql import LLM_ORACLE
+from basketry.llm.token_counts import count_tokens
 from basketry.llm.toxicity import held_out, score_toxicity
 from basketry.llm.url_filter import filter_urls, site_list
 
@@ -56,6 +57,10 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(score_toxicity(spark, docs, labels), TOXIC_CUT)
 
 
+def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(spark, _read(spark, sf_dir, "documents")).select("row.doc_id", "n_tokens")
+
+
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_documents(spark, _read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -68,6 +73,7 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_token_counts": _token_counts,
         "op3_host_rules": _host_rules,
         "op5_mixing": _mixing,
         "op6_decontaminate": _decontaminate,
