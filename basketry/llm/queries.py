@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.decontaminate import digest, mark_contaminated
 from basketry.llm.host_rules import host_quality
+from basketry.llm.html_text import extract_text
 from basketry.llm.mixing import mix_documents
 from basketry.llm.quality_rank import CUT, score_quality
 from basketry.llm.simhash import near_duplicates
@@ -61,6 +62,11 @@ def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(spark, _read(spark, sf_dir, "documents")).select("row.doc_id", "n_tokens")
 
 
+def _html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_text(spark, _read(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_documents(spark, _read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -75,6 +81,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_counts": _token_counts,
         "op3_host_rules": _host_rules,
+        "op4_html_text": _html_text,
         "op5_mixing": _mixing,
         "op6_decontaminate": _decontaminate,
         "op7_quality_rank": _quality,
