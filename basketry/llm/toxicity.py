@@ -64,32 +64,60 @@ def subwords(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Bags:
-    """Texts as bags: bucket and weight of each entry, where each text begins."""
+    """Texts as bags over chosen buckets: place and weight of each entry, where a text begins."""
 
-    bucket: np.ndarray
+    place: np.ndarray
     weight: np.ndarray
     first: np.ndarray
     label: np.ndarray
 
 
-def _bag_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def bags_of(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (bucket, share of its text's bag) entries, and where each text's begin."""
+    bucket, text = subwords(texts)
+    key, count = np.unique(text << BUCKET_BITS | bucket, return_counts=True)
+    owner = key >> BUCKET_BITS
+    total = np.bincount(owner, count, len(texts))
+    ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+    return key & ((1 << BUCKET_BITS) - 1), count / total[owner], ends
+
+
+def _presence_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each class: its texts, and in how many of them each bucket is."""
     for batch in batches:
-        buckets, weights = [], []
-        for _, _, texts in slices(batch.column(1)):
-            bucket, text = subwords(texts)
-            key, count = np.unique(text << BUCKET_BITS | bucket, return_counts=True)
-            ends = np.searchsorted(key >> BUCKET_BITS, np.arange(len(texts) + 1))
-            bucket = (key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)
-            for a, b in zip(ends[:-1], ends[1:], strict=True):
-                share = count[a:b] / max(1, count[a:b].sum())
-                buckets.append(bucket[a:b].tobytes())
-                weights.append(share.astype(np.float32).tobytes())
-        if buckets:
+        labels = batch.column(0).to_numpy(zero_copy_only=False)
+        held = np.zeros((2, 1 << BUCKET_BITS), np.int32)
+        for first, stop, texts in slices(batch.column(1)):
+            bucket, _, ends = bags_of(texts)
+            of = np.repeat(labels[first:stop], np.diff(ends))
+            for k in (0, 1):
+                held[k] += np.bincount(bucket[of == k], minlength=1 << BUCKET_BITS).astype(np.int32)
+        n = np.bincount(labels, minlength=2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([0, 1], pa.int32()), pa.array(n, pa.int64()), pa.array([h.tobytes() for h in held], pa.binary())],
+            ["label", "n", "held"],
+        )
+
+
+def _bag_batches(used: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(1 << BUCKET_BITS, -1)
+        place[used] = np.arange(len(used))
+        for batch in batches:
+            places, weights = [], []
+            for _, _, texts in slices(batch.column(1)):
+                bucket, share, ends = bags_of(texts)
+                for a, b in zip(ends[:-1], ends[1:], strict=True):
+                    mine = place[bucket[a:b]]
+                    places.append(mine[mine >= 0].astype(np.int32).tobytes())
+                    weights.append(share[a:b][mine >= 0].astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(buckets, pa.binary()), pa.array(weights, pa.binary())],
-                ["label", "bucket", "weight"],
+                [batch.column(0), pa.array(places, pa.binary()), pa.array(weights, pa.binary())],
+                ["label", "place", "weight"],
             )
 
+    return run
+
 
 def training_rows(
     docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, per_class: int
@@ -118,51 +146,50 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def gather(rows: DataFrame) -> Bags:
-    found = rows.mapInArrow(_bag_batches, "label int, bucket binary, weight binary").collect()
-    found.sort(key=lambda r: (r["label"], bytes(r["bucket"]), bytes(r["weight"])))
-    found = [r for r in found if r["bucket"]]
-    bucket = [np.frombuffer(r["bucket"], np.int32) for r in found]
-    weight = [np.frombuffer(r["weight"], np.float32) for r in found]
-    first = np.cumsum([0, *map(len, bucket)])[:-1]
-    if not found:
-        return Bags(np.zeros(0, np.int32), np.zeros(0, np.float32), first, np.zeros(0, np.int64))
-    label = np.array([r["label"] for r in found])
-    return Bags(np.concatenate(bucket), np.concatenate(weight), first, label)
-
-
-def class_contrast(bags: Bags) -> np.ndarray:
-    """For each bucket the z-score between the shares of texts of either class that hold it."""
-    of = np.repeat(bags.label, np.diff(np.append(bags.first, len(bags.bucket))))
-    n = np.bincount(bags.label, minlength=2)
-    held = [np.bincount(bags.bucket[of == k], minlength=1 << BUCKET_BITS) for k in (0, 1)]
-    share = (held[0] + held[1] + 1) / (n.sum() + 2)
+def informative(rows: DataFrame) -> np.ndarray:
+    """Buckets that the texts of one class hold clearly more often than those of the other.
+
+    A z-score between the two shares; a bucket found about as often in either class is noise in
+    so small a sample, and its embedding stays zero.
+    """
+    n = np.zeros(2)
+    held = np.zeros((2, 1 << BUCKET_BITS))
+    for r in rows.mapInArrow(_presence_batches, "label int, n long, held binary").toLocalIterator():
+        n[r["label"]] += r["n"]
+        held[r["label"]] += np.frombuffer(r["held"], np.int32)
+    if not n.all():
+        return np.zeros(0, np.int64)
+    share = (held.sum(axis=0) + 1) / (n.sum() + 2)
     spread = np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]))
-    return (held[1] / n[1] - held[0] / n[0]) / spread
+    return np.flatnonzero(np.abs(held[1] / n[1] - held[0] / n[0]) >= MIN_CONTRAST * spread)
+
+
+def gather(rows: DataFrame, used: np.ndarray) -> Bags:
+    found = rows.mapInArrow(_bag_batches(used), "label int, place binary, weight binary").collect()
+    found = sorted((r["label"], bytes(r["place"]), bytes(r["weight"])) for r in found)
+    lengths = [len(place) // 4 for _, place, _ in found]
+    return Bags(
+        np.frombuffer(b"".join(place for _, place, _ in found), np.int32),
+        np.frombuffer(b"".join(weight for _, _, weight in found), np.float32),
+        np.cumsum([0, *lengths])[:-1],
+        np.array([label for label, _, _ in found], dtype=np.int64),
+    )
 
 
-def train(bags: Bags, class_sizes: dict[int, int], seed: int = 7) -> tuple[np.ndarray, float]:
+def train(bags: Bags, used: np.ndarray, class_sizes: dict[int, int], seed: int = 7) -> tuple[np.ndarray, float]:
     """One number per bucket and a bias: the log odds of class 1 are their mean plus the bias.
 
-    Without documents of both classes the numbers are zero and the bias is the log odds.
+    Without buckets that tell the classes apart the numbers are zero and the bias is the log
+    odds of the classes.
     """
     total = np.array([class_sizes.get(0, 0), class_sizes.get(1, 0)], dtype=float)
-    seen = np.bincount(bags.label, minlength=2).astype(float)
-    if not seen.all():
-        return np.zeros(1 << BUCKET_BITS, np.float32), float(np.log((total[1] + 0.5) / (total[0] + 0.5)))
+    numbers = np.zeros(1 << BUCKET_BITS, np.float32)
+    if not len(used):
+        return numbers, float(np.log((total[1] + 0.5) / (total[0] + 0.5)))
+    seen = np.bincount(bags.label, minlength=2)
     importance = (total / total.sum()) / (seen / seen.sum())
     rng = np.random.default_rng(seed)
-    # A bucket found about as often in either class is noise here: its embedding stays zero.
-    used = np.flatnonzero(np.abs(class_contrast(bags)) >= MIN_CONTRAST)
-    if not len(used):
-        return np.zeros(1 << BUCKET_BITS, np.float32), float(np.log(total[1] / total[0]))
-    place = np.full(1 << BUCKET_BITS, len(used))
-    place[used] = np.arange(len(used))
-    kept = place[bags.bucket] < len(used)
-    owner = np.repeat(np.arange(len(bags.label)), np.diff(np.append(bags.first, len(bags.bucket))))[kept]
-    bucket, weights = place[bags.bucket[kept]], bags.weight[kept]
-    first = np.searchsorted(owner, np.arange(len(bags.label)))
-    stop = np.append(first[1:], len(bucket))
+    stop = np.append(bags.first[1:], len(bags.place))
     params = [
         rng.uniform(-1, 1, (len(used), DIMENSIONS)) / DIMENSIONS,
         rng.normal(0, 0.5, (DIMENSIONS, 2)),
@@ -175,10 +202,10 @@ def train(bags: Bags, class_sizes: dict[int, int], seed: int = 7) -> tuple[np.nd
         order = rng.permutation(len(bags.label))
         for a in range(0, len(order), BATCH):
             rows = order[a : a + BATCH]
-            lengths = stop[rows] - first[rows]
+            lengths = stop[rows] - bags.first[rows]
             begin = np.cumsum(lengths) - lengths
-            entry = np.arange(lengths.sum()) + np.repeat(first[rows] - begin, lengths)
-            ids, weight, row = bucket[entry], weights[entry], np.repeat(np.arange(len(rows)), lengths)
+            entry = np.arange(lengths.sum()) + np.repeat(bags.first[rows] - begin, lengths)
+            ids, weight, row = bags.place[entry], bags.weight[entry], np.repeat(np.arange(len(rows)), lengths)
             embedding, out, bias = params
             vectors = embedding[ids]
             mean = np.stack([np.bincount(row, vectors[:, k] * weight, len(rows)) for k in range(DIMENSIONS)], axis=1)
@@ -198,7 +225,6 @@ def train(bags: Bags, class_sizes: dict[int, int], seed: int = 7) -> tuple[np.nd
                 v += 0.001 * grad * grad
                 param -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     embedding, out, bias = params
-    numbers = np.zeros(1 << BUCKET_BITS, np.float32)
     numbers[used] = embedding @ (out[:, 1] - out[:, 0])
     return numbers, float(bias[1] - bias[0])
 
@@ -241,7 +267,9 @@ def score_toxicity(
     """
     prepare(spark)
     rows, sizes = training_rows(docs, labels, label, doc_id, text, per_class)
-    shared = spark.sparkContext.broadcast(train(gather(rows), sizes))
+    rows = rows.checkpoint(eager=True)  # the bounded sample, read twice
+    used = informative(rows)
+    shared = spark.sparkContext.broadcast(train(gather(rows, used), used, sizes))
     row = F.struct(*docs.columns) if whole_rows else F.struct(F.col(doc_id).alias("doc_id"))
     source = docs.select(row.alias("row"), F.lower(text).alias("text"))
     return source.mapInArrow(
