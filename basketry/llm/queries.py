@@ -12,6 +12,7 @@ from basketry.llm.host_rules import host_quality
 from basketry.llm.html_text import extract_text
 from basketry.llm.mixing import mix_documents
 from basketry.llm.quality_rank import CUT, score_quality
+from basketry.llm.repeats import remove_repeats
 from basketry.llm.simhash import near_duplicates
 from basketry.llm.sql import LLM_ORACLE
 from basketry.llm.token_counts import count_tokens
@@ -62,6 +63,17 @@ def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(spark, _read(spark, sf_dir, "documents")).select("row.doc_id", "n_tokens")
 
 
+def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(spark, _read(spark, sf_dir, "documents"))
+    return found.select(
+        "row.doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def _html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract_text(spark, _read(spark, sf_dir, "pages"))
     return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -80,6 +92,7 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_counts": _token_counts,
+        "op2_repeats": _repeats,
         "op3_host_rules": _host_rules,
         "op4_html_text": _html_text,
         "op5_mixing": _mixing,
