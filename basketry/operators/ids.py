@@ -29,7 +29,7 @@ def fill_missing_key(df: DataFrame, key: str, start: int = 1) -> DataFrame:
     in_partition = F.col("_row") - F.shiftleft("_part", 33)
     return (
         tagged.withColumn("_part", per_partition)
-        .join(offsets, "_part")
+        .join(F.broadcast(offsets), "_part")  # one row per partition
         .withColumn(key, in_partition + F.col("_offset") + F.lit(start))
         .drop("_row", "_part", "_offset")
     )
@@ -46,27 +46,30 @@ def key_range(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.min(key).alias("min_id"), F.max(key).alias("max_id"))
 
 
-def id_gaps(df: DataFrame, key: str, block: int = 1 << 20) -> DataFrame:
+def id_gaps(df: DataFrame, key: str, block_bits: int = 20) -> DataFrame:
     """Ranges of missing ids between the smallest and the largest one.
 
-    Ids are made distinct first, then compared with their successor inside blocks of
-    ``block`` consecutive ids: a task sorts at most ``block`` ids whatever the data.
-    Gaps across blocks come from the per-block minimum and maximum, one row a block.
+    Ids are made distinct, then compared with their successor inside blocks of
+    ``2 ** block_bits`` consecutive ids. What is left is one range per block; those are compared
+    inside blocks of as many blocks, and so on until 64 bits are used up. A task sorts at most
+    ``2 ** block_bits`` rows, however sparse the ids; the last level has a few rows.
     """
-    ids = df.select(F.col(key).cast("bigint").alias("id")).filter("id is not null").distinct()
-    ids = ids.withColumn("block", F.floor(F.col("id") / F.lit(block)).cast("bigint"))
-    within = Window.partitionBy("block").orderBy("id")
-    inner = ids.select(F.col("id"), F.lead("id").over(within).alias("next_id"))
-    bounds = ids.groupBy("block").agg(F.min("id").alias("low"), F.max("id").alias("id"))
-    across = bounds.select("id", F.lead("low").over(Window.orderBy("block")).alias("next_id"))
-    return (
-        inner.unionByName(across)
-        .filter(F.col("next_id") - F.col("id") > 1)
-        .select(
-            (F.col("id") + 1).alias("gap_start"),
-            (F.col("next_id") - 1).alias("gap_end"),
-            (F.col("next_id") - F.col("id") - 1).alias("missing_ids"),
-        )
+    ids = df.select(F.col(key).cast("bigint").alias("low")).filter("low is not null").distinct()
+    level, pairs, shift = ids.withColumn("high", F.col("low")), None, block_bits
+    while True:
+        last = shift >= 64
+        blocked = level.withColumn("block", F.lit(0) if last else F.shiftright("low", shift))
+        following = F.lead("low").over(Window.partitionBy("block").orderBy("low"))
+        found = blocked.select(F.col("high").alias("id"), following.alias("next_id"))
+        pairs = found if pairs is None else pairs.unionByName(found)
+        if last:
+            break
+        level = blocked.groupBy("block").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        level, shift = level.drop("block"), shift + block_bits
+    return pairs.filter(F.col("next_id") - F.col("id") > 1).select(
+        (F.col("id") + 1).alias("gap_start"),
+        (F.col("next_id") - 1).alias("gap_end"),
+        (F.col("next_id") - F.col("id") - 1).alias("missing_ids"),
     )
 
 

@@ -19,15 +19,24 @@ def upsert(
 
     Matched rows take every source column, but only if some non-metadata column
     differs (NULL-safe); unmatched source rows are inserted; nothing is deleted.
-    ``target`` holds each non-NULL key once. NULL keys never match: target rows
-    with one are passed by the join, which also keeps them off a single task.
+    ``target`` holds each non-NULL key once. NULL keys never match a key: target rows with one
+    are passed by the join, which also keeps them off a single task, and a source row with
+    one is inserted unless the target holds the same row (metadata aside), so that a batch
+    merged twice is merged once.
     """
     columns = target.columns
     metadata = {c.lower() for c in METADATA_COLUMNS}
     newest = drop_duplicate_keys(source, key, date_column).select(*columns)
 
+    content = [c for c in columns if c.lower() not in metadata]
+    whole_row = F.struct(*[F.col(c) for c in content])
+    unkeyed = target.filter(F.col(key).isNull())
+    held = unkeyed.select(whole_row.alias("_row")).distinct()
+    new_unkeyed = newest.filter(F.col(key).isNull()).withColumn("_row", whole_row)
+    new_unkeyed = new_unkeyed.join(held, "_row", "left_anti").select(*columns)
+
     keyed = target.filter(F.col(key).isNotNull()).withColumn("_in_target", F.lit(True)).alias("t")
-    batch = newest.withColumn("_in_source", F.lit(True)).alias("s")
+    batch = newest.filter(F.col(key).isNotNull()).withColumn("_in_source", F.lit(True)).alias("s")
     joined = keyed.join(batch, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
 
     changed: Column = F.lit(False)
@@ -41,7 +50,7 @@ def upsert(
             for c in columns
         ]
     )
-    return merged.unionByName(target.filter(F.col(key).isNull()))
+    return merged.unionByName(unkeyed).unionByName(new_unkeyed)
 
 
 def newer_than_target(batch: DataFrame, column: str, target: DataFrame, mark: str) -> DataFrame:

@@ -53,32 +53,34 @@ def _check_table(
     # a hot value, NULL included, is folded here before anything else shuffles
     profile = tall.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("rows"))
 
-    parents = None
-    for check in checks:
-        if check.kind != "relationships":
-            continue
+    relations = [c for c in checks if c.kind == "relationships"]
+    for number, check in enumerate(relations):
         table, column = check.parent.split(".")
+        # one row per key of one check's parent, so the join neither mixes nor doubles rows
         keys = (
             tables[table]
             .select(
                 F.lit(targets.index(check.column)).alias("slot"),
                 F.col(column).cast("string").alias("value"),
+                F.lit(number).alias("relation"),
             )
             .filter(F.col("value").isNotNull())
             .distinct()
         )
-        parents = keys if parents is None else parents.unionByName(keys)
-    if parents is not None:
-        profile = profile.join(
-            parents.withColumn("known", F.lit(True)), ["slot", "value"], "left"
+        parents = keys if not number else parents.unionByName(keys)
+    if relations:
+        known = parents.groupBy("slot", "value").agg(
+            *[F.bool_or(F.col("relation") == k).alias(f"known{k}") for k in range(len(relations))]
         )
+        profile = profile.join(known, ["slot", "value"], "left")
 
     def failing(check: Check):
         here = F.col("slot") == targets.index(check.column)
         if check.kind == "not_null":
             return F.sum(F.when(here & F.col("value").isNull(), F.col("rows")))
         if check.kind == "relationships":
-            orphan = F.col("value").isNotNull() & F.col("known").isNull()
+            found = F.coalesce(F.col(f"known{relations.index(check)}"), F.lit(False))
+            orphan = F.col("value").isNotNull() & ~found
             return F.sum(F.when(here & orphan, F.col("rows")))
         if check.kind in ("unique", "grain"):
             return F.count(F.when(here & F.col("value").isNotNull() & (F.col("rows") > 1), 1))
@@ -124,3 +126,18 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     if report is None:
         raise ValueError("no checks given")
     return report
+
+
+class FailedChecks(Exception):
+    """Raised by ``require``; the message lists the checks."""
+
+
+def require(report: DataFrame) -> None:
+    """Stop a job whose report has failed checks of severity ``error``.
+
+    Brings the failed lines of the report, at most one per check, to the driver.
+    """
+    failed = report.filter("status = 'fail'").orderBy("table_name", "column_name", "check_name").collect()
+    if failed:
+        lines = [f"{r.table_name}.{r.column_name} {r.check_name}: {r.failing_rows}" for r in failed]
+        raise FailedChecks("; ".join(lines))

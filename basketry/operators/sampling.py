@@ -5,50 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SLOTS = 1 << 16
+_DIGITS = 15
+_BITS = 4 * _DIGITS
+_SLOT_BITS = 16
 
 
-def _slot(key: str, seed: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(_SLOTS))
+def key_hash(key: str, seed: int) -> Column:
+    """The first 60 bits of an MD5 over seed and key, which any engine can compute; NULL for NULL."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("bigint")
 
 
 def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
-    """About ``fraction`` of the keys, with all their rows; no shuffle."""
-    return df.filter(_slot(key, seed) < F.lit(int(round(fraction * _SLOTS))))
+    """About ``fraction`` of the keys, with all their rows; no shuffle. NULL keys are left out."""
+    return df.filter(key_hash(key, seed) < F.lit(int(fraction * (1 << _BITS))))
 
 
 def sample_keys(df: DataFrame, key: str, n: Column | int, seed: int = 42) -> DataFrame:
-    """All rows of exactly ``n`` distinct keys (all keys if there are fewer).
+    """All rows of exactly ``n`` distinct keys (all keys if there are fewer), NULL left out.
 
-    Keys are counted per hash slot (a fixed 65,536 rows), whole slots are taken while
-    they fit, and only the slot at the edge is ranked, so nothing is sorted globally.
+    The keys of least hash are taken, so the sample is a filter up to the n-th one. That one
+    is found by counting keys per hash slot (a fixed 65,536 rows) and ranking the keys of
+    the one slot it lies in; nothing is sorted globally and no row is joined.
     """
     wanted = F.lit(n) if isinstance(n, int) else n
     keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    keys = keys.withColumn("_slot", _slot(key, seed))
-    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    taken = (
-        keys.groupBy("_slot")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .withColumn("_room", wanted - F.col("_before"))
-        .filter("_room > 0")
-        .select("_slot", "_room", (F.col("_size") <= F.col("_room")).alias("_whole"))
-    )
-    slotted = keys.join(taken, "_slot")
-    whole = slotted.filter("_whole").select(key)
+    keys = keys.withColumn("_hash", key_hash(key, seed))
+    slot = F.shiftright("_hash", _BITS - _SLOT_BITS)
+    sizes = keys.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_size"))
+    upto = F.sum("_size").over(Window.orderBy("_slot"))
     edge = (
-        slotted.filter("not _whole")
-        .withColumn(
-            "_rank",
-            F.row_number().over(
-                Window.partitionBy("_slot").orderBy(F.xxhash64(F.lit(seed + 1), key), key)
-            ),
-        )
-        .filter("_rank <= _room")
-        .select(key)
+        sizes.withColumn("_upto", upto)
+        .filter(F.col("_upto") >= wanted)
+        .agg(F.min(F.struct("_slot", (wanted - (F.col("_upto") - F.col("_size"))).alias("_room"))).alias("edge"))
+    )
+    ranked = (
+        keys.filter(slot == edge.select("edge._slot").scalar())
+        .withColumn("_rank", F.row_number().over(Window.orderBy("_hash", key)))
+        .filter(F.col("_rank") == edge.select("edge._room").scalar())
     )
-    return df.join(whole.unionByName(edge), key, "left_semi")
+    last = ranked.agg(F.max(F.struct("_hash", F.col(key).alias("_key"))).alias("last"))
+    last_hash, last_key = last.select("last._hash").scalar(), last.select("last._key").scalar()
+    mine = key_hash(key, seed)
+    upto_last = (mine < last_hash) | ((mine == last_hash) & (F.col(key) <= last_key))
+    return df.filter(F.col(key).isNotNull() & (wanted > 0) & F.coalesce(upto_last, F.lit(True)))
 
 
 def refresh_sampled(

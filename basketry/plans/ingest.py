@@ -25,7 +25,7 @@ from basketry.operators.columns import (
 )
 from basketry.operators.cutover import combine, trim_historic
 from basketry.operators.dedup import drop_duplicate_keys
-from basketry.operators.ids import fill_missing_key
+from basketry.operators.ids import fill_missing_key, first_missing_ids, gap_summary, lost_ids
 from basketry.operators.merge import upsert
 from basketry.schemas import date_column, primary_key, table_spec
 from basketry.sources import writers
@@ -119,7 +119,8 @@ def run_ingest(
 
     Tables are independent jobs, a few at a time; one that fails is reported and does
     not stop the others. The merge reads the written extract back instead of building
-    it again; the report scans the key, date and source columns of the inputs.
+    it again; the report scans the key, date and source columns of the inputs. Beside it stand
+    the key range with its number of gaps, the first missing ids, and the lost ids.
     """
     run = run or Run()
 
@@ -136,6 +137,14 @@ def run_ingest(
         if form == "csv":
             writers.write_csv_extract(spark.read.parquet(folder), f"{folder}_csv", key)
         writers.write_metadata(result.report, f"{folder}_metadata")
+        saved = lower_names(spark.read.parquet(folder))
+        writers.write_metadata(gap_summary(saved, primary_key(table)), f"{folder}_keys")
+        writers.write_metadata(first_missing_ids(saved, primary_key(table)), f"{folder}_gaps")
+        if load_historic:
+            before = lower_names(load_historic())
+            if primary_key(table) in before.columns:
+                gone = lost_ids(before, saved, primary_key(table))
+                gone.write.mode("overwrite").parquet(f"{folder}_lost")
         merge_into(f"{prefix}{table}", spark.read.parquet(folder), table)
         return "ok"
 

@@ -404,6 +404,7 @@ def orders(
     address_book: DataFrame,
     stg_customers: DataFrame,
     mode: str = "faithful",
+    destination: bool = False,
 ) -> DataFrame:
     """Orders with lookup keys, address keys, item totals and review totals.
 
@@ -412,6 +413,9 @@ def orders(
     yields one order row per city. The first is a product of two pre-aggregates, so
     items and reviews are never multiplied out. ``corrected`` counts each item once and
     takes the address of the ordering customer, without any address join.
+
+    With ``destination`` the street and location key of the shipping address come along (the
+    address key decides both), so that no reader has to look the address up again.
     """
     if mode not in ("faithful", "corrected"):
         raise ValueError(f"unknown mode {mode}")
@@ -445,12 +449,12 @@ def orders(
         F.col("loaded_at").alias("created_at"),
     )
     if mode == "faithful":
-        street = address_book.select("street_address", "address_id")
         for role in ("shipping", "billing"):
             keyed = keyed.join(
-                street.select(
+                address_book.select(
                     F.col("street_address").alias(f"{role}_address"),
                     F.col("address_id").alias(f"{role}_address_id"),
+                    F.col("location_id").alias(f"{role}_location_id"),
                 ),
                 f"{role}_address",
                 "left",
@@ -477,13 +481,25 @@ def orders(
                     ),
                 ),
             )
+        keyed = keyed.withColumn(
+            "shipping_location_id",
+            F.when(
+                F.col("shipping_address_id").isNotNull(),
+                surrogate_key("place.city", "place.state", "place.country"),
+            ),
+        )
         units = F.col("units")
     total_items = F.sum(units) if mode == "faithful" else F.max(units)
+    carried = []
+    if destination:
+        known = F.col("shipping_address_id").isNotNull()
+        keyed = keyed.withColumn("shipping_street", F.when(known, F.col("shipping_address")))
+        carried = ["shipping_street", "shipping_location_id"]
     return (
         keyed.join(items, "order_id", "left")
         .join(reviews, "order_id", "left")
         # grouping keys include the join key: no shuffle of its own
-        .groupBy(*_ORDER_GROUP)
+        .groupBy(*_ORDER_GROUP, *carried)
         .agg(
             F.coalesce(F.max("products"), F.lit(0).cast("bigint")).alias("unique_products"),
             total_items.alias("total_items"),
@@ -497,5 +513,6 @@ def orders(
             "has_review",
             "avg_review_score",
             "created_at",
+            *carried,
         )
     )

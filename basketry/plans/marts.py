@@ -133,10 +133,14 @@ def dim_customers(
 def dim_dates(
     orders: DataFrame, interactions: DataFrame, as_of: date, run_ts: datetime
 ) -> DataFrame:
-    """Calendar rows of the dates that occur; days are cut before the distinct."""
+    """Calendar rows of the dates that occur; days are cut before the distinct.
+
+    ``orders`` are staged orders: an order is dated by its own day and that of its load, which
+    its address and items do not change.
+    """
     today = F.lit(as_of).cast("date")
     order_days = orders.select(
-        F.explode(F.array(F.to_date("order_date"), F.to_date("created_at"))).alias("date")
+        F.explode(F.array(F.to_date("order_date"), F.to_date("loaded_at"))).alias("date")
     )
     event_days = interactions.select(F.to_date("event_date").alias("date"))
     day = F.col("date")
@@ -266,11 +270,14 @@ def fct_customer_orders(
 
     ``faithful``: the item total counts once per review of the order and once per row
     the order has in ``orders``. With ``target`` only orders past its newest date are
-    built (days arrive complete).
+    built (days arrive complete), from the items and reviews of those orders alone.
     """
     if target is not None:
         dated = orders.withColumn("_day", F.to_date("order_date"))
         orders = newer_than_target(dated, "_day", target, "order_date").drop("_day")
+        fresh = orders.select("order_id").distinct()
+        order_items = order_items.join(fresh, "order_id", "left_semi")
+        reviews = reviews.join(fresh, "order_id", "left_semi")
     grain = ["customer_id", "order_id", "order_date", "total_amount"]
     items = (
         order_items.filter(F.col("order_id").isNotNull())
@@ -355,13 +362,13 @@ def fct_order_details(
     brands: DataFrame,
     statuses: DataFrame,
     payments: DataFrame,
-    addresses: DataFrame,
     reviews: DataFrame,
     run_ts: datetime,
 ) -> DataFrame:
     """One wide row per order item (and review of it).
 
-    Dimensions are widened at their own size, orders get theirs before they meet the
+    ``orders`` carry the street and location of their destination, so the address book is not
+    met again. Dimensions are widened at their own size, orders get theirs before they meet the
     items, and the items join once per key. Small sides are broadcast by their measured
     size only.
     """
@@ -382,15 +389,10 @@ def fct_order_details(
         .join(brands.select("brand_id", "brand_name"), "brand_id")
         .select("product_id", "product_name", "category_name", "brand_name")
     )
-    destinations = (
-        addresses.select("address_id", "street_address", "location_id")
-        .join(place, "location_id", "left")
-        .select(
-            F.col("address_id").alias("shipping_address_id"),
-            F.col("street_address").alias("shipping_address"),
-            F.col("city").alias("shipping_city"),
-            F.col("state").alias("shipping_state"),
-        )
+    cities = place.select(
+        F.col("location_id").alias("shipping_location_id"),
+        F.col("city").alias("shipping_city"),
+        F.col("state").alias("shipping_state"),
     )
     heads = (
         orders.select(
@@ -399,7 +401,8 @@ def fct_order_details(
             "order_date",
             "status_id",
             "payment_method_id",
-            "shipping_address_id",
+            F.col("shipping_street").alias("shipping_address"),
+            "shipping_location_id",
             "shipping_cost",
             F.col("total_amount").alias("order_total"),
             "created_at",
@@ -411,7 +414,7 @@ def fct_order_details(
             "payment_method_id",
             "left",
         )
-        .join(destinations, "shipping_address_id", "left")
+        .join(cities, "shipping_location_id", "left")
     )
     items = order_items.select(
         "order_id", "product_id", "quantity", "unit_price", F.col("total_price").alias("item_total")

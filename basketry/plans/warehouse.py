@@ -6,7 +6,9 @@ from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from basketry.operators.merge import newer_than_target
 from basketry.plans import intermediate, marts, staging
 from basketry.schemas import TABLES
 from basketry.session import ensure_checkpoint_dir
@@ -113,14 +115,9 @@ class Warehouse:
             "order_items": lambda: intermediate.order_items(
                 w["stg_order_items"], w["stg_orders"], w["products_enriched"], w["stg_reviews"]
             ),
-            "orders": lambda: intermediate.orders(
-                w["stg_orders"],
-                w["stg_order_items"],
-                w["stg_reviews"],
-                w["addresses"],
-                w["stg_customers"],
-                self.mode,
-            ),
+            "orders": lambda: self._orders(),
+            # not a published model: orders with what the address join found on the way
+            "orders_with_destination": lambda: self._orders(destination=True),
             "dim_categories": lambda: marts.dim_categories(
                 w["categories_enriched"], w["subcategories_enriched"], w["products_enriched"]
             ),
@@ -134,7 +131,7 @@ class Warehouse:
                 ts,
             ),
             "dim_dates": lambda: marts.dim_dates(
-                w["orders"], w["customer_interactions"], self.as_of, ts
+                w["stg_orders"], w["customer_interactions"], self.as_of, ts
             ),
             "dim_locations": lambda: marts.dim_locations(w["locations"]),
             "dim_products": lambda: marts.dim_products(
@@ -154,7 +151,7 @@ class Warehouse:
                 w["reviews_enriched"], w["products_enriched"]
             ),
             "fct_order_details": lambda: marts.fct_order_details(
-                w["orders"],
+                w["orders_with_destination"],
                 w["order_items"],
                 w["customers_enriched"],
                 w["locations"],
@@ -163,7 +160,6 @@ class Warehouse:
                 w["brands"],
                 w["order_statuses"],
                 w["payment_methods"],
-                w["addresses"],
                 w["reviews_enriched"],
                 ts,
             ),
@@ -188,6 +184,36 @@ class Warehouse:
             raise KeyError(f"no model named {name}")
         return builders[name]()
 
+    def _orders(self, destination: bool = False) -> DataFrame:
+        return intermediate.orders(
+            self["stg_orders"],
+            self["stg_order_items"],
+            self["stg_reviews"],
+            self["addresses"],
+            self["stg_customers"],
+            self.mode,
+            destination,
+        )
+
+    def customer_orders_since(self, target: DataFrame) -> DataFrame:
+        """``fct_customer_orders`` of the orders past the newest ``order_date`` of ``target``.
+
+        New orders come first: their items and reviews are picked by a semi-join before anything
+        is aggregated, so the work follows the increment. The address book is that of all orders.
+        """
+        dated = self["stg_orders"].withColumn("_day", F.to_date("order_date"))
+        fresh = newer_than_target(dated, "_day", target, "order_date").drop("_day")
+        ids = fresh.select("order_id").distinct()
+        items, reviews, enriched = (
+            self[name].join(ids, "order_id", "left_semi")
+            for name in ("stg_order_items", "stg_reviews", "reviews_enriched")
+        )
+        orders = intermediate.orders(
+            fresh, items, reviews, self["addresses"], self["stg_customers"], self.mode
+        )
+        bought = intermediate.order_items(items, fresh, self["products_enriched"], reviews)
+        return marts.fct_customer_orders(orders, bought, enriched, self.run_ts, mode=self.mode)
+
     # materialization
 
     def pin(self, names: list[str]) -> None:
@@ -202,9 +228,14 @@ class Warehouse:
         self._built[name].createOrReplaceTempView(name)
         return self.spark.table(name)
 
-    def as_table(self, name: str, root: str, day: str | None = None) -> DataFrame:
+    def as_table(
+        self, name: str, root: str, day: str | None = None, database: str | None = None
+    ) -> DataFrame:
         """Write a model as Parquet under ``root`` and read it back from now on.
 
+        With ``database`` the catalog's table of that name then points at the new files, so
+        that other sessions see them; the files of the table before are left where they are.
+
         A table is never written over: somebody may be reading it.
         Facts are partitioned by day. The rebalance hint groups a day's rows into few
         files and lets AQE split a day that is too large for one task.
@@ -216,20 +247,30 @@ class Warehouse:
         else:
             writer = df.write
         writer.mode("errorifexists").parquet(path)
+        if database:
+            qualified = f"{database}.{name}"
+            self.spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+            self.spark.catalog.createTable(qualified, path=path, source="parquet")
+            if day:
+                self.spark.catalog.recoverPartitions(qualified)
         # a hidden-folder partition column comes back last: restore the order
         self._built[name] = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
         return self._built[name]
 
-    def refresh(self, root: str) -> list[str]:
+    def refresh(self, root: str, database: str | None = None) -> list[str]:
         """Full refresh into a new folder: staging views, intermediate tables, dimension
-        views, fact tables."""
+        views, fact tables. With ``database`` the catalog has all but the staging views, and
+        dimensions are tables as well: a view of another session's plan can't be stored."""
         self._built.clear()
         for name in STAGING:
             self.as_view(name)
         for name in INTERMEDIATE:
-            self.as_table(name, root)
+            self.as_table(name, root, database=database)
         for name in DIMENSIONS:
-            self.as_view(name)
+            if database:
+                self.as_table(name, root, database=database)
+            else:
+                self.as_view(name)
         for name, day in FACTS.items():
-            self.as_table(name, root, day)
+            self.as_table(name, root, day, database)
         return [*STAGING, *INTERMEDIATE, *DIMENSIONS, *FACTS]

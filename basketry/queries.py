@@ -24,14 +24,14 @@ from basketry.operators.ids import (
 from basketry.operators.merge import append_increment, upsert
 from basketry.operators.quality import Check, run_checks
 from basketry.operators.sampling import refresh_sampled, sample_keys
-from basketry.plans import marts, measures
+from basketry.plans import measures
 from basketry.plans.checks import (
     INTERMEDIATE_CHECKS,
     MART_CHECKS,
     RAW_CHECKS,
     STAGING_CHECKS,
 )
-from basketry.plans.ingest import Run
+from basketry.plans.ingest import Run, ingest_table, transform
 from basketry.plans.warehouse import Warehouse
 from basketry.schemas import TABLES
 from basketry.session import tune
@@ -181,6 +181,31 @@ def ingest_audit(spark: SparkSession, directory: str) -> DataFrame:
     return present(orders.unionByName(doubled).drop("columns", "data_types"))
 
 
+def ingest_transform(spark: SparkSession, directory: str) -> DataFrame:
+    """An extract as it comes: mixed-case and doubled names, NaN, nested columns, spelled dates."""
+    orders = DriverTables(tune(spark), directory).read("orders")
+    missing = F.col("o_orderkey") % 5 == 0
+    extract = orders.select(
+        F.col("o_orderkey").cast("string").alias("Order_ID"),
+        F.when(missing, F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("Total_Amount"),
+        F.when(missing, "no date").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("order_date"),
+        F.struct(F.col("o_orderstatus").alias("code"), F.struct("o_custkey").alias("by")).alias("state"),
+        F.col("o_orderpriority").alias("note"),
+        F.col("o_orderkey").alias("Note"),
+    )
+    return transform(extract, "orders", "latest", LATEST_RUN)
+
+
+def ingest_reference(spark: SparkSession, directory: str) -> DataFrame:
+    """A table without history: whatever was there, the latest extract replaces it."""
+    categories = open_warehouse(spark, directory)["raw_categories"].select("category_id", "category_name")
+    latest = categories.filter(~F.col("category_id").startswith("A")).withColumn(
+        "category_name", F.upper("category_name")
+    )
+    result = ingest_table("categories", categories, latest, LATEST_RUN)
+    return result.rows
+
+
 def incremental_orders(spark: SparkSession, directory: str) -> DataFrame:
     rows = _order_rows(spark, directory).select("order_id", "order_date", "total_amount")
     loaded = rows.filter(F.col("order_date") < F.lit(LATEST_FROM).cast("timestamp_ntz"))
@@ -191,15 +216,11 @@ def incremental_customer_orders(spark: SparkSession, directory: str) -> DataFram
     """The mart built up to a day, then extended past its newest date."""
     w = open_warehouse(spark, directory)
     loaded = (
-        w["orders"]
+        w["stg_orders"]
         .select(F.to_date("order_date").alias("order_date"))
         .filter(F.col("order_date") < F.lit(LATEST_FROM).cast("date"))
     )
-    return present(
-        marts.fct_customer_orders(
-            w["orders"], w["order_items"], w["reviews_enriched"], RUN_TS, target=loaded
-        ).drop("created_at")
-    )
+    return present(w.customer_orders_since(loaded).drop("created_at"))
 
 
 def pk_gaps(spark: SparkSession, directory: str) -> DataFrame:
@@ -349,6 +370,8 @@ def registered_queries() -> dict[str, Query]:
         ingest_dedup,
         ingest_upsert,
         ingest_audit,
+        ingest_transform,
+        ingest_reference,
         incremental_orders,
         incremental_customer_orders,
         pk_gaps,

@@ -36,23 +36,6 @@ SCHEMAS = {
 }
 
 
-# Near-unique columns of the one table large enough to spread.
-SPREAD_KEYS = {"lineitem": ("l_orderkey", "l_partkey", "l_linenumber")}
-
-
-def spread(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Spread the rows of a table that is read by fewer tasks than there are cores.
-
-    A Parquet file with one row group is read by one task, and so is all that follows
-    up to the first shuffle. Tables in many files, the normal case, are left alone.
-    The tasks are counted by planning the scan; nothing is read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= min(cores, 8):
-        return df
-    return df.repartition(cores, *keys)
-
-
 class DriverTables:
     """The eight raw tables over one directory of test Parquet files."""
 
@@ -64,10 +47,7 @@ class DriverTables:
     def read(self, name: str) -> DataFrame:
         if name not in self._opened:
             path = f"{self.directory}/{name}.parquet"
-            df = self.spark.read.schema(SCHEMAS[name]).parquet(path)
-            if name in SPREAD_KEYS:
-                df = spread(df, SPREAD_KEYS[name])
-            self._opened[name] = df
+            self._opened[name] = self.spark.read.schema(SCHEMAS[name]).parquet(path)
         return self._opened[name]
 
     def _places(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,31 +84,42 @@ def append_table(df: DataFrame, name: str) -> None:
 
 
 def _snapshots(spark: SparkSession, name: str) -> list[str]:
-    """Snapshot tables of a published table, oldest first."""
-    pattern = re.compile(rf"{re.escape(name.lower())}__v\d{{6}}")
-    found = [t.name for t in spark.catalog.listTables(pattern=f"{name}__v*")]
-    return sorted(t for t in found if pattern.fullmatch(t.lower()))
+    """Snapshot tables of a published table, oldest first, qualified like ``name``."""
+    database, _, table = name.rpartition(".")
+    pattern = re.compile(rf"{re.escape(table.lower())}__v\d{{6}}")
+    listed = spark.catalog.listTables(database or None, pattern=f"{table}__v*")
+    found = sorted(t.name for t in listed if pattern.fullmatch(t.name.lower()))
+    return [f"{database}.{t}" if database else t for t in found]
 
 
-def publish(df: DataFrame, name: str, keep: int = 3) -> str:
+def publish(df: DataFrame, name: str) -> str:
     """Write a new snapshot of ``name`` as its own table and point the view at it.
 
     The old snapshot stays readable while the new one is built from it, and readers
-    move over in one catalog change. The ``keep`` newest snapshots are kept.
+    move over in one catalog change. Snapshots are kept until ``expire`` is called. One
+    writer at a time: two that number the same snapshot end in an error for the second.
     """
-    if keep < 2:
-        raise ValueError("keep at least the snapshot readers may still be on")
     spark = df.sparkSession
     older = _snapshots(spark, name)
     number = int(older[-1][-6:]) + 1 if older else 1
     snapshot = f"{name}__v{number:06d}"
     df.write.mode("errorifexists").format("parquet").saveAsTable(snapshot)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {snapshot}")
-    for expired in [*older, snapshot][:-keep]:
-        spark.sql(f"DROP TABLE {expired}")
     return snapshot
 
 
+def expire(spark: SparkSession, name: str, older_than: datetime) -> list[str]:
+    """Drop snapshots created before ``older_than``, never the newest; the caller knows its readers."""
+    dropped = []
+    for snapshot in _snapshots(spark, name)[:-1]:
+        facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {snapshot}").collect()}
+        created = datetime.strptime(" ".join(facts["Created Time"].split()), "%a %b %d %H:%M:%S %Z %Y")
+        if created < older_than:
+            spark.sql(f"DROP TABLE {snapshot}")
+            dropped.append(snapshot)
+    return dropped
+
+
 def published(spark: SparkSession, name: str) -> DataFrame | None:
     """Current snapshot of a published table, if there is one."""
     return spark.table(name) if spark.catalog.tableExists(name) else None

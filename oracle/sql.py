@@ -704,6 +704,31 @@ SELECT p.product_id,
 FROM stg_products p LEFT JOIN stg_reviews v ON v.product_id = p.product_id
 GROUP BY p.product_id"""
 
+_LOAD = "'latest' AS DATA_SOURCE, 'batch-1' AS BATCH_ID, '2001-08-03 00:00:00' AS LOADED_AT"
+_FINAL["ingest_transform"] = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS ORDER_ID,
+       CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS TOTAL_AMOUNT,
+       CASE WHEN o_orderkey % 5 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00') END AS ORDER_DATE,
+       o_orderstatus AS STATE_CODE, o_custkey AS STATE_BY_O_CUSTKEY,
+       o_orderpriority AS NOTE_1, o_orderkey AS NOTE_2, {_LOAD}
+FROM orders"""
+_FINAL["ingest_reference"] = f"""
+SELECT DISTINCT p_type AS CATEGORY_ID, upper(p_type) AS CATEGORY_NAME, {_LOAD}
+FROM part WHERE p_type NOT LIKE 'A%'"""
+_KEY_HASH = "CAST('0x' || substr(md5('42:' || customer_id), 1, 15) AS BIGINT)"
+_FINAL["customer_sample"] = f"""
+SELECT * EXCLUDE (place) REPLACE (CAST(annual_income AS DOUBLE) AS annual_income, CAST(age AS BIGINT) AS age)
+FROM (SELECT *, row_number() OVER (ORDER BY {_KEY_HASH}, customer_id) AS place FROM stg_customers)
+WHERE place <= (SELECT floor(count(*) * 0.3) FROM stg_customers)"""
+_FINAL["returning_customers"] = f"""
+SELECT * REPLACE (CAST(annual_income AS DOUBLE) AS annual_income, CAST(age AS BIGINT) AS age,
+    TIMESTAMP '2001-08-03' AS last_login, TRUE AS is_active)
+FROM stg_customers WHERE {_KEY_HASH} < {int(0.2 * (1 << 60))}
+UNION ALL
+SELECT * REPLACE (CAST(annual_income AS DOUBLE) AS annual_income, CAST(age AS BIGINT) AS age,
+    'N' || customer_id AS customer_id)
+FROM stg_customers WHERE signup_date >= TIMESTAMP '1995-12-01'"""
+
 # quality
 
 _RELATIONS = {

@@ -103,12 +103,20 @@ def test_merge_is_idempotent_and_takes_new_columns(spark):
     assert spark.table("t_idem").first().NOTE == "gift"
 
 
-def test_publishing_keeps_the_newest_snapshots(spark):
-    for n in range(5):
-        writers.publish(spark.range(n + 1), "t_pub", keep=2)
-    assert spark.table("t_pub").count() == 5
-    kept = sorted(t.name for t in spark.catalog.listTables(pattern="t_pub__v*"))
-    assert kept == ["t_pub__v000004", "t_pub__v000005"]
+def test_publishing_keeps_snapshots_until_they_expire(spark):
+    for n in range(3):
+        writers.publish(spark.range(n + 1), "t_pub")
+    assert spark.table("t_pub").count() == 3
+    assert writers.expire(spark, "t_pub", datetime(2000, 1, 1)) == []
+    assert writers.expire(spark, "t_pub", datetime(2100, 1, 1)) == ["t_pub__v000001", "t_pub__v000002"]
+    assert spark.table("t_pub").count() == 3
+
+
+def test_publishing_twice_under_a_qualified_name(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake")
+    writers.publish(spark.range(1), "lake.t")
+    assert writers.publish(spark.range(2), "lake.t") == "lake.t__v000002"
+    assert writers.published(spark, "lake.t").count() == 2
 
 
 def test_append_creates_then_appends(spark):

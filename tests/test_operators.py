@@ -102,6 +102,16 @@ def test_upsert_twice_is_once(spark):
     assert rows(merge.upsert(once, source, "ID")) == rows(once)
 
 
+def test_rows_without_a_key_are_merged_once(spark):
+    target = raw(spark, ("1", "a", "historic", "b0", T0), (None, "x", "historic", "b0", T0))
+    batch = raw(spark, (None, "x", "latest", "b1", T1), ("2", "c", "latest", "b1", T1))
+    once = merge.upsert(target, batch, "ID")
+    assert rows(once.select("ID", "V")) == [("1", "a"), ("2", "c"), (None, "x")]
+    fresh = raw(spark, (None, "y", "latest", "b2", T1))
+    twice = merge.upsert(merge.upsert(once, fresh, "ID"), fresh, "ID")
+    assert rows(twice.filter("ID is null").select("V")) == [("x",), ("y",)]
+
+
 def test_increment_of_nothing_is_everything(spark):
     batch = spark.createDataFrame([(1, 5), (2, 7)], "id int, d int")
     assert merge.append_increment(batch, "d", batch.limit(0)).count() == 2
@@ -188,8 +198,8 @@ def test_nan_becomes_null(spark):
 
 def test_gaps(spark):
     df = spark.createDataFrame([(str(i),) for i in (1, 2, 5, 5, 6, 9)], "id string")
-    for block in (1 << 20, 2, 1):  # gaps inside blocks and across them
-        assert rows(ids.id_gaps(df, "id", block)) == [(3, 4, 2), (7, 8, 2)]
+    for bits in (20, 8, 5):  # one block, and several levels of blocks
+        assert rows(ids.id_gaps(df, "id", bits)) == [(3, 4, 2), (7, 8, 2)]
     assert tuple(ids.gap_summary(df, "id").first()) == (1, 9, 5, 4)
     assert [r.missing_id for r in ids.first_missing_ids(df, "id", 3).collect()] == [3, 4, 7]
 
@@ -199,11 +209,23 @@ def test_gaps(spark):
 def test_gaps_against_brute_force(spark, present):
     df = spark.createDataFrame([(i,) for i in present], "id bigint")
     found = set()
-    for r in ids.id_gaps(df, "id", 8).collect():
+    for r in ids.id_gaps(df, "id", 6).collect():
         found |= set(range(r.gap_start, r.gap_end + 1))
     assert found == set(range(min(present), max(present) + 1)) - present
 
 
+def test_gaps_of_sparse_ids(spark):
+    present = sorted({(k * k * 5_000_000_011) % (1 << 62) - (1 << 61) for k in range(2000)})
+    df = spark.createDataFrame([(i,) for i in present], "id bigint")
+    gaps = ids.id_gaps(df, "id")
+    got = sorted((r.gap_start, r.gap_end) for r in gaps.collect())
+    assert got == [(a + 1, b - 1) for a, b in zip(present, present[1:]) if b - a > 1]
+    # the only window over everything sees one row per 2 ** 60 ids
+    plan = gaps._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 4 and sum("block" not in w for w in windows) <= 1
+
+
 def test_missing_key_is_filled_densely(spark):
     df = spark.range(1000).repartition(7).select(F.col("id").alias("x"))
     got = ids.fill_missing_key(df, "id", start=5)
@@ -306,6 +328,9 @@ def test_exact_sample(spark):
 def test_fraction_sample_is_repeatable(spark):
     df = spark.range(10_000).select(F.col("id").cast("string").alias("id"))
     part = sampling.sample_fraction(df, "id", 0.2)
+    large = spark.range(3_000_000)
+    assert 5 <= sampling.sample_fraction(large, "id", 5e-6).count() <= 30
+    assert 1 <= sampling.sample_fraction(large, "id", 1e-6).count() <= 10
     assert 1700 < part.count() < 2300
     assert rows(part) == rows(sampling.sample_fraction(df.repartition(3), "id", 0.2))
 
@@ -354,6 +379,23 @@ def test_checks_on_orphans(spark):
     ]
 
 
+def test_two_parents_of_one_column_are_kept_apart(spark):
+    child = spark.createDataFrame([("1",), ("2",), ("2",), (None,)], "c string")
+    a, b = (spark.createDataFrame([(k,) for k in keys], "k string") for keys in (["1", "2"], ["2", "2"]))
+    report = quality.run_checks(
+        {"child": child, "a": a, "b": b},
+        [
+            Check("child", "c", "relationships", "a.k"),
+            Check("child", "c", "relationships", "b.k"),
+            Check("child", "c", "unique"),
+        ],
+    )
+    assert [r.failing_rows for r in report.collect()] == [0, 1, 1]
+    with pytest.raises(quality.FailedChecks, match="child.c relationships: 1"):
+        quality.require(report)
+    quality.require(report.filter("failing_rows = 0"))
+
+
 def test_checks_on_an_empty_table(spark):
     empty = spark.createDataFrame([], "id string")
     report = quality.run_checks({"t": empty}, [Check("t", "id", "not_null")])

@@ -39,14 +39,21 @@ _TABLES = {
 }
 
 _QUERIES = [
+    "stg_products",
+    "lookup_education",
+    "brands",
+    "locations",
     "addresses",
+    "categories_enriched",
     "customers_enriched",
     "products_enriched",
     "reviews_enriched",
+    "customer_interactions",
     "order_items",
     "orders_enriched",
     "dim_categories",
     "dim_customers",
+    "dim_dates",
     "fct_customer_activity",
     "fct_customer_orders",
     "fct_customer_reviews",
@@ -58,7 +65,9 @@ _QUERIES = [
     "fct_sales_by_region",
     "customer_journey",
     "ingest_audit",
+    "pk_gaps",
     "event_transitions",
+    "price_band_scores",
     "rating_refresh",
     "dq_report",
 ]
