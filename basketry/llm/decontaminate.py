@@ -17,7 +17,6 @@ then brought together per document.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -221,6 +220,34 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, [*kept.schema.names, "n_hit", "n_items", "items"])
 
 
+def passes_over(benchmark: DataFrame, item_text: str = "text", pass_bytes: int = PASS_BYTES) -> int:
+    size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
+    return max(1, -(-size // pass_bytes))
+
+
+def drop_contaminated(
+    spark: SparkSession,
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    pass_bytes: int = PASS_BYTES,
+) -> DataFrame:
+    """``docs`` less those that hold a benchmark window.
+
+    After one pass the rows come out of the search itself. After several the ids and texts that
+    were hit are taken out by an anti-join on a hash of each.
+    """
+    if passes_over(benchmark, pass_bytes=pass_bytes) == 1:
+        marked = mark_contaminated(spark, docs, benchmark, doc_id=doc_id, text=text, carry=docs.columns)
+        return marked.where("n_hit = 0").select("row.*")
+    marked = mark_contaminated(spark, docs, benchmark, doc_id=doc_id, text=text, pass_bytes=pass_bytes)
+    hit = marked.where("n_hit > 0").select(F.xxhash64("doc_id").alias("_id_hash"), F.col("version").alias("_text_hash"))
+    mine = docs.withColumn("_id_hash", F.xxhash64(doc_id)).withColumn("_text_hash", F.xxhash64(text))
+    return mine.join(hit.distinct(), ["_id_hash", "_text_hash"], "left_anti").select(*docs.columns)
+
+
 def mark_contaminated(
     spark: SparkSession,
     docs: DataFrame,
@@ -239,14 +266,14 @@ def mark_contaminated(
     Null and empty texts have no words and are never hit; items without words never occur; a
     null item id is listed as ``null``; repeated items count once. Repeated documents are judged
     each. An empty benchmark hits nothing. ``carry`` names columns of ``docs`` to return in a
-    struct ``row`` beside the result, so that no name of theirs can clash with it.
+    struct ``row`` beside the result, so that no name of theirs can clash with it; that needs a
+    benchmark of one pass. Several passes add ``version``, a hash of the text.
     """
     prepare(spark)
     listed = benchmark.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"), F.col(item_text).alias("text")
     )
-    size = listed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = max(1, -(-size // pass_bytes))
+    passes = passes_over(benchmark, item_text, pass_bytes)
     kind = docs.schema[doc_id].dataType.simpleString()
     columns = [F.col(doc_id).alias("doc_id")]
     head = f"doc_id {kind}, "
@@ -281,7 +308,7 @@ def mark_contaminated(
         f"doc_id {kind}, version long, n_words long, copies long, n_hit long, n_items long, items array<string>",
     )
     each = whole.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return each.select("doc_id", "n_words", "n_hit", "n_items", "items")
+    return each.select("doc_id", "version", "n_words", "n_hit", "n_items", "items")
 
 
 def digest(marked: DataFrame) -> DataFrame:
@@ -294,8 +321,3 @@ def digest(marked: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
-
-
-def items_as_python(ids: list[str]) -> str:
-    """``items_sha256`` of a list of item ids, as a plain function."""
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()

@@ -139,7 +139,7 @@ def mix_documents(
     are broken by hashes. An empty table gives no rows. Other columns are not read.
     """
     prepare(spark)
-    same = Window.partitionBy("id_hash", "text_hash").orderBy(F.lit(0))
+    same = Window.partitionBy("id_hash", "text_hash").orderBy("source")
     sizes = document_sizes(docs, doc_id, source, text).withColumn("copy", F.row_number().over(same))
     sizes = sizes.checkpoint(eager=True)  # numbers only; the texts are read once
     targets = source_targets(sizes, weights, most).checkpoint(eager=True)

@@ -269,5 +269,6 @@ def keep_one(
     keys = leaders.select(F.xxhash64("first.doc_id").alias("_id_hash"), F.col("first.version").alias("_text_hash"))
     mine = docs.withColumn("_id_hash", F.xxhash64(doc_id)).withColumn("_text_hash", F.xxhash64(text))
     kept = mine.join(keys, ["_id_hash", "_text_hash"], "left_semi")
-    copy = F.row_number().over(Window.partitionBy("_id_hash", "_text_hash").orderBy(F.lit(0)))
+    others = F.to_json(F.struct(*[c for c in docs.columns if c != text]))
+    copy = F.row_number().over(Window.partitionBy("_id_hash", "_text_hash").orderBy(others))
     return kept.withColumn("_copy", copy).where("_copy = 1").drop("_copy", "_id_hash", "_text_hash")

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.decontaminate import mark_contaminated
+from basketry.llm.decontaminate import drop_contaminated
 from basketry.llm.mixing import mix_documents
 from basketry.llm.queries import TOXIC_CUT
 from basketry.llm.repeats import remove_repeats
@@ -55,20 +55,19 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    marked = mark_contaminated(spark, docs, _table(spark, sf_dir, "benchmark"), carry=docs.columns)
-    return marked.where("n_hit = 0").select("row.*")
+    return drop_contaminated(spark, docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for, ``mix_copy`` counting from 1.
 
-    Documents and their numbers of copies meet on a hash of id and text. Equal rows share one
-    list of numbers; each takes its own from it, and it does not matter which.
+    Documents and their numbers of copies meet on a hash of id and text; rows alike in both are
+    numbered in order of their source.
     """
     mixed = mix_documents(spark, docs)
     counts = mixed.select("id_hash", "text_hash", F.col("copy").alias("_nth"), "copies").where("copies > 0")
     mine = docs.withColumn("id_hash_", F.xxhash64("doc_id")).withColumn("text_hash_", F.xxhash64("text"))
-    same = Window.partitionBy("id_hash_", "text_hash_").orderBy(F.lit(0))
+    same = Window.partitionBy("id_hash_", "text_hash_").orderBy(F.col("source").cast("string"))
     mine = mine.withColumn("nth_", F.row_number().over(same))
     on = (
         (F.col("id_hash_") == F.col("_id_hash"))
