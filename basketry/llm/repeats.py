@@ -9,9 +9,9 @@ minimizer is a *string* here, 50 to 84 bytes long. The steps, each a shuffle of
 2. the chunk's distinct strings on those minimizers go, with the least document that holds them,
    to the minimizer's bucket. There each shard of strings gets its suffixes sorted once and a
    Burrows-Wheeler transform; the transforms are merged by refining an interleave one symbol a
-   round, without sorting the suffixes of all shards again. Two neighbours of the interleave
-   part in the round that is one more than their common prefix; what is still together after 50
-   rounds is an interval of equal windows, and its least document is the first that holds them;
+   round, without sorting the suffixes of all shards again. Suffixes part in the round that is
+   one more than their common prefix; what is still together after 50 rounds is an interval of
+   equal windows, and its least document is the first that holds them;
 3. the windows that an earlier document holds return to the chunk, which cuts them out.
 
 Texts are shuffled once; all three steps read that exchange.
@@ -25,6 +25,8 @@ window once, however many of its documents hold it.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -312,35 +314,66 @@ def sort_shard(symbols: np.ndarray, depth: int) -> np.ndarray:
         known += step
 
 
-def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merges Burrows-Wheeler transforms of shards by refining their interleave.
+@dataclass(frozen=True)
+class Shard:
+    """The suffixes of some strings in order, and their Burrows-Wheeler transform."""
+
+    order: np.ndarray  # where each suffix starts
+    transform: np.ndarray  # the symbol before it; 0 where a string starts
+    before: np.ndarray  # place in this order of the suffix that is longer by that symbol
+
+
+def shard_of(symbols: np.ndarray, depth: int) -> Shard:
+    """``symbols`` ends with a 0; so does every string in it."""
+    order = sort_shard(symbols, depth)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return Shard(order, symbols[order - 1], place[order - 1])
+
+
+def merge_transforms(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merges the transforms of shards by refining their interleave, a symbol a round.
 
     The interleave says for each place of the merged order which shard its suffix is from; the
     shards' own orders fill in the rest. A round deals the places out, stably, by the symbol
-    before their suffix: the interleave is then in order of one symbol more. Returns for each
-    suffix, shard after shard, its interval (suffixes with the same first ``depth`` symbols),
-    and for each place of the merged order the prefix it has in common with the one before
-    (``depth`` if as long as that).
+    before their suffix: the interleave is then in order of one symbol more, of suffixes that
+    start one earlier. Neighbours whose symbols and intervals were equal stay in one interval.
+    A suffix alone in its interval shares no longer prefix with any other, nor does any that
+    only adds symbols before it, so both leave; and so do suffixes that have ended.
+
+    Returns the suffixes that share ``depth`` symbols with another, numbered shard after shard
+    in the shards' orders, the interval of each, and for every suffix the longest prefix that
+    it has in common with any other (``depth`` if as long as that).
     """
-    symbols = np.concatenate(transforms)
-    n = len(symbols)
-    interleave = np.repeat(np.arange(len(transforms), dtype=np.uint16), [len(t) for t in transforms])
-    if len(transforms) <= 256:
-        interleave = interleave.astype(np.uint8)
+    transform = np.concatenate([s.transform for s in shards])
+    first = np.cumsum([0, *(len(s.order) for s in shards)])
+    before = np.concatenate([s.before + at for s, at in zip(shards, first[:-1], strict=True)])
+    n = len(transform)
+    alive = np.arange(n)
+    interleave = np.repeat(np.arange(len(shards)), np.diff(first))
+    interleave = interleave.astype(np.uint8 if len(shards) <= 256 else np.uint16)
     interval = np.zeros(n, np.int32)
-    common = np.full(n, depth, np.int32)
-    for length in range(depth):
-        places = np.argsort(interleave, kind="stable")
-        before = np.empty(n, np.uint8)
-        before[places] = symbols
-        dealt = np.argsort(before, kind="stable")
-        interleave, before, interval = interleave[dealt], before[dealt], interval[dealt]
-        parted = np.ones(n, dtype=bool)
-        parted[1:] = (before[1:] != before[:-1]) | (interval[1:] != interval[:-1])
-        interval = np.cumsum(parted, dtype=np.int32)
-        common[parted & (common == depth)] = length
-    places = np.argsort(interleave, kind="stable")
-    return interval[places], common
+    common = np.zeros(n, np.int32)
+    longer = np.zeros(n, dtype=bool)
+    for length in range(1, depth + 1):
+        symbols = transform[alive]
+        dealt_symbols = np.empty(len(alive), np.uint8)
+        dealt_symbols[np.argsort(interleave, kind="stable")] = symbols
+        dealt = np.argsort(dealt_symbols, kind="stable")
+        dealt = dealt[np.count_nonzero(symbols == 0) :]  # nothing stands before a string
+        interleave, dealt_symbols, interval = interleave[dealt], dealt_symbols[dealt], interval[dealt]
+        parted = np.ones(len(dealt) + 1, dtype=bool)
+        parted[1:-1] = (dealt_symbols[1:] != dealt_symbols[:-1]) | (interval[1:] != interval[:-1])
+        shared = ~(parted[:-1] & parted[1:])
+        longer[:] = False
+        longer[before[alive[symbols != 0]]] = True
+        alive = np.flatnonzero(longer)[shared[np.argsort(interleave, kind="stable")]]
+        interval = np.cumsum(parted[:-1], dtype=np.int32)[shared]
+        interleave = interleave[shared]
+        common[alive] = length
+        if not len(alive):
+            break
+    return alive, interval[np.argsort(interleave, kind="stable")], common
 
 
 def first_documents(
@@ -358,21 +391,19 @@ def first_documents(
     code[values] = np.arange(1, len(values) + 1)
     symbols = code[body]
     symbols[begin + size] = 0
-    shard_of = (begin // shard_symbols).astype(np.int64)
-    bounds = np.append(begin[_cuts(shard_of)[:-1]], len(symbols))
-    orders, transforms = [], []
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        order = sort_shard(symbols[a:b], WINDOW)
-        orders.append(order + a)
-        transforms.append(symbols[a:b][order - 1])  # before the first symbol stands an end
-    interval, _ = merge_transforms(transforms, WINDOW)
-    of = np.empty(len(symbols), np.int64)
-    of[np.concatenate(orders)] = interval
+    shard_number = begin // shard_symbols
+    bounds = np.append(begin[_cuts(shard_number)[:-1]], len(symbols))
+    shards = [shard_of(symbols[a:b], WINDOW) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    alive, interval, _ = merge_transforms(shards, WINDOW)
+    start = np.concatenate([s.order + a for s, a in zip(shards, bounds[:-1], strict=True)])[alive]
     count = size - WINDOW + 1
+    string = np.repeat(np.arange(len(strings)), size + 1)
+    held = np.full(int(interval.max(initial=0)) + 1, _LAST, np.int64)
+    np.minimum.at(held, interval, least[string[start]])
+    first = least[string]  # a window that no other string holds is its own string's
+    first[start] = held[interval]
     at = np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
-    held = np.full(len(symbols) + 1, _LAST, np.int64)
-    np.minimum.at(held, of[at], np.repeat(least, count))
-    return np.split(held[of[at]], np.cumsum(count)[:-1])
+    return np.split(first[at], np.cumsum(count)[:-1])
 
 
 def _resolve_strings(rows: list[dict]) -> list[tuple]:

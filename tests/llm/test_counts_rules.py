@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer, models
 
 from basketry.llm import repeats
-from basketry.llm.decontaminate import digest, mark_contaminated
+from basketry.llm.decontaminate import digest, drop_contaminated, mark_contaminated
 from basketry.llm.host_rules import fit_prior, host_quality
 from basketry.llm.queries import llm_queries
 from basketry.llm.token_counts import MARK, Counter as TokenCounter, count_tokens, unigram_vocabulary
@@ -118,32 +118,26 @@ def test_repeats_with_a_passage_in_a_third_of_all_documents(spark, hot):
     assert removed(got) == Counter(cut(rows))
 
 
-def test_merged_transforms_give_the_sorted_suffixes():
+def test_merged_transforms_give_shared_prefixes_and_intervals():
     rng = random.Random(8)
-    for _ in range(20):
-        shards = [np.array([rng.choice([0, 1, 2]) for _ in range(rng.randint(1, 40))], np.uint8) for _ in range(4)]
-        for s in shards:
-            s[-1] = 0
-        depth = 9
-        orders = [repeats.sort_shard(s, depth) for s in shards]
-        interval, common = repeats.merge_transforms([s[o - 1] for s, o in zip(shards, orders, strict=True)], depth)
-
-        def prefix(s, at):
-            end = at + int(np.flatnonzero(s[at:] == 0)[0])
-            return tuple(s[at : min(end + 1, at + depth)])
-
-        prefixes = [prefix(s, int(a)) for s, o in zip(shards, orders, strict=True) for a in o]
-        ranked = sorted(range(len(prefixes)), key=lambda k: interval[k])
-        assert [prefixes[k] for k in ranked] == sorted(prefixes)
-        same = {}
-        for p, i in zip(prefixes, interval, strict=True):
-            if len(p) == depth and p[-1]:
-                assert same.setdefault(p, i) == i
-        merged = sorted(prefixes)
-        for k in range(1, len(merged)):
-            a, b = merged[k - 1], merged[k]
-            if a != b:
-                assert common[k] == next(j for j in range(depth) if a[j] != b[j])
+    for _ in range(30):
+        texts = [[rng.choice([0, 1, 2, 2]) for _ in range(rng.randint(1, 60))] + [0] for _ in range(4)]
+        depth = rng.randint(1, 9)
+        shards = [repeats.shard_of(np.array(t, np.uint8), depth) for t in texts]
+        alive, interval, common = repeats.merge_transforms(shards, depth)
+        suffixes = []
+        for t, shard in zip(texts, shards, strict=True):
+            suffixes += [t[at : t.index(0, at)][:depth] for at in shard.order]
+
+        def longest(k):
+            others = [s for j, s in enumerate(suffixes) if j != k]
+            return max(sum(1 for n in range(1, len(s) + 1) if s[:n] == suffixes[k][:n]) for s in others)
+
+        assert common.tolist() == [longest(k) for k in range(len(suffixes))]
+        assert alive.tolist() == [k for k in range(len(suffixes)) if common[k] == depth]
+        ranked = sorted(range(len(alive)), key=lambda k: interval[k])
+        assert [suffixes[alive[k]] for k in ranked] == sorted(suffixes[k] for k in alive)
+        assert len(set(interval.tolist())) == len({tuple(suffixes[k]) for k in alive})
 
 
 def test_windows_shared_between_shards():
@@ -260,6 +254,9 @@ def test_contamination_of_odd_rows(spark, odd, empty, pass_bytes):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = digest(mark_contaminated(spark, odd, bench, pass_bytes=pass_bytes))
     assert Counter(tuple(r) for r in got.collect()) == Counter(contamination(ids_and_texts(), items))
+    clean = Counter(i for i, *_, hit in contamination(ids_and_texts(), items) if not hit)
+    left = drop_contaminated(spark, odd, bench, pass_bytes=pass_bytes)
+    assert left.columns == odd.columns and Counter(r["doc_id"] for r in left.collect()) == clean
     assert mark_contaminated(spark, empty, bench).count() == 0
     none = digest(mark_contaminated(spark, odd, bench.where("item_id = 4"))).collect()
     assert not any(r["contaminated"] for r in none) and len(none) == len(odd_rows())
