@@ -22,35 +22,3 @@ def stage(raw: DataFrame, table: str) -> DataFrame:
         field = by_name[name]
         selected.append(cast_to(F.col(f"`{field.name}`"), kind, field.dataType).alias(name))
     return raw.select(*selected)
-
-
-def stg_categories(raw: DataFrame) -> DataFrame:
-    return stage(raw, "categories")
-
-
-def stg_subcategories(raw: DataFrame) -> DataFrame:
-    return stage(raw, "subcategories")
-
-
-def stg_customers(raw: DataFrame) -> DataFrame:
-    return stage(raw, "customers")
-
-
-def stg_products(raw: DataFrame) -> DataFrame:
-    return stage(raw, "products")
-
-
-def stg_orders(raw: DataFrame) -> DataFrame:
-    return stage(raw, "orders")
-
-
-def stg_order_items(raw: DataFrame) -> DataFrame:
-    return stage(raw, "order_items")
-
-
-def stg_interactions(raw: DataFrame) -> DataFrame:
-    return stage(raw, "interactions")
-
-
-def stg_reviews(raw: DataFrame) -> DataFrame:
-    return stage(raw, "reviews")

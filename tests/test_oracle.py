@@ -65,3 +65,29 @@ def test_name_lists_are_limited_before_the_shuffle(spark):
 def test_unused_review_scores_are_not_joined(spark):
     plan = plan_of(QUERIES["fct_sales_by_product"](spark, SF_DIR))
     assert "max_by" not in plan
+
+
+def joins_on(plan: str, column: str) -> int:
+    return len(re.findall(rf"Join \[{column}#\d+\]", plan))
+
+
+def test_street_text_is_joined_only_where_an_address_is_needed(spark):
+    assert "street_address" not in plan_of(QUERIES["dim_dates"](spark, SF_DIR))
+    details = plan_of(QUERIES["fct_order_details"](spark, SF_DIR))
+    assert joins_on(details, "shipping_address") == joins_on(details, "billing_address") == 1
+    assert joins_on(details, "shipping_address_id") == 0
+
+
+def test_increment_reduces_items_and_reviews_before_they_are_aggregated(spark):
+    plan = QUERIES["incremental_customer_orders"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    depth = [len(re.match(r"[\s:]*(?:\+-)?", line).group()) for line in lines]
+    semi = [k for k, line in enumerate(lines) if "LeftSemi" in line]
+    assert len(semi) == 2  # items and reviews; what orders hold of them is not asked for
+    for k in semi:  # the nearest node above that stands on this one is an aggregate, sooner or later
+        above, level = [], depth[k]
+        for j in range(k - 1, -1, -1):
+            if depth[j] < level:
+                above.append(lines[j])
+                level = depth[j]
+        assert any("Aggregate" in line for line in above)
