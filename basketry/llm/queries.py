@@ -29,7 +29,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_quality(spark, _read(spark, sf_dir, "documents")).withColumnRenamed("host", "source")
+    judged = host_quality(spark, _read(spark, sf_dir, "documents")).withColumnRenamed("host", "source")
+    return judged.withColumn("host_rate", F.round("host_rate", 6))
 
 
 def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

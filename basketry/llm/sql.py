@@ -31,4 +31,78 @@ SELECT page_id, s.host, s.path, rule,
 FROM split s LEFT JOIN best USING (host, path)
 """.replace("SITES", "|".join(LISTED_SITES))
 
-LLM_ORACLE = {"op8_url_filter": _URL_FILTER}
+_HOST_RULES = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), windows AS (
+  SELECT row_id, k, count(*) OVER (PARTITION BY row_id, w[k], w[k + 1], w[k + 2]) AS n
+  FROM (SELECT row_id, w, unnest(range(1, len(w) - 1)) AS k FROM words WHERE len(w) >= 3)
+), repeats AS (
+  SELECT row_id, count(DISTINCT k + step) AS n_repeat_words
+  FROM windows, (VALUES (0), (1), (2)) AS steps(step) WHERE n > 1 GROUP BY row_id
+), measured AS (
+  SELECT row_id, doc_id, source, len(w) AS n_words,
+    coalesce(list_sum([length(x) for x in w]), 0)::BIGINT AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len([x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')])
+      - len(list_distinct([x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')]))
+      AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM words LEFT JOIN repeats USING (row_id)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+), hosts AS (
+  SELECT source AS host, count(*) AS docs, count(*) FILTER (base_failed) AS failed FROM judged GROUP BY source
+), moments AS (
+  SELECT sum(failed) / sum(docs) AS mean, var_pop(failed / docs) AS spread, avg(1 / docs) AS inverse,
+    avg(docs) AS mean_docs
+  FROM hosts
+), prior AS (
+  SELECT mean, CASE WHEN spread - mean * (1 - mean) * inverse <= 0 THEN mean_docs
+    ELSE greatest(mean * (1 - mean) / (spread - mean * (1 - mean) * inverse) - 1, 1) END AS weight
+  FROM moments
+), rates AS (
+  SELECT host, (mean * weight + failed) / (weight + docs) AS host_rate FROM hosts, prior
+)
+SELECT doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  round(host_rate, 6) AS host_rate, NOT base_failed AND host_rate <= 0.5 AS kept
+FROM judged JOIN rates ON source IS NOT DISTINCT FROM host
+"""
+
+_DECONTAMINATE = r"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item_words AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), patterns AS (
+  SELECT DISTINCT item, size, array_to_string(w[k : k + size - 1], ' ') AS pattern
+  FROM (SELECT item, w, least(10, len(w)) AS size, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k
+        FROM item_words WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM patterns),
+hits AS (
+  SELECT row_id, k, p.size, item
+  FROM (SELECT row_id, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM doc_words, sizes WHERE len(w) >= size) d
+  JOIN patterns p ON p.size = d.size AND p.pattern = array_to_string(w[k : k + d.size - 1], ' ')
+), covered AS (
+  SELECT row_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT row_id, unnest(range(k, k + size)) AS place FROM hits) GROUP BY row_id
+), found AS (
+  SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row_id, item FROM hits) GROUP BY row_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (row_id) LEFT JOIN found USING (row_id)
+"""
+
+LLM_ORACLE = {
+    "op3_host_rules": _HOST_RULES,
+    "op6_decontaminate": _DECONTAMINATE,
+    "op8_url_filter": _URL_FILTER,
+}
