@@ -8,6 +8,11 @@ share (as a mask and a pattern) less those its parent holds already, and a searc
 differences on the way down and drops a whole node once they exceed d. What links inside a
 bucket leaves as a star to the bucket's least linked fingerprint, so a dense bucket of n
 fingerprints gives n links, not n squared. Components over all buckets give the classes.
+
+A bucket of more than ``HOT_CODES`` fingerprints is dealt out again, twice over: the bits that
+its two blocks leave open are cut into d + 1 parts, of which linked fingerprints share one, and
+what that part leaves open into d + 1 again. With d = 2 at most 15 of the 64 bits then stay
+open, so no bucket has more than 32,768 fingerprints, and no link is lost.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.components import components
@@ -27,6 +32,7 @@ from basketry.llm.texts import Texts, prepare, slices
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
+HOT_CODES = 1 << 14
 _FANOUT = 16
 _QUERIES = 512
 _TOP = np.uint64(1 << 63)
@@ -90,6 +96,21 @@ def block_keys(max_bits: int) -> list[tuple[int, int]]:
     return [(n, a | b) for n, (a, b) in enumerate(combinations(masks, 2))]
 
 
+def finer_masks(mask: int, max_bits: int) -> list[int]:
+    """Masks of more bits that hold ``mask``: codes alike in ``mask`` that differ in at most
+    ``max_bits`` bits are alike in one of them at least."""
+    found = [mask]
+    for _ in range(2):
+        found = [wider for m in found for wider in _one_part_more(m, max_bits)]
+    return found
+
+
+def _one_part_more(mask: int, max_bits: int) -> list[int]:
+    free = [1 << b for b in range(64) if not mask >> b & 1]
+    edges = [round(len(free) * i / (max_bits + 1)) for i in range(max_bits + 2)]
+    return [mask | sum(free[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -190,21 +211,31 @@ def _bucket_batches(limit: int):
     return run
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, hot_codes: int = HOT_CODES) -> DataFrame:
     """(u, v) with u > v: for each bucket, every linked code with the least code it reaches there.
 
-    ``distinct`` has one row per fingerprint (``bits``). A bucket holds distinct fingerprints
-    that agree in two blocks; copies never meet in it.
+    ``distinct`` has one row per fingerprint (``bits``), and is read twice. A bucket holds
+    distinct fingerprints that agree in two blocks; copies never meet in it. Those of buckets
+    with more than ``hot_codes`` are counted first, and go to buckets of more bits instead.
     """
-    keys = F.array(
-        *[
-            F.struct(F.lit(n).alias("n"), F.col("bits").bitwiseAND(F.lit(_signed(mask))).alias("key"))
-            for n, mask in block_keys(max_bits)
-        ]
-    )
+    masks = block_keys(max_bits)
+
+    def keys(wanted: list[int]) -> Column:
+        return F.array(*[F.col("bits").bitwiseAND(F.lit(_signed(mask))) for mask in wanted])
+
+    dealt = distinct.select("bits", F.posexplode(keys([mask for _, mask in masks])).alias("n", "key"))
+    sizes = dealt.groupBy("n", "key").agg(F.count("*").alias("codes")).where(F.col("codes") > hot_codes)
+    hot = sizes.select("n", "key").checkpoint(eager=True)
+    whole = dealt.select("bits", "n", F.lit(0).alias("part"), "key")
+    if not hot.isEmpty():
+        part_keys = F.lit(None)
+        for n, mask in masks:
+            part_keys = F.when(F.col("n") == n, keys(finer_masks(mask, max_bits))).otherwise(part_keys)
+        finer = dealt.join(hot, ["n", "key"]).select("bits", "n", F.posexplode(part_keys).alias("part", "key"))
+        cold = dealt.join(hot, ["n", "key"], "left_anti").select("bits", "n", F.lit(-1).alias("part"), "key")
+        whole = cold.unionByName(finer)
     buckets = (
-        distinct.select("bits", F.explode(keys).alias("b"))
-        .groupBy("b.n", "b.key")
+        whole.groupBy("n", "part", "key")
         .agg(F.collect_list("bits").alias("codes"))
         .where(F.size("codes") > 1)
         .select("codes")
@@ -218,7 +249,7 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     ``root`` is the class's least fingerprint, ``component_id`` the smallest document id that
     links lead to; null ids count only where a class has no other.
     """
-    distinct = prints.groupBy("bits").agg(F.min("doc_id").alias("least"))
+    distinct = prints.groupBy("bits").agg(F.min("doc_id").alias("least")).checkpoint(eager=True)
     roots = components(links(distinct, max_bits)).withColumnRenamed("u", "bits")
     rooted = distinct.join(roots, "bits", "left").select("bits", "least", F.coalesce("root", "bits").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -259,7 +290,8 @@ def keep_one(
     """``docs`` with one row of each class: its smallest id, then the smallest text hash.
 
     Repeated rows (same id, same text) are one document and leave one row. Null ids come last.
-    Ids and texts are matched by a 64-bit hash each, which also holds for null ids.
+    Ids and texts are matched by a 64-bit hash each, which also holds for null ids. Columns of
+    ``docs`` stay inside a struct, so no name can clash.
     """
     prepare(spark)
     prints = fingerprint_documents(docs, doc_id, text, width).checkpoint(eager=True)
@@ -267,8 +299,13 @@ def keep_one(
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version")
     leaders = prints.join(found, "bits").groupBy("root").agg(F.min(order).alias("first"))
     keys = leaders.select(F.xxhash64("first.doc_id").alias("_id_hash"), F.col("first.version").alias("_text_hash"))
-    mine = docs.withColumn("_id_hash", F.xxhash64(doc_id)).withColumn("_text_hash", F.xxhash64(text))
-    kept = mine.join(keys, ["_id_hash", "_text_hash"], "left_semi")
     others = F.to_json(F.struct(*[c for c in docs.columns if c != text]))
-    copy = F.row_number().over(Window.partitionBy("_id_hash", "_text_hash").orderBy(others))
-    return kept.withColumn("_copy", copy).where("_copy = 1").drop("_copy", "_id_hash", "_text_hash")
+    mine = docs.select(
+        F.struct("*").alias("row"),
+        F.xxhash64(doc_id).alias("_id_hash"),
+        F.xxhash64(text).alias("_text_hash"),
+        others.alias("_others"),
+    )
+    kept = mine.join(keys, ["_id_hash", "_text_hash"], "left_semi")
+    copy = F.row_number().over(Window.partitionBy("_id_hash", "_text_hash").orderBy("_others"))
+    return kept.withColumn("_copy", copy).where("_copy = 1").select("row.*")

@@ -106,6 +106,52 @@ def test_chains_become_one_class(spark, limit):
     assert {r["component_id"] for r in simhash.classes(prints, limit).collect()} == {0}
 
 
+def test_hot_buckets_lose_no_link(spark):
+    rng = random.Random(9)
+    codes = {0, (1 << 64) - 1}
+    while len(codes) < 1500:  # most agree in all but 14 bits, so blocks and parts are hot
+        codes.add(rng.getrandbits(64) if rng.random() < 0.2 else 0x00FF00FF12340000 | rng.getrandbits(14) << rng.choice([0, 40]))
+    signed = [(c - (1 << 64) if c >> 63 else c,) for c in sorted(codes)]
+    distinct = spark.createDataFrame(signed, "bits long").repartition(4)
+
+    def roots(found):
+        parent = {b: b for (b,) in signed}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for u, v in found:
+            a, b = find(u), find(v)
+            parent[max(a, b)] = min(a, b)
+        return {b: find(b) for (b,) in signed}
+
+    every = [
+        (a, b)
+        for i, (a,) in enumerate(signed)
+        for (b,) in signed[:i]
+        if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 2
+    ]
+    for hot_codes in (5, 400, 1 << 14):
+        found = [(r["u"], r["v"]) for r in simhash.links(distinct, 2, hot_codes).collect()]
+        assert roots(found) == roots(every)
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
+def test_finer_masks_hold_a_part_of_every_near_pair(max_bits):
+    rng = random.Random(max_bits)
+    for _, mask in simhash.block_keys(max_bits):
+        finer = simhash.finer_masks(mask, max_bits)
+        assert all(m & mask == mask for m in finer)
+        if max_bits == 2:
+            assert max(64 - m.bit_count() for m in finer) <= 15
+        free = [b for b in range(64) if not mask >> b & 1]
+        for _ in range(300):
+            change = sum(1 << b for b in rng.sample(free, max_bits))
+            assert any(not m & change for m in finer)
+
+
 # Mixing ------------------------------------------------------------------------------------
 
 
@@ -309,6 +355,14 @@ def test_host_boilerplate_goes_and_unique_runs_stay(spark):
     assert html_text.extract_text(spark, pages.limit(0)).count() == 0
 
 
+def test_one_article_under_many_addresses_stays_whole(spark):
+    rows = [(k, f"http://copies.org/{k}", f"<nav>{prose(9, k)}</nav><p>{prose(60, 1)}</p>") for k in range(600)]
+    rows += [(1000 + k, f"http://small.org/{k}", f"<article><p>{prose(40, 2)}</p></article>") for k in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["row"]["page_id"]: r["text"] for r in html_text.extract_text(spark, pages).collect()}
+    assert got == {i: prose(60, 1) if i < 1000 else prose(40, 2) for i, _, _ in rows}
+
+
 def test_suffix_groups_are_equal_runs_of_tokens():
     rng = np.random.default_rng(2)
     tokens = rng.integers(0, 3, 300)
