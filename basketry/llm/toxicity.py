@@ -125,7 +125,8 @@ def training_rows(
     """(label, text) of at most ``per_class`` labelled documents of each class, and class sizes.
 
     Chosen by least hash of the id among the rows that are not held out. The ids chosen are
-    broadcast: their number is bounded by the parameter.
+    broadcast: their number is bounded by the parameter. Of rows with the same id the least text
+    is learnt from, so repeated rows do not add to the sample.
     """
     rows = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
     rows = rows.where(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id")))
@@ -135,10 +136,11 @@ def training_rows(
     for value in (0, 1):
         part = rows.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    found = docs.select(F.col(doc_id).alias("_doc"), F.lower(text).alias("text")).join(
+    found = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("text")).join(
         F.broadcast(chosen), F.col("_doc") == F.col("_id")
     )
-    return found.select(F.col("_label").alias("label"), "text"), sizes
+    once = found.groupBy("_id", F.col("_label").alias("label")).agg(F.min("text").alias("text"))
+    return once.select("label", "text"), sizes
 
 
 def held_out(doc_id: Column) -> Column:
@@ -263,11 +265,11 @@ def score_toxicity(
 
     Only text is an input of the score. Null and empty texts score the bias alone. Labels of
     held-out, missing or null ids are not learnt from; a label other than 0 and 1 is none.
-    Repeated rows are scored each. Columns of ``docs`` stay inside ``row``: no name can clash.
+    Repeated rows are scored each and learnt from once. Columns of ``docs`` stay inside ``row``: no name can clash.
     """
     prepare(spark)
     rows, sizes = training_rows(docs, labels, label, doc_id, text, per_class)
-    rows = rows.checkpoint(eager=True)  # the bounded sample, read twice
+    rows = rows.withColumn("text", F.lower("text")).checkpoint(eager=True)  # the bounded sample, read twice
     used = informative(rows)
     shared = spark.sparkContext.broadcast(train(gather(rows, used), used, sizes))
     row = F.struct(*docs.columns) if whole_rows else F.struct(F.col(doc_id).alias("doc_id"))

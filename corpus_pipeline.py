@@ -62,21 +62,18 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for, ``mix_copy`` counting from 1.
 
     Documents and their numbers of copies meet on a hash of id and text; rows alike in both are
-    numbered in order of their source.
+    numbered in order of their source. A ``mix_copy`` that the documents bring along is replaced.
     """
     mixed = mix_documents(spark, docs)
-    counts = mixed.select("id_hash", "text_hash", F.col("copy").alias("_nth"), "copies").where("copies > 0")
-    mine = docs.withColumn("id_hash_", F.xxhash64("doc_id")).withColumn("text_hash_", F.xxhash64("text"))
-    same = Window.partitionBy("id_hash_", "text_hash_").orderBy(F.col("source").cast("string"))
-    mine = mine.withColumn("nth_", F.row_number().over(same))
-    on = (
-        (F.col("id_hash_") == F.col("_id_hash"))
-        & (F.col("text_hash_") == F.col("_text_hash"))
-        & (F.col("nth_") == F.col("_nth"))
+    counts = mixed.select("id_hash", "text_hash", F.col("copy").alias("nth"), "copies").where("copies > 0")
+    mine = docs.select(
+        F.struct("*").alias("row"), F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash")
     )
-    counts = counts.withColumnsRenamed({"id_hash": "_id_hash", "text_hash": "_text_hash", "copies": "_copies"})
-    placed = mine.join(counts, on).select(*docs.columns, F.sequence(F.lit(1).cast("long"), "_copies").alias("_each"))
-    return placed.select(*docs.columns, F.explode("_each").alias("mix_copy"))
+    same = Window.partitionBy("id_hash", "text_hash").orderBy(F.col("row.source").cast("string"))
+    placed = mine.withColumn("nth", F.row_number().over(same)).join(counts, ["id_hash", "text_hash", "nth"])
+    each = F.explode(F.sequence(F.lit(1).cast("long"), "copies"))
+    columns = [F.col(f"row.`{c}`") for c in docs.columns if c != "mix_copy"]
+    return placed.select(*columns, each.alias("mix_copy"))
 
 
 STAGES = [

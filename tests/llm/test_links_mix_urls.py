@@ -18,7 +18,7 @@ import corpus_pipeline
 from basketry.llm import html_text, mixing, simhash, url_filter
 from basketry.llm.queries import llm_oracle, llm_queries
 from basketry.llm.quality_rank import score_quality
-from basketry.llm.toxicity import score_toxicity
+from basketry.llm.toxicity import score_toxicity, training_rows
 from check import compare, oracle_connection
 from tests.conftest import SF_DIR
 from tests.llm.conftest import ids_and_texts, odd_rows, prose
@@ -479,3 +479,24 @@ def test_stages_keep_odd_rows_and_other_columns(spark, odd, empty):
             rows = got.collect()
             assert len({(r["doc_id"], r["text"]) for r in rows}) <= len(odd_rows())
             assert docs is odd or not rows
+
+
+def test_stages_keep_columns_named_like_their_own(spark):
+    names = ["_id_hash", "_text_hash", "_copy", "id_hash", "nth", "copies", "row", "kept", "bits"]
+    rows = [(k, prose(80, k), f"s{k % 2}", *range(k, k + len(names))) for k in range(6)]
+    rows += [rows[0]] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, SF_DIR)
+        assert got.columns[: len(docs.columns)] == docs.columns, name
+        assert {tuple(r)[: len(docs.columns)] for r in got.collect()} <= set(rows), name
+
+
+def test_repeated_rows_are_learnt_from_once(spark):
+    docs = [(k, prose(60, k) + (" grisly" * 4 if k % 3 == 0 else "")) for k in range(60)]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k, _ in docs], "doc_id long, toxic int")
+    once = spark.createDataFrame(docs, "doc_id long, text string")
+    often = spark.createDataFrame(docs + docs[:20] * 30, "doc_id long, text string")
+    one, many = ({r["row"]["doc_id"]: r["score"] for r in score_toxicity(spark, d, labels).collect()} for d in (once, often))
+    assert one == many
+    assert training_rows(often, labels, "toxic", "doc_id", "text", 10)[0].count() <= 20
