@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from html import unescape
@@ -329,6 +330,8 @@ def test_page_text_is_the_article(spark):
         ("<p>a</p><form><p>x</p><input></form><div hidden>y</div><p title='>'>b", "a\n\nb"),
         ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n\n2\n\n3"),
         ("<p>unclosed <b>bold<p>next</p></article></div> tail", "unclosed bold\n\nnext\n\ntail"),
+        ('<p>a <a href="x"">b</a> c</p><p title="a>b">d</p><p title=it\'s>e</p>', "a b c\n\nd\n\ne"),
+        ('<p>a<script src="x>y">z</script></p><p>1 < 2 and <b', "a\n\n1 < 2 and <b"),
         ("<div role=navigation>x</div><p>a\n\t b&nbsp;c</p><script>never closed", "a b c"),
     ],
 )
@@ -337,6 +340,13 @@ def test_blocks(html, text):
     assert "\n\n".join(b for b, ok in zip(blocks, main, strict=True) if ok) == text
 
 
+@pytest.mark.parametrize("piece", ["<a ", "<script ", "</ ", "<!x ", '<a "', "<a x='\"", "<div></i>", "<div><b>", "<b><div></b>", "<p><b>x", "< "])
+def test_long_broken_markup_is_read_in_time(piece):
+    start = time.process_time()
+    html_text.page_blocks(piece * (400_000 // len(piece)) + "<p>end")
+    assert time.process_time() - start < 5
+
+
 def test_host_boilerplate_goes_and_unique_runs_stay(spark):
     slogan = "subscribe to our weekly letter and never miss a single story again"
     rows = []
