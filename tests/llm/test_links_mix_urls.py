@@ -340,6 +340,40 @@ def test_blocks(html, text):
     assert "\n\n".join(b for b, ok in zip(blocks, main, strict=True) if ok) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p>a</p><svg width=1 /><p>b</p><p>c</p>", "a\n\nb\n\nc"),
+        ("<p>a <svg><path d=x/><text>x</text></svg> b</p><p>c</p>", "a b\n\nc"),
+        ("<p>a</p><svg><path d=x><p>b</p><p>c</p>", "a\n\nb\n\nc"),
+        ("<svg><foreignObject><p>x</p></foreignObject></svg><p>b</p>", "b"),
+        ("<svg><title/><style/></svg><p>b</p><svg><title>x</title></svg><p>c</p>", "b\n\nc"),
+        ("<svg-icon name=x></svg-icon><p>b</p>", "b"),
+        ("<title-bar>t</title-bar><p>b</p>", "t\n\nb"),
+        ("<script-loader></script-loader><p>b</p><object-view>c</object-view>", "b\n\nc"),
+        ("<object data=x><p>b</p>", "b"),
+        ("<p>a</p><object data=x><p>x</p><object><p>y</p></object></object><p>b</p>", "a\n\nb"),
+        ("<div><object data=x></div><p>b</p><object data=y>x</object><p>c</p>", "b\n\nc"),
+        ("<p>a <object data=x> b", "a b"),
+        ("<select><option>x<option>y<p>b</p>", "b"),
+        ("<p>a</p><template><p>x</p></template><noscript><p>y</p></noscript><p>b</p>", "a\n\nb"),
+        ("<script src=x /><p>b</p><script>x</script><p>c</p>", "b\n\nc"),
+        ("<script src=x/>x</script><iframe src=y /><p>b</p>", "b"),
+        ("<script>x</script foo><p>b</p><math><mi>x</mi></math><textarea>y</textarea>", "b"),
+    ],
+)
+def test_embedded_elements_never_take_the_rest_of_the_page(html, text):
+    blocks, main = html_text.page_blocks(html)
+    assert "\n\n".join(b for b, ok in zip(blocks, main, strict=True) if ok) == text
+
+
+@pytest.mark.parametrize("piece", ["<svg>", "<object>", "<svg><p>", "<svg><object>", "<script />", "<script></script ", "<svg><desc>", "</svg><svg>"])
+def test_long_embedded_markup_is_read_in_time(piece):
+    start = time.process_time()
+    html_text.page_blocks(piece * (400_000 // len(piece)) + "<p>end")
+    assert time.process_time() - start < 5
+
+
 @pytest.mark.parametrize("piece", ["<a ", "<script ", "</ ", "<!x ", '<a "', "<a x='\"", "<div></i>", "<div><b>", "<b><div></b>", "<p><b>x", "< "])
 def test_long_broken_markup_is_read_in_time(piece):
     start = time.process_time()
