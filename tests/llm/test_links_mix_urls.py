@@ -399,6 +399,50 @@ def test_host_boilerplate_goes_and_unique_runs_stay(spark):
     assert html_text.extract_text(spark, pages.limit(0)).count() == 0
 
 
+def test_boilerplate_of_part_of_a_host_goes(spark):
+    shares = {"small": (60, (0.05, 0.2, 0.45)), "split": (1000, (0.06, 0.2, 0.45))}
+    rows, want, number = [], {}, 0
+    for host, (pages, parts) in shares.items():
+        notices = {int(part * pages): prose(14, 90_000 + k) for k, part in enumerate(parts)}
+        rare = prose(14, 99_000)  # on two pages of the small host, on ten of the other
+        for k in range(pages):
+            number += 1
+            own = [prose(25, 100 + number), prose(20, 50_000 + number)]
+            quote = [rare] if k % (pages // (2 if pages < 100 else 10)) == 0 else []
+            extra = [text for many, text in notices.items() if (k * 7) % pages < many]
+            rows.append((number, f"http://{host}.org/{k}", "".join(f"<p>{t}</p>" for t in [own[0], *extra, *quote, own[1]])))
+            want[number] = "\n\n".join([own[0], *quote, own[1]])
+    copied = prose(60, 98_000)
+    for k in range(300):  # one article, in every shard of the host
+        rows.append((10_000 + k, f"http://split.org/copy{k}", f"<nav>{prose(9, k)}</nav><p>{copied}</p>"))
+        want[10_000 + k] = copied
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["row"]["page_id"]: r["text"] for r in html_text.extract_text(spark, pages).collect()}
+    assert got == want
+
+
+def test_versions_of_an_article_stay(spark):
+    rows, want = [], {}
+    for k in range(40):
+        text = prose(150, 7).split()
+        text[(k * 13) % 150] = text[(k * 29 + 70) % 150] = f"edit{k}"
+        texts = [" ".join(text)] if k < 12 else [prose(40, 1000 + k)]
+        want[k] = texts[0]
+        texts += [prose(60, 8)] if k % 4 == 3 else []  # longer than the pages' own text
+        rows.append((k, f"http://versions.org/{k}", "".join(f"<p>{t}</p>" for t in texts)))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["row"]["page_id"]: r["text"] for r in html_text.extract_text(spark, pages).collect()} == want
+
+
+def test_words_beside_boilerplate_stay():
+    notice = list("abcdefghijkl")
+    stream = {k: np.array([ord(c) for c in x]) for k, x in {"all": notice, "some": ["z", *notice]}.items()}
+    found, pages, _ = html_text.passages([stream["some" if k % 10 == 0 else "all"] for k in range(100)])
+    assert sorted(pages) == [10, 100, 100, 100, 100, 100]
+    token = np.array([ord(c) for c in ["x", "z", *notice, "y"]])
+    assert html_text._covered(token, found, pages).tolist() == [False, False, *[True] * 12, False]
+
+
 def test_one_article_under_many_addresses_stays_whole(spark):
     rows = [(k, f"http://copies.org/{k}", f"<nav>{prose(9, k)}</nav><p>{prose(60, 1)}</p>") for k in range(600)]
     rows += [(1000 + k, f"http://small.org/{k}", f"<article><p>{prose(40, 2)}</p></article>") for k in range(3)]
