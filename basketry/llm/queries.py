@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.decontaminate import digest, mark_contaminated
-from basketry.llm.host_rules import host_quality
+from basketry.llm.host_rules import host_quality, host_rules
 from basketry.llm.html_text import extract_text
 from basketry.llm.mixing import mix_documents
 from basketry.llm.quality_rank import CUT, score_quality
@@ -30,7 +30,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def _host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_quality(spark, _read(spark, sf_dir, "documents")).withColumnRenamed("host", "source")
-    return judged.withColumn("host_rate", F.round("host_rate", 6))
+    others = ["n_lines", *(rate for rate in host_rules() if rate != "host_rate")]
+    return judged.withColumn("host_rate", F.round("host_rate", 6)).drop(*others)
 
 
 def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

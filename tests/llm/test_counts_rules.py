@@ -196,6 +196,22 @@ def test_bad_hosts_lose_good_documents_and_small_hosts_do_not(spark):
     assert all(kept[1000 + k] for k in range(400) if k % 20) and kept[5001] and not kept[5000]
 
 
+def test_hosts_of_symbols_or_repeated_lines_or_odd_words_lose_all_documents(spark):
+    rows = [(k, prose(120, k), f"h{k % 9}") for k in range(360)]
+    rows += [(1000 + k, " ".join(f"{w}#|" for w in prose(120, k).split()), "symbols") for k in range(40)]
+    lines = [f"a line of words that comes again {k}" for k in range(12)]
+    rows += [(2000 + k, "\n".join([prose(130, 100 + k), *[lines[j // 2] for j in range(12)]]), "lines") for k in range(40)]
+    rows += [(3000 + k, " ".join(w * 3 for w in prose(80, 200 + k).split()), "long") for k in range(40)]
+    rows += [(4000, prose(120, 999) + " #" * 40, "h1")]  # one such document is not the whole host
+    got = host_quality(spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert {r["host"] for r in got if not r["kept"]} == {"symbols", "lines", "long"}
+    assert {r["host"] for r in got if r["kept"]} == {f"h{k}" for k in range(9)}
+    rate = {r["host"]: r for r in got}
+    for host, name in (("symbols", "symbol"), ("lines", "dup_line"), ("long", "word_length")):
+        assert rate[host][f"host_{name}_rate"] > 0.9 and rate["h1"][f"host_{name}_rate"] < 0.1
+
+
 def test_host_rules_of_odd_rows(spark, odd, empty):
     got = host_quality(spark, odd).collect()
     assert Counter((r["doc_id"], *judged(r)) for r in got) == Counter((i, *measures(t)) for i, t in ids_and_texts())
