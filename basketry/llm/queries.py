@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.llm.align import align, score_links
+from basketry.llm.bpe import decode_ids, encode_texts
 from basketry.llm.decontaminate import digest, mark_contaminated
 from basketry.llm.host_rules import host_quality, host_rules
 from basketry.llm.html_text import extract_text
@@ -20,6 +23,8 @@ from basketry.llm.toxicity import held_out, score_toxicity
 from basketry.llm.url_filter import filter_urls, site_list
 
 TOXIC_CUT = 0.5
+BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +96,27 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(spark, pages, site_list(pages))
 
 
+def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_BPE)
+    tokens = encode_texts(spark, _read(spark, sf_dir, "documents"), path, packed=True)
+    return decode_ids(spark, tokens, path).select(
+        "row.doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def _align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in (BYTE_BPE, PIECE_BPE))
+    aligned = align(spark, _read(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    scored = score_links(spark, aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return scored.select(
+        "row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_counts": _token_counts,
@@ -103,6 +129,8 @@ def llm_queries() -> dict[str, Query]:
         "op8_url_filter": _url_filter,
         "op9_simhash": _simhash,
         "op10_toxicity": _toxicity,
+        "op11_bpe": _bpe,
+        "op12_align": _align,
     }
 
 
