@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import struct
@@ -162,11 +163,14 @@ def brute(plain_library, aligner):
         if joined != [raw, raw]:
             return 0, 0, 0, 0, "", []
         ends = [np.cumsum(x).tolist() for x in sizes]
-        groups, start = [], 0
-        for cut in sorted(set(ends[0]) & set(ends[1])):
-            sides = [",".join(str(i) for i, e in zip(ids, at) if start < e <= cut) for ids, at in zip((a, b), ends)]
-            groups.append("|".join(sides))
-            start = cut
+        cuts = sorted(set(ends[0]) & set(ends[1]))
+        sides = []
+        for ids, at in zip((a, b), ends):
+            side = [[] for _ in cuts]
+            for i, end in zip(ids, at):
+                side[bisect.bisect_left(cuts, end)].append(str(i))
+            sides.append(side)
+        groups = [f"{','.join(x)}|{','.join(y)}" for x, y in zip(*sides)]
         links, j = [], 0
         for i, (token, end) in enumerate(zip(a, ends[0])):
             begin = end - sizes[0][i]
