@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from basketry.llm.align import align, score_links
 from basketry.llm.bpe import decode_ids, encode_texts
 from basketry.llm.decontaminate import digest, mark_contaminated
+from basketry.llm.hard_negatives import mine_negatives
 from basketry.llm.host_rules import host_quality, host_rules
 from basketry.llm.html_text import extract_text
 from basketry.llm.mixing import mix_documents
@@ -117,6 +118,12 @@ def _align(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(spark, table.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_counts": _token_counts,
@@ -131,6 +138,7 @@ def llm_queries() -> dict[str, Query]:
         "op10_toxicity": _toxicity,
         "op11_bpe": _bpe,
         "op12_align": _align,
+        "op13_negatives": _negatives,
     }
 
 

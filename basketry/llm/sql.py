@@ -101,7 +101,33 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc_words LEFT JOIN covered USING (row_id) LEFT JOIN found USING (row_id)
 """
 
+_NEGATIVES = """
+WITH taken AS (
+  SELECT row_number() OVER () AS uid, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.uid, a.vec_id AS anchor_id, r.uid AS other, r.vec_id, r.label = a.label AS same,
+    CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM taken a JOIN taken r ON a.uid <> r.uid
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT uid, anchor_id, other, vec_id AS positive_id, score AS positive_score
+  FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id, other) <= 5
+)
+SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY s.uid, p.other ORDER BY s.score DESC, s.vec_id, s.other) AS INT) AS rank
+FROM positives p JOIN scored s USING (uid, anchor_id)
+WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 LLM_ORACLE = {
+    "op13_negatives": _NEGATIVES,
     "op3_host_rules": _HOST_RULES,
     "op6_decontaminate": _DECONTAMINATE,
     "op8_url_filter": _URL_FILTER,
