@@ -28,7 +28,7 @@ from basketry.operators.dedup import drop_duplicate_keys
 from basketry.operators.ids import fill_missing_key, first_missing_ids, gap_summary, lost_ids
 from basketry.operators.merge import upsert
 from basketry.schemas import date_column, primary_key, table_spec
-from basketry.sources import writers
+from basketry.sources import versions, writers
 
 
 @dataclass(frozen=True)
@@ -103,6 +103,21 @@ def merge_into(name: str, batch: DataFrame, table: str) -> str:
     return writers.publish(merged, name)
 
 
+def merge_into_files(spark: SparkSession, root: str, batch: DataFrame, table: str) -> versions.Merged:
+    """The same for a table of versions under ``root``: only files with changed rows are rewritten.
+
+    The batch may lack columns of the table, which are NULL then; it must not bring new ones.
+    """
+    key, day = primary_key(table).upper(), date_column(table)
+    if not versions.latest_version(spark, root):
+        versions.create_table(drop_duplicate_keys(batch, key, day.upper() if day else None), root, key)
+        return versions.Merged(1, 0, 0, 0, 0)
+    held = versions.read_version(spark, root).limit(0)
+    if extra := {c.lower() for c in batch.columns} - {c.lower() for c in held.columns}:
+        raise ValueError(f"the table at {root} has no columns {sorted(extra)}")
+    return versions.merge_version(combine(batch, held), root, key, day.upper() if day else None)
+
+
 Loader = Callable[[], DataFrame]
 
 
@@ -114,9 +129,13 @@ def run_ingest(
     prefix: str = "raw_",
     form: str = "csv",
     parallel: int = 4,
+    tables: str | None = None,
 ) -> dict[str, str]:
     """Ingest every table: extract with report under ``root``, merged table ``raw_<name>``.
 
+    With ``tables``, a shared folder, merged tables are kept there as versions of files instead of
+    catalog snapshots, and a merge rewrites only the files that hold changed rows.
+
     Tables are independent jobs, a few at a time; one that fails is reported and does
     not stop the others. The merge reads the written extract back instead of building
     it again; the report scans the key, date and source columns of the inputs. Beside it stand
@@ -145,7 +164,11 @@ def run_ingest(
             if primary_key(table) in before.columns:
                 gone = lost_ids(before, saved, primary_key(table))
                 gone.write.mode("overwrite").parquet(f"{folder}_lost")
-        merge_into(f"{prefix}{table}", spark.read.parquet(folder), table)
+        saved = spark.read.parquet(folder)
+        if tables:
+            merge_into_files(spark, f"{tables.rstrip('/')}/{prefix}{table}", saved, table)
+        else:
+            merge_into(f"{prefix}{table}", saved, table)
         return "ok"
 
     def guarded(table: str) -> str:

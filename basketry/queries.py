@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -34,8 +35,9 @@ from basketry.plans.checks import (
 from basketry.plans.ingest import Run, ingest_table, transform
 from basketry.plans.warehouse import Warehouse
 from basketry.schemas import TABLES
-from basketry.session import tune
+from basketry.session import ensure_checkpoint_dir, tune
 from basketry.sources.driver_tables import DriverTables
+from basketry.sources.versions import Merged, create_table, merge_version, read_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,6 +159,29 @@ def ingest_upsert(spark: SparkSession, directory: str) -> DataFrame:
     return present(upsert(target, batch, "order_id", "order_date"))
 
 
+def _merged_twice(spark: SparkSession, directory: str) -> tuple[str, Merged, Merged]:
+    """Orders as a table of versions with the latest extract merged in, and merged again."""
+    root = f"{ensure_checkpoint_dir(spark)}/orders-{uuid.uuid4().hex}"
+    create_table(_order_rows(spark, directory), root, "order_id")
+    batch = _latest_orders(spark, directory)
+    merges = [merge_version(batch, root, "order_id", "order_date") for _ in range(2)]
+    return root, *merges
+
+
+def ingest_merge_files(spark: SparkSession, directory: str) -> DataFrame:
+    root, *_ = _merged_twice(spark, directory)
+    return present(read_version(spark, root))
+
+
+def ingest_merge_counts(spark: SparkSession, directory: str) -> DataFrame:
+    """What each version holds, and what the merges that made it changed; the replay changes nothing."""
+    root, first, again = _merged_twice(spark, directory)
+    sizes = [read_version(spark, root, v).agg(F.lit(v).alias("version"), F.count("*").alias("n_rows")) for v in (1, 2)]
+    done = [("merge", 2, first.updated, first.inserted), ("replay", 2, again.updated, again.inserted)]
+    changed = spark.createDataFrame(done, "step string, version int, updated long, inserted long")
+    return present(sizes[0].unionByName(sizes[1]).join(changed, "version", "left").orderBy("version", "step"))
+
+
 def ingest_audit(spark: SparkSession, directory: str) -> DataFrame:
     historic, latest = _order_rows(spark, directory), _latest_orders(spark, directory)
     orders = load_audit(
@@ -369,6 +394,8 @@ def registered_queries() -> dict[str, Query]:
         ingest_cutover,
         ingest_dedup,
         ingest_upsert,
+        ingest_merge_files,
+        ingest_merge_counts,
         ingest_audit,
         ingest_transform,
         ingest_reference,

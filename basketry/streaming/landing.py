@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry.operators.dedup import drop_duplicate_keys
-from basketry.plans.ingest import Run, merge_into, transform
+from basketry.plans.ingest import Run, merge_into, merge_into_files, transform
 from basketry.schemas import TABLES
 
 
@@ -23,14 +23,22 @@ def ingest_landing(
     checkpoint: str,
     prefix: str = "raw_",
     files_per_batch: int = 1000,
+    tables: str | None = None,
 ) -> StreamingQuery:
-    """Merge all waiting JSON-lines files of ``table``, then stop."""
+    """Merge all waiting JSON-lines files of ``table``, then stop.
+
+    With ``tables``, a shared folder, the table is kept there as versions of files, and a trigger
+    rewrites only the files that hold changed rows.
+    """
     spec = TABLES[table]
 
     def merge(batch: DataFrame, epoch: int) -> None:
         rows = transform(batch, table, "latest", Run(f"stream-{epoch}"))
         newest = drop_duplicate_keys(rows, spec.primary_key, spec.date_column)
-        merge_into(f"{prefix}{table}", newest, table)
+        if tables:
+            merge_into_files(spark, f"{tables.rstrip('/')}/{prefix}{table}", newest, table)
+        else:
+            merge_into(f"{prefix}{table}", newest, table)
 
     return (
         spark.readStream.schema(spec.struct())

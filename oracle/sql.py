@@ -547,6 +547,21 @@ FROM order_rows o LEFT JOIN latest_orders l ON l.order_id = o.order_id
 UNION ALL
 SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount)
 FROM latest_orders WHERE order_id NOT IN (SELECT order_id FROM order_rows)"""
+_FINAL["ingest_merge_files"] = _FINAL["ingest_upsert"]
+_FINAL["ingest_merge_counts"] = """
+SELECT * FROM (WITH sizes AS (
+    SELECT 1 AS version, count(*) AS n_rows FROM order_rows
+    UNION ALL
+    SELECT 2, (SELECT count(*) FROM order_rows)
+        + (SELECT count(*) FROM latest_orders WHERE order_id NOT IN (SELECT order_id FROM order_rows))
+), steps AS (
+    SELECT 'merge' AS step,
+        (SELECT count(*) FROM order_rows o JOIN latest_orders l USING (order_id) WHERE l.status <> o.status)
+            AS updated,
+        (SELECT count(*) FROM latest_orders WHERE order_id NOT IN (SELECT order_id FROM order_rows)) AS inserted
+    UNION ALL SELECT 'replay', 0, 0
+)
+SELECT version, n_rows, step, updated, inserted FROM sizes LEFT JOIN steps ON version = 2) AS counted"""
 _FINAL["ingest_audit"] = """
 SELECT 'orders' AS table_name, 'batch-1' AS batch_id,
        TIMESTAMP '2001-08-03 00:00:00' AS loaded_at,
