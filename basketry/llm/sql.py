@@ -105,10 +105,10 @@ _NEGATIVES = """
 WITH taken AS (
   SELECT row_number() OVER () AS uid, vec_id,
     CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT a.uid, a.vec_id AS anchor_id, r.uid AS other, r.vec_id, r.label = a.label AS same,
     CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
