@@ -19,6 +19,7 @@ A task holds one slice, ``SLICE_CHARS`` characters or the longest text, at some
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from struct import pack
@@ -26,7 +27,6 @@ from struct import pack
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +44,16 @@ _DOC_BITS = 40
 _A_BITS = 32
 
 
+class Unfaithful(Exception):
+    """The bytes of a text's pieces are not the text's."""
+
+
 class Pieces:
     """Ids of a sentence-piece model; one per worker.
 
     If no piece has a mark after another character, the pieces of a text are those of its chunks,
-    each a word with the blanks before it; chunks are then remembered. Else texts go whole.
+    each a word with the blanks before it; chunks are then remembered. Else texts go whole. Either
+    is compared with the bytes of its pieces.
     """
 
     def __init__(self, model: bytes):
@@ -57,7 +62,7 @@ class Pieces:
         names = [self.model.id_to_piece(i) for i in range(n)]
         self.table = [self._bytes(i, names[i]) for i in range(n)]
         self.apart = not any(MARK in name.lstrip(MARK) for name in names)
-        self.chunks = regex.compile(r" +[^ ]*").findall
+        self.chunks = re.compile(r" +[^ ]*").findall
         self.memo = Memo(self._chunk, None)
 
     def _bytes(self, i: int, name: str) -> bytes:
@@ -68,13 +73,14 @@ class Pieces:
         return name.replace(MARK, " ").encode()
 
     def _ids(self, text: str) -> bytes:
-        found = self.model.encode(text)
+        """Ids of a text; the model puts one blank in front."""
+        found = self.model.encode(text) if text else [self.model.piece_to_id(MARK)]
+        if b"".join([self.table[i] for i in found]) != (" " + text).encode("utf-8", "replace"):
+            raise Unfaithful
         return pack(f"<{len(found)}I", *found)
 
     def _chunk(self, chunk: str) -> bytes:
-        if chunk == " ":
-            return pack("<I", self.model.piece_to_id(MARK))
-        return self._ids(chunk[1:])  # the model puts one blank in front
+        return self._ids(chunk[1:])
 
     def encode(self, text: str) -> bytes:
         if not self.apart:
@@ -102,13 +108,11 @@ class Aligner:
         """Ids of both, or none if the text is null or empty or either's bytes are not the text's."""
         if not text or MARK in text:
             return b"", b""
-        spaced = " " + text
-        raw = spaced.encode("utf-8", "replace")
-        found = self.a.encode(spaced), self.b.encode(text)
-        for ids, table in zip(found, (self.a_bytes, self.b_bytes)):
-            if b"".join(map(table.__getitem__, memoryview(ids).cast("I"))) != raw:
-                return b"", b""
-        return found
+        try:
+            # The bytes of a word's A parts are the word's by the way they are cut.
+            return self.a.encode(" " + text), self.b.encode(text)
+        except Unfaithful:
+            return b"", b""
 
 
 def _lists(found: list[bytes]) -> pa.ListArray:
@@ -165,8 +169,8 @@ def align_slice(aligner: Aligner, texts: list[str | None]) -> dict[str, pa.Array
 def _groups(aligner, lists, a_ids, b_ids, cut_a, cut_b) -> pa.Array:
     """The groups of each document as ``a1,a2|b1;a3|b2,b3``, written by one take from all ids' strings."""
     group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
-    a_until = np.searchsorted(group_a, group_b, side="right")  # A tokens up to the end of a B token's group
-    b_until = np.searchsorted(group_b, group_a, side="left")
+    a_until = (np.flatnonzero(cut_a) + 1)[group_b]  # A tokens up to the end of a B token's group
+    b_until = np.concatenate([[0], np.flatnonzero(cut_b) + 1])[group_a]  # B tokens before an A token's group
     take = np.empty(len(a_ids) + len(b_ids), np.int64)
     take[np.arange(len(a_ids)) + b_until] = a_ids * 2 + cut_a
     ends_a, ends_b = (x.offsets.to_numpy() for x in lists)
