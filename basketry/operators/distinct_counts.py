@@ -23,22 +23,26 @@ class DistinctCount:
     only: Column | None = None
 
 
-def grouped_distinct_counts(
+def _flags(distinct: list[DistinctCount]) -> dict[str, Column | None]:
+    return {
+        d.alias: F.coalesce(d.only, F.lit(False)) if d.only is not None else None
+        for d in distinct
+    }
+
+
+def count_state(
     df: DataFrame,
     by: list[str],
     distinct: list[DistinctCount],
     sums: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Group by ``by`` columns; one column per distinct count, one per sum.
+    """One row per group, counted column (``slot``) and value, with its flags and sums.
 
-    ``sums`` expressions are summed over all rows (NULLs skipped).
+    States of different rows can be put together by ``merge_states``.
     """
     sums = sums or {}
     values = list(dict.fromkeys(d.value for d in distinct))
-    flags = {
-        d.alias: F.coalesce(d.only, F.lit(False)) if d.only is not None else None
-        for d in distinct
-    }
+    flags = _flags(distinct)
 
     def null_like(expr: Column) -> Column:
         # same type as expr, always NULL
@@ -61,7 +65,7 @@ def grouped_distinct_counts(
     else:
         tall = df.select(*by, F.inline(F.array(*copies)))
 
-    per_value = tall.groupBy(*by, "slot", "value").agg(
+    return tall.groupBy(*by, "slot", "value").agg(
         F.count(F.lit(1)).alias("rows"),
         *[
             F.max(f"only_{alias}").alias(f"only_{alias}")
@@ -70,11 +74,40 @@ def grouped_distinct_counts(
         ],
         *[F.sum(f"sum_{name}").alias(f"sum_{name}") for name in sums],
     )
+
+
+def merge_states(states: DataFrame, by: list[str]) -> DataFrame:
+    """The state of all rows from states of parts of them, unioned."""
+    others = [c for c in states.columns if c not in (*by, "slot", "value", "rows")]
+    return states.groupBy(*by, "slot", "value").agg(
+        F.sum("rows").alias("rows"),
+        *[(F.max if c.startswith("only_") else F.sum)(c).alias(c) for c in others],
+    )
+
+
+def finish_counts(
+    state: DataFrame, by: list[str], distinct: list[DistinctCount], sums: list[str]
+) -> DataFrame:
+    """One row per group: a column per distinct count, one per sum."""
+    values = list(dict.fromkeys(d.value for d in distinct))
     outputs = []
     for d in distinct:
         hit = (F.col("slot") == values.index(d.value)) & F.col("value").isNotNull()
-        if flags[d.alias] is not None:
+        if d.only is not None:
             hit = hit & F.col(f"only_{d.alias}")
         outputs.append(F.count(F.when(hit, 1)).alias(d.alias))
     outputs += [F.sum(f"sum_{name}").alias(name) for name in sums]
-    return per_value.groupBy(*by).agg(*outputs)
+    return state.groupBy(*by).agg(*outputs)
+
+
+def grouped_distinct_counts(
+    df: DataFrame,
+    by: list[str],
+    distinct: list[DistinctCount],
+    sums: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Group by ``by`` columns; one column per distinct count, one per sum.
+
+    ``sums`` expressions are summed over all rows (NULLs skipped).
+    """
+    return finish_counts(count_state(df, by, distinct, sums), by, distinct, list(sums or {}))

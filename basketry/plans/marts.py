@@ -208,16 +208,8 @@ def dim_products(
 # customer facts
 
 
-def fct_customer_activity(
-    customers: DataFrame, interactions: DataFrame, run_ts: datetime
-) -> DataFrame:
-    """Events per customer and day, folded before the customer's e-mail is joined."""
-    kind = F.col("event_type")
-
-    def counted(event: str) -> Column:
-        return F.when(kind == event, 1).otherwise(0)
-
-    days = interactions.select(
+def activity_rows(interactions: DataFrame) -> DataFrame:
+    return interactions.select(
         "customer_id",
         F.to_date("event_date").alias("event_date"),
         "event_type",
@@ -225,22 +217,30 @@ def fct_customer_activity(
         "session_id",
         "device_type",
     ).filter(F.col("event_date").isNotNull() & F.col("customer_id").isNotNull())
-    activity = grouped_distinct_counts(
-        days,
-        ["customer_id", "event_date"],
-        [
-            DistinctCount("unique_products_viewed", "product_id", kind == "view"),
-            DistinctCount("unique_products_added", "product_id", kind == "cart_add"),
-            DistinctCount("unique_products_purchased", "product_id", kind == "purchase"),
-            DistinctCount("total_sessions", "session_id"),
-            DistinctCount("devices_used", "device_type"),
-        ],
-        {
-            "views": counted("view"),
-            "adds": counted("cart_add"),
-            "buys": counted("purchase"),
-        },
-    )
+
+
+def activity_counts() -> tuple[list[str], list[DistinctCount], dict[str, Column]]:
+    kind = F.col("event_type")
+
+    def counted(event: str) -> Column:
+        return F.when(kind == event, 1).otherwise(0)
+
+    distinct = [
+        DistinctCount("unique_products_viewed", "product_id", kind == "view"),
+        DistinctCount("unique_products_added", "product_id", kind == "cart_add"),
+        DistinctCount("unique_products_purchased", "product_id", kind == "purchase"),
+        DistinctCount("total_sessions", "session_id"),
+        DistinctCount("devices_used", "device_type"),
+    ]
+    sums = {
+        "views": counted("view"),
+        "adds": counted("cart_add"),
+        "buys": counted("purchase"),
+    }
+    return ["customer_id", "event_date"], distinct, sums
+
+
+def finish_activity(activity: DataFrame, customers: DataFrame, run_ts: datetime) -> DataFrame:
     people = customers.groupBy("customer_id", "email").agg(F.count(F.lit(1)).alias("copies"))
     return activity.join(people, "customer_id").select(
         "customer_id",
@@ -258,6 +258,14 @@ def fct_customer_activity(
     )
 
 
+def fct_customer_activity(
+    customers: DataFrame, interactions: DataFrame, run_ts: datetime
+) -> DataFrame:
+    """Events per customer and day, folded before the customer's e-mail is joined."""
+    activity = grouped_distinct_counts(activity_rows(interactions), *activity_counts())
+    return finish_activity(activity, customers, run_ts)
+
+
 def fct_customer_orders(
     orders: DataFrame,
     order_items: DataFrame,
@@ -531,29 +539,33 @@ def fct_product_performance(
     )
 
 
-def fct_sales_by_date(orders: DataFrame, run_ts: datetime) -> DataFrame:
-    days = orders.select(
+def sales_rows(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.to_date("order_date").alias("sale_date"),
         "order_id",
         "customer_id",
         "total_amount",
         "shipping_cost",
     )
+
+
+def sales_counts() -> tuple[list[str], list[DistinctCount], dict[str, Column]]:
     amount = F.col("total_amount")
-    return grouped_distinct_counts(
-        days,
-        ["sale_date"],
-        [
-            DistinctCount("total_orders", "order_id"),
-            DistinctCount("unique_customers", "customer_id"),
-        ],
-        {
-            "total_revenue": amount,
-            "total_shipping": F.col("shipping_cost"),
-            "net_revenue": amount - F.col("shipping_cost"),
-            "amounts": F.when(amount.isNotNull(), 1),
-        },
-    ).select(
+    distinct = [
+        DistinctCount("total_orders", "order_id"),
+        DistinctCount("unique_customers", "customer_id"),
+    ]
+    sums = {
+        "total_revenue": amount,
+        "total_shipping": F.col("shipping_cost"),
+        "net_revenue": amount - F.col("shipping_cost"),
+        "amounts": F.when(amount.isNotNull(), 1),
+    }
+    return ["sale_date"], distinct, sums
+
+
+def finish_sales(days: DataFrame, run_ts: datetime) -> DataFrame:
+    return days.select(
         "sale_date",
         "total_orders",
         "unique_customers",
@@ -566,6 +578,10 @@ def fct_sales_by_date(orders: DataFrame, run_ts: datetime) -> DataFrame:
     )
 
 
+def fct_sales_by_date(orders: DataFrame, run_ts: datetime) -> DataFrame:
+    return finish_sales(grouped_distinct_counts(sales_rows(orders), *sales_counts()), run_ts)
+
+
 def fct_sales_by_product(
     products: DataFrame, order_items: DataFrame, orders: DataFrame, run_ts: datetime
 ) -> DataFrame:

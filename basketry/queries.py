@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,13 +25,14 @@ from basketry.operators.ids import (
 from basketry.operators.merge import append_increment, upsert
 from basketry.operators.quality import Check, run_checks
 from basketry.operators.sampling import refresh_sampled, sample_keys
-from basketry.plans import measures
+from basketry.plans import marts, measures
 from basketry.plans.checks import (
     INTERMEDIATE_CHECKS,
     MART_CHECKS,
     RAW_CHECKS,
     STAGING_CHECKS,
 )
+from basketry.plans.increments import add_load, replace_groups
 from basketry.plans.ingest import Run, ingest_table, transform
 from basketry.plans.warehouse import Warehouse
 from basketry.schemas import TABLES
@@ -248,6 +249,36 @@ def incremental_customer_orders(spark: SparkSession, directory: str) -> DataFram
     return present(w.customer_orders_since(loaded).drop("created_at"))
 
 
+def _loads(rows: DataFrame, day: str, until: str, late: Column) -> list[DataFrame]:
+    """A table as it arrives: up to a day but for late rows, then the rest, of all dates."""
+    early = F.coalesce((F.col(day) < F.lit(until).cast("timestamp_ntz")) & ~late, F.lit(False))
+    return [rows.filter(early), rows.filter(~early)]
+
+
+def incremental_sales_by_date(spark: SparkSession, directory: str) -> DataFrame:
+    """The fact of a first load as a table of versions; the days that a second one touches merged in."""
+    root = f"{ensure_checkpoint_dir(spark)}/sales-{uuid.uuid4().hex}"
+    orders = open_warehouse(spark, directory)["orders"]
+    first, second = _loads(orders, "order_date", LATEST_FROM, F.dayofmonth("order_date") <= 3)
+    counts = add_load(spark, f"{root}/state", "fct_sales_by_date", first, "first")
+    create_table(marts.finish_sales(counts, RUN_TS), f"{root}/fact", "sale_date")
+    counts = add_load(spark, f"{root}/state", "fct_sales_by_date", second, "second")
+    merge_version(marts.finish_sales(counts, RUN_TS), f"{root}/fact", "sale_date")
+    return present(read_version(spark, f"{root}/fact").drop("updated_at"))
+
+
+def incremental_customer_activity(spark: SparkSession, directory: str) -> DataFrame:
+    """Groups of a first load, those that the late rows touch replaced."""
+    w = open_warehouse(spark, directory)
+    root = f"{ensure_checkpoint_dir(spark)}/activity-{uuid.uuid4().hex}"
+    loads = _loads(w["customer_interactions"], "event_date", "2024-01-10", F.hour("event_date") < 6)
+    first = add_load(spark, root, "fct_customer_activity", loads[0], "load0")
+    first.write.parquet(f"{root}/first")
+    second = add_load(spark, root, "fct_customer_activity", loads[1], "load1")
+    days = replace_groups(spark.read.parquet(f"{root}/first"), second, ["customer_id", "event_date"])
+    return present(marts.finish_activity(days, w["customers_enriched"], RUN_TS).drop("updated_at"))
+
+
 def pk_gaps(spark: SparkSession, directory: str) -> DataFrame:
     return present(id_gaps(open_warehouse(spark, directory)["stg_order_items"], "order_id"))
 
@@ -401,6 +432,8 @@ def registered_queries() -> dict[str, Query]:
         ingest_reference,
         incremental_orders,
         incremental_customer_orders,
+        incremental_sales_by_date,
+        incremental_customer_activity,
         pk_gaps,
         pk_gap_summary,
         first_gaps,

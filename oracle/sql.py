@@ -585,6 +585,8 @@ SELECT CAST(order_date AS DATE) AS day FROM m_orders WHERE order_date < TIMESTAM
 _FINAL["incremental_customer_orders"] = f"""
 SELECT * FROM ({_FINAL["fct_customer_orders"]}) AS whole
 WHERE order_date > (SELECT max(day) FROM loaded_days)"""
+_FINAL["incremental_sales_by_date"] = _FINAL["fct_sales_by_date"]
+_FINAL["incremental_customer_activity"] = _FINAL["fct_customer_activity"]
 _FINAL["pk_gaps"] = """
 SELECT id + 1 AS gap_start, following - 1 AS gap_end, following - id - 1 AS missing_ids
 FROM (
