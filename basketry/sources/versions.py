@@ -132,7 +132,7 @@ def _write_files(df: DataFrame, root: str, key: str, rows_per_file: int) -> str:
         F.ceil(F.count("*") / KEYS_PER_BLOCK).cast("int").alias("blocks"),
     )
     sizes.coalesce(1).write.parquet(f"{root}/sizes/{token}")
-    blocks = F.broadcast(spark.read.schema(_MANIFEST).parquet(f"{root}/sizes/{token}").select("file", "blocks"))
+    blocks = spark.read.schema(_MANIFEST).parquet(f"{root}/sizes/{token}").select("file", "blocks")
     keyed = held.where(F.col(key).isNotNull()).join(blocks, F.col("_file") == F.col("file"))
     each = keyed.select("file", _block(key, F.col("blocks")).alias("block"), F.explode(_bits(key)).alias("bit"))
     bloom = each.groupBy("file", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
@@ -246,5 +246,5 @@ def merge_version(
     token = _write_files(rows, root, key, rows_per_file)
     made = spark.read.schema(_MANIFEST).parquet(f"{root}/sizes/{token}")
     gone = spark.createDataFrame([(name,) for name in hit], "file string")
-    _publish(spark, root, version + 1, files.join(F.broadcast(gone), "file", "left_anti").unionByName(made))
+    _publish(spark, root, version + 1, files.join(gone, "file", "left_anti").unionByName(made))
     return Merged(version + 1, updated, inserted, len(hit), kept - len(hit))
