@@ -94,9 +94,9 @@ def read_raw(spark: SparkSession, path: str, table: str, form: str) -> DataFrame
         return spark.read.parquet(path)
     if form == "csv":
         return read_csv_extract(spark, path, table)
+    schema = TABLES[table].struct() if table in TABLES else None
     if form == "json":
-        return read_json_extract(spark, path)
+        return read_json_extract(spark, path, schema)
     if form == "envelope":
-        schema = TABLES[table].struct() if table in TABLES else None
         return read_json_envelope(spark, path, schema)
     raise ValueError(f"unknown form {form}")
