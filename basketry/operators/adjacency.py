@@ -1,83 +1,33 @@
 """Neighbouring rows of an ordered sequence, for sequences of any length.
 
-``lead()`` over a window puts a whole sequence into one task. Here copies of a row are
-folded into one with a count, so that no order key repeats, and rows are range
-partitioned on (sequence, order), which cuts a long sequence wherever it must. Each
-task pairs its own neighbours batch by batch, and the pairs across two partitions come
-from the first and last row of each partition.
+``lead()`` over a sequence puts all of it into one task. Here copies of a row are folded
+into one with a count, so that no order key repeats, and rows are range partitioned on
+(sequence, order), which cuts a long sequence wherever it must. ``lead()`` runs inside each
+range; the pairs across two ranges come from the first and last row of every range.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import ensure_checkpoint_dir
+_END = "struct<part: int, side: int, sequence: string, state: string>"
 
-_SCHEMA = "edge boolean, part int, side int, sequence string, source string, target string, n bigint"
 
+def _pair(where: Column, source: str, target: str, n: Column) -> Column:
+    """A counted pair where the condition holds, else NULL."""
+    columns = {"sequence": F.col("sequence"), "source": F.col(source), "target": F.col(target)}
+    named = [*columns.items(), ("n", n.cast("bigint")), ("end", F.lit(None).cast(_END))]
+    return F.when(where, F.struct(*[c.alias(name) for name, c in named]))
 
-def _pair_up(keep_sequence: bool):
-    groups = ["sequence", "source", "target"] if keep_sequence else ["source", "target"]
 
-    def edge(part: int, side: int, row: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "edge": [True],
-                "part": [part],
-                "side": [side],
-                "sequence": [row["sequence"].iloc[0]],
-                "source": [row["state"].iloc[0]],
-                "target": [None],
-                "n": [0],
-            }
-        )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = TaskContext.get().partitionId()
-        last = None
-        for batch in batches:
-            if batch.empty:
-                continue
-            if last is None:
-                yield edge(part, 0, batch)
-                rows = batch
-            else:
-                rows = pd.concat([last, batch], ignore_index=True)
-            follows = rows["sequence"].eq(rows["sequence"].shift())
-            steps = pd.DataFrame(
-                {
-                    "sequence": rows["sequence"],
-                    "source": rows["state"].shift(),
-                    "target": rows["state"],
-                    "n": 1,
-                }
-            )[follows]
-            repeated = batch[batch["copies"] > 1]
-            stays = pd.DataFrame(
-                {
-                    "sequence": repeated["sequence"],
-                    "source": repeated["state"],
-                    "target": repeated["state"],
-                    "n": repeated["copies"] - 1,
-                }
-            )
-            pairs = pd.concat([steps, stays], ignore_index=True)
-            counted = pairs.groupby(groups, sort=False)["n"].sum().reset_index()
-            if not keep_sequence:
-                counted["sequence"] = None
-            counted["edge"], counted["part"], counted["side"] = False, part, 0
-            if not counted.empty:
-                yield counted[["edge", "part", "side", "sequence", "source", "target", "n"]]
-            last = batch.tail(1)
-        if last is not None:
-            yield edge(part, 1, last)
-
-    return run
+def _end(where: Column, side: int) -> Column:
+    """The first (0) or last (1) row of a range where the condition holds, else NULL."""
+    end = F.struct(F.col("part"), F.lit(side), F.col("sequence"), F.col("state")).cast(_END)
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("sequence", "source", "target")]
+    return F.when(where, F.struct(*nothing, F.lit(0).cast("bigint").alias("n"), end.alias("end")))
 
 
 def adjacent_pairs(
@@ -89,13 +39,12 @@ def adjacent_pairs(
 ) -> DataFrame:
     """Counts ``(sequence, source, target, n)`` of neighbours in each sequence.
 
-    Rows without a sequence or a state are left out; rows equal in every order column
-    follow one another by state. The same combination may occur
-    on several rows: group the result. With ``keep_sequence=False`` the sequence is
-    NULL and tasks count over all of theirs, which leaves a few rows per task.
-    The checkpoint makes both reads below see one and the same partitioning.
+    Rows without a sequence or a state are left out; rows equal in every order column follow
+    one another by state. The same combination may occur on several rows: group the result.
+    With ``keep_sequence=False`` the sequence is NULL and the counts are over all sequences.
+    Nothing runs while the plan is built: pairs inside a range and the ends of the ranges come
+    out of one pass, so both see the same ranges.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     keys = [f"order_{i}" for i in range(len(order))]
     folded = (
         df.filter(F.col(sequence).isNotNull() & F.col(state).isNotNull())
@@ -107,29 +56,42 @@ def adjacent_pairs(
         .groupBy("sequence", *keys, "state")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    ordered = (
-        folded.repartitionByRange("sequence", *keys, "state")
-        .sortWithinPartitions("sequence", *keys, "state")
-        .select("sequence", "state", "copies")
+    ranged = folded.repartitionByRange("sequence", *keys, "state").withColumn(
+        "part", F.spark_partition_id()
     )
-    paired = ordered.mapInPandas(_pair_up(keep_sequence), _SCHEMA).checkpoint()
-    across = Window.orderBy("part", "side")  # two rows per partition
-    stitched = (
-        paired.filter("edge")
-        .select(
-            "side",
-            "sequence",
-            "source",
-            F.lead("sequence").over(across).alias("next_sequence"),
-            F.lead("source").over(across).alias("target"),
-        )
-        .filter("side = 1 and sequence = next_sequence")
+    inside = Window.partitionBy("part").orderBy("sequence", *keys, "state")
+    steps = ranged.select(
+        "part",
+        "sequence",
+        "state",
+        "copies",
+        F.lead("sequence").over(inside).alias("next_sequence"),
+        F.lead("state").over(inside).alias("next_state"),
+        F.lag("sequence").over(inside).isNull().alias("first"),
+    )
+    found = F.array(
+        _pair(F.col("next_sequence") == F.col("sequence"), "state", "next_state", F.lit(1)),
+        _pair(F.col("copies") > 1, "state", "state", F.col("copies") - 1),
+        _end(F.col("first"), 0),
+        _end(F.col("next_sequence").isNull(), 1),
     )
-    output = ["sequence", "source", "target"]
+    entries = steps.select(F.inline(F.filter(found, lambda e: e.isNotNull())))
     if not keep_sequence:
-        stitched = stitched.withColumn("sequence", F.lit(None).cast("string"))
-    return (
-        paired.filter("not edge")
-        .select(*output, "n")
-        .unionByName(stitched.select(*output, F.lit(1).cast("bigint").alias("n")))
+        entries = entries.withColumn("sequence", F.lit(None).cast("string"))
+    # one group has no source: the ends, two per range
+    counted = entries.groupBy("sequence", "source", "target").agg(
+        F.sum("n").alias("n"), F.sort_array(F.collect_list("end")).alias("ends")
     )
+
+    def bridge(left: Column, right: Column) -> Column:
+        meets = (left["side"] == 1) & (left["sequence"] == right["sequence"])
+        kept = left["sequence"] if keep_sequence else F.lit(None).cast("string")
+        names = ("sequence", "source", "target", "n")
+        values = (kept, left["state"], right["state"], F.lit(1).cast("bigint"))
+        return F.when(meets, F.struct(*[v.alias(c) for c, v in zip(names, values)]))
+
+    ends = F.col("ends")
+    shifted = F.slice(ends, F.lit(2), F.greatest(F.size(ends) - 1, F.lit(0)))
+    bridges = F.filter(F.zip_with(ends, shifted, bridge), lambda p: p.isNotNull())
+    whole = F.array(F.struct("sequence", "source", "target", "n"))
+    return counted.select(F.inline(F.when(F.col("source").isNull(), bridges).otherwise(whole)))

@@ -284,6 +284,28 @@ def test_adjacent_pairs_with_a_hot_sequence(spark, hot):
     assert short == merged
 
 
+def test_adjacent_pairs_are_built_without_a_job(spark):
+    df = spark.range(4000).selectExpr("'s' AS k", "id AS t", "string(id % 3) AS state").repartition(8, "t")
+    spark.sparkContext.setJobGroup("pairs", "building only")
+    try:
+        pairs = adjacent_pairs(df, "k", ["t"], "state", keep_sequence=False)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("pairs")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = pairs._jdf.queryExecution().toString()
+    assert "Python" not in plan and "InPandas" not in plan
+    total = pairs.groupBy("source", "target").agg(F.sum("n").alias("n"))
+    assert rows(total) == [("0", "1", 1333), ("1", "2", 1333), ("2", "0", 1333)]
+
+
+def test_adjacent_pairs_of_nothing_and_of_one_row(spark):
+    shape = "k string, t int, state string"
+    assert adjacent_pairs(spark.createDataFrame([], shape), "k", ["t"], "state").collect() == []
+    assert adjacent_pairs(spark.createDataFrame([("a", 1, "x")], shape), "k", ["t"], "state").collect() == []
+    lone = spark.createDataFrame([(k, None, "x") for k in "aabc"], shape)
+    assert rows(adjacent_pairs(lone, "k", ["t"], "state")) == [("a", "x", "x", 1)]
+
+
 # distinct counts
 
 
