@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions import surrogate_key
@@ -25,107 +25,132 @@ class Check:
     severity: str = "error"
 
 
-def _check_table(
-    name: str, checks: list[Check], tables: Mapping[str, DataFrame]
-) -> DataFrame:
-    df = tables[name]
-    targets = list(dict.fromkeys(c.column for c in checks))
-
-    def key_text(target: str):
-        columns = [c.strip() for c in target.split(",")]
-        if len(columns) > 1:
-            return surrogate_key(*columns)
-        if all(c.kind == "not_null" for c in checks if c.column == target):
-            # the value does not matter: all of them fold into one row per task
-            return F.when(F.col(target).isNotNull(), F.lit(""))
+def _key_text(target: str, values_matter: bool) -> Column:
+    columns = [c.strip() for c in target.split(",")]
+    if len(columns) > 1:
+        return surrogate_key(*columns)
+    if values_matter:
         return F.col(target).cast("string")
+    # all present values fold into one row per task
+    return F.when(F.col(target).isNotNull(), F.lit(""))
 
-    tall = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(slot).alias("slot"), key_text(target).alias("value"))
-                    for slot, target in enumerate(targets)
-                ]
+
+def _literal(rows: list, names: str) -> Column:
+    columns = names.split()
+    return F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in rows])
+
+
+def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+    """Report ``(table_name, column_name, check_name, severity, failing_rows, status)``.
+
+    ``failing_rows`` counts rows, except for unique and grain checks, which count the
+    key values that occur more than once. A NULL child key passes a relationship.
+
+    Every table is read once, children and parents alike: its checked columns fold to
+    (slot, value, rows), a slot being one column of one table. A parent's values then meet those
+    of all its children in one grouping on (parent, value).
+    """
+    checks = list(checks)
+    if not checks:
+        raise ValueError("no checks given")
+    for check in checks:
+        if check.kind not in ("not_null", "unique", "grain", "relationships"):
+            raise ValueError(f"unknown check {check.kind}")
+    relations: dict[tuple[str, str], list[int]] = {}  # parent column -> its checks
+    for number, check in enumerate(checks):
+        if check.kind == "relationships":
+            table, column = check.parent.split(".")
+            relations.setdefault((table, column), []).append(number)
+    parents = list(relations)
+    slots = list(dict.fromkeys([(c.table, c.column) for c in checks] + parents))
+
+    # what a value of a slot counts for: (kind, group, place, check)
+    rules: dict[tuple[str, str], list[tuple]] = {slot: [] for slot in slots}
+    for number, check in enumerate(checks):
+        if check.kind != "relationships":
+            kind = "not_null" if check.kind == "not_null" else "unique"
+            rules[check.table, check.column].append((kind, -1, 0, number))
+    for group, parent in enumerate(parents):
+        rules[parent].append(("parent", group, -1, -1))
+        for place, number in enumerate(relations[parent]):
+            child = checks[number]
+            rules[child.table, child.column].append(("child", group, place, number))
+
+    tall = None
+    for name in dict.fromkeys(table for table, _ in slots):
+        values = [
+            F.struct(
+                F.lit(number).alias("slot"),
+                _key_text(column, any(rule[0] != "not_null" for rule in rules[table, column])).alias("value"),
             )
-        )
-    )
+            for number, (table, column) in enumerate(slots)
+            if table == name
+        ]
+        part = tables[name].select(F.inline(F.array(*values)))
+        tall = part if tall is None else tall.unionByName(part)
     # a hot value, NULL included, is folded here before anything else shuffles
     profile = tall.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("rows"))
 
-    relations = [c for c in checks if c.kind == "relationships"]
-    for number, check in enumerate(relations):
-        table, column = check.parent.split(".")
-        # one row per key of one check's parent, so the join neither mixes nor doubles rows
-        keys = (
-            tables[table]
-            .select(
-                F.lit(targets.index(check.column)).alias("slot"),
-                F.col(column).cast("string").alias("value"),
-                F.lit(number).alias("relation"),
-            )
-            .filter(F.col("value").isNotNull())
-            .distinct()
+    by_slot = F.array(*[_literal(rules[slot], "kind group place check") for slot in slots])
+    kind, value = F.col("kind"), F.col("value")
+    counted = (
+        profile.select("value", "rows", F.inline(F.element_at(by_slot, F.col("slot") + 1)))
+        .withColumn(
+            "n",
+            F.when((kind == "not_null") & value.isNull(), F.col("rows"))
+            .when((kind == "unique") & value.isNotNull() & (F.col("rows") > 1), 1)
+            .when((kind == "child") & value.isNotNull(), F.col("rows"))
+            .when((kind == "parent") & value.isNotNull(), 0),
         )
-        parents = keys if not number else parents.unionByName(keys)
-    if relations:
-        known = parents.groupBy("slot", "value").agg(
-            *[F.bool_or(F.col("relation") == k).alias(f"known{k}") for k in range(len(relations))]
+        .filter("n is not null")
+        # a check without a parent is one group of its own
+        .select(
+            "group",
+            "place",
+            "n",
+            F.when(F.col("group") < 0, F.col("check").cast("string")).otherwise(value).alias("value"),
         )
-        profile = profile.join(known, ["slot", "value"], "left")
-
-    def failing(check: Check):
-        here = F.col("slot") == targets.index(check.column)
-        if check.kind == "not_null":
-            return F.sum(F.when(here & F.col("value").isNull(), F.col("rows")))
-        if check.kind == "relationships":
-            found = F.coalesce(F.col(f"known{relations.index(check)}"), F.lit(False))
-            orphan = F.col("value").isNotNull() & ~found
-            return F.sum(F.when(here & orphan, F.col("rows")))
-        if check.kind in ("unique", "grain"):
-            return F.count(F.when(here & F.col("value").isNotNull() & (F.col("rows") > 1), 1))
-        raise ValueError(f"unknown check {check.kind}")
-
-    counts = profile.agg(*[failing(c).alias(f"f{i}") for i, c in enumerate(checks)])
-    return counts.select(
+    )
+    places = max([1, *map(len, relations.values())])
+    met = counted.groupBy("group", "value").agg(
+        F.bool_or(F.col("place") == -1).alias("known"),
+        *[F.sum(F.when(F.col("place") == p, F.col("n"))).alias(f"n{p}") for p in range(places)],
+    )
+    numbers = [relations[parent] + [-1] * (places - len(relations[parent])) for parent in parents]
+    check_of = F.array(*[F.array(*map(F.lit, row)) for row in numbers or [[-1]]])
+    failed = met.filter("not known").select(
         F.inline(
             F.array(
                 *[
                     F.struct(
-                        F.lit(c.table).alias("table_name"),
-                        F.lit(c.column).alias("column_name"),
-                        F.lit(c.kind).alias("check_name"),
-                        F.lit(c.severity).alias("severity"),
-                        F.coalesce(F.col(f"f{i}"), F.lit(0)).cast("bigint").alias("failing_rows"),
+                        F.when(F.col("group") < 0, value.cast("int"))
+                        .otherwise(F.get(F.get(check_of, F.col("group")), F.lit(p)))
+                        .alias("check"),
+                        F.col(f"n{p}").alias("failing"),
                     )
-                    for i, c in enumerate(checks)
+                    for p in range(places)
                 ]
             )
         )
-    ).withColumn(
-        "status",
-        F.when(F.col("failing_rows") == 0, "pass")
-        .when(F.col("severity") == "warn", "warn")
-        .otherwise("fail"),
     )
-
-
-def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """Report ``(table_name, column_name, check_name, severity, failing_rows, status)``.
-
-    ``failing_rows`` counts rows, except for unique and grain checks, which count the
-    key values that occur more than once. A NULL child key passes a relationship.
-    """
-    by_table: dict[str, list[Check]] = {}
-    for check in checks:
-        by_table.setdefault(check.table, []).append(check)
-    report = None
-    for name, group in by_table.items():
-        part = _check_table(name, group, tables)
-        report = part if report is None else report.unionByName(part)
-    if report is None:
-        raise ValueError("no checks given")
-    return report
+    counts = failed.filter("failing > 0").groupBy("check").agg(F.sum("failing").alias("failing"))
+    listed = [(i, c.table, c.column, c.kind, c.severity) for i, c in enumerate(checks)]
+    names = "check table_name column_name check_name severity"
+    # one entry per failed check, listed in the order of the checks
+    found = counts.agg(F.map_from_entries(F.collect_list(F.struct("check", "failing"))).alias("found"))
+    return (
+        found.select("found", F.inline(_literal(listed, names)))
+        .select(
+            *names.split()[1:],
+            F.coalesce(F.try_element_at("found", F.col("check")), F.lit(0)).cast("bigint").alias("failing_rows"),
+        )
+        .withColumn(
+            "status",
+            F.when(F.col("failing_rows") == 0, "pass")
+            .when(F.col("severity") == "warn", "warn")
+            .otherwise("fail"),
+        )
+    )
 
 
 class FailedChecks(Exception):
