@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.merge import newer_than_target
+from basketry.operators.quality import Check, run_checks
 from basketry.plans import intermediate, marts, staging
 from basketry.schemas import TABLES
 from basketry.session import ensure_checkpoint_dir
@@ -274,3 +275,12 @@ class Warehouse:
         for name, day in FACTS.items():
             self.as_table(name, root, day, database)
         return [*STAGING, *INTERMEDIATE, *DIMENSIONS, *FACTS]
+
+    def check(self, checks: list[Check], prefix: str = "") -> DataFrame:
+        """The report of ``run_checks`` on models, or with ``prefix`` "raw_" on raw tables.
+
+        After a refresh it reads the checked columns of the files just written and builds no
+        model again; dimensions kept as views are built for their keys only.
+        """
+        names = {c.table for c in checks} | {c.parent.split(".")[0] for c in checks if c.parent}
+        return run_checks({name: self[f"{prefix}{name}"] for name in sorted(names)}, checks)

@@ -23,7 +23,7 @@ from basketry.operators.ids import (
     lost_ids,
 )
 from basketry.operators.merge import append_increment, upsert
-from basketry.operators.quality import Check, run_checks
+from basketry.operators.quality import Check
 from basketry.operators.sampling import refresh_sampled, sample_keys
 from basketry.plans import marts, measures
 from basketry.plans.checks import (
@@ -383,8 +383,7 @@ def _checks(
     def run(spark: SparkSession, directory: str) -> DataFrame:
         w = open_warehouse(spark, directory, EVENTS_AS_OF)
         w.pin(shared or [])
-        names = {c.table for c in checks} | {c.parent.split(".")[0] for c in checks if c.parent}
-        return run_checks({name: w[f"{prefix}{name}"] for name in sorted(names)}, checks)
+        return w.check(checks, prefix)
 
     return run
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.plans import intermediate, marts, measures
+from basketry.plans.checks import INTERMEDIATE_CHECKS
 from basketry.plans.warehouse import FACTS, INTERMEDIATE, Warehouse
 from tests import fixtures as fx
 from tests.conftest import rows
@@ -287,6 +288,20 @@ def test_published_layers_give_the_same_marts(spark, tmp_path):
     assert spark.table("dim_products").count() == 2
 
 
+def test_checks_after_a_refresh_read_the_written_files_once(spark, tmp_path):
+    composed = rows(two_by_two(spark, "faithful").check(INTERMEDIATE_CHECKS))
+    built = two_by_two(spark, "faithful")
+    built.refresh(str(tmp_path))
+    report = built.check(INTERMEDIATE_CHECKS)
+    assert rows(report) == composed
+    names = {c.table for c in INTERMEDIATE_CHECKS} | {c.parent.split(".")[0] for c in INTERMEDIATE_CHECKS if c.parent}
+    plan = report._jdf.queryExecution().sparkPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == len(names)
+    assert all(str(tmp_path) in path for path in report.inputFiles())
+    assert "total_amount" not in plan and "product_name" not in plan
+
+
 def test_unknown_model():
     with pytest.raises(KeyError):
         Warehouse(None, {}, fx.AS_OF, fx.RUN_TS)["nothing"]
