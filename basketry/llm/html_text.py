@@ -7,15 +7,17 @@ role, class or id; if a page has an article or main element, only what is inside
 The main texts of one host's pages are then one token stream. Its suffix array, sorted by
 prefix doubling to ``REPEAT_TOKENS`` tokens, brings equal passages together; a passage that
 ``MIN_SHARE`` of the host's pages (three at least) hold is boilerplate, and the tokens that such
-passages cover leave the main text. What runs remain of a block stay. Pages with the same main
-text count as one there: an article served under many addresses is no boilerplate. Neither are
-versions of an article: pages with less than ``OWN_SHARE`` of text that no other page holds count
-only where a passage is on ``MOST_SHARE`` of all.
-
-Only four bytes a token are shuffled, to shards of about ``SHARD_PAGES`` pages of a host. A shard
-counts its passages, the counts are added up over the host's shards, and each passage is decided
-once per host from the total. The pages, read again, lose what their host's verdict lists, so no
-page is shuffled and no host meets in one task, however large.
+passages cover leave the main text. What runs remain of a block stay. Inside an article or main
+element the markup says that a text is no boilerplate: from there only passages go that
+``MOST_SHARE`` of the host's pages hold.
+
+Pages with the same main text count as one: an article served under many addresses is no
+boilerplate. Neither are versions of an article: pages of which such passages leave less than
+``OWN_SHARE`` count only where a passage is on ``MOST_SHARE`` of all.
+
+Four bytes a token are shuffled, to shards of about ``SHARD_PAGES`` pages of a host, which name
+the passages that may be boilerplate; those are counted over the whole host. The pages, read
+again, lose what their host's list holds, so no host meets in one task, however large.
 """
 
 from __future__ import annotations
@@ -40,9 +42,6 @@ MIN_SHARE = 0.05
 MOST_SHARE = 0.5
 OWN_SHARE = 0.25
 MIN_PAGES = 3
-#: In a shard of this many articles, what a single one of them holds is not reported.
-ALL_REPORTED = 128
-BROADCAST_HOSTS = 50_000
 BROADCAST_PASSAGES = 1_000_000
 
 # A quote opens a value only after "=", no tag reaches into the next one, and nothing is tried
@@ -162,6 +161,20 @@ def _embedded_ends(html: str) -> dict[int, int]:
 
 def page_blocks(html: str) -> tuple[list[str], list[bool]]:
     """Visible text blocks in page order, and whether each may be main text."""
+    blocks, wanted = _blocks(html)
+    any_main = any(ok and main for ok, main in wanted)
+    return blocks, [ok and (main or not any_main) for ok, main in wanted]
+
+
+def _main_blocks(html: str) -> tuple[list[str], bool]:
+    """The main text's blocks, and whether an article or main element marks them as such."""
+    blocks, wanted = _blocks(html)
+    marked = any(ok and main for ok, main in wanted)
+    return [b for b, (ok, main) in zip(blocks, wanted, strict=True) if ok and (main or not marked)], marked
+
+
+def _blocks(html: str) -> tuple[list[str], list[tuple[bool, bool]]]:
+    """Visible text blocks in page order; of each whether it is wanted, and whether it is in an article or main."""
     blocks: list[str] = []
     wanted: list[tuple[bool, bool]] = []
     stack: list[tuple[str, bool, bool]] = []  # element, unwanted from here on, inside main
@@ -221,8 +234,7 @@ def page_blocks(html: str) -> tuple[list[str], list[bool]]:
         open_now[tag] += 1
     parts.append(html[at:])
     flush()
-    any_main = any(ok and main for ok, main in wanted)
-    return blocks, [ok and (main or not any_main) for ok, main in wanted]
+    return blocks, wanted
 
 
 def _tokens(blocks: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -236,23 +248,22 @@ def _tokens(blocks: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _stream_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Main texts as tokens, dealt by a hash of them; of copies that one task meets, one goes on."""
+    """Main texts as tokens, with a hash of them; of copies that one task meets, one goes on."""
     seen: set[tuple[int, int]] = set()
     for batch in batches:
-        pages = [page_blocks(html or "") for html in batch.column(2).to_pylist()]
-        main = [[b for b, ok in zip(*page, strict=True) if ok] for page in pages]
+        main = [_main_blocks(html or "")[0] for html in batch.column(1).to_pylist()]
         token, per_block = _tokens([b for blocks in main for b in blocks])
         bounds = np.concatenate([[0], np.cumsum(per_block)])[np.cumsum([0, *map(len, main)])]
         rows = []
-        for k, (host, shards) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1)), strict=True)):
+        for k, host in enumerate(batch.column(0).to_pylist()):
             tokens = token[bounds[k] : bounds[k + 1]].tobytes()
             article = int.from_bytes(blake2b(tokens, digest_size=8).digest(), "little", signed=True)
             if (host, article) not in seen:
                 seen.add((host, article))
-                rows.append((host, shards, article % shards, article, tokens))
-        kinds = [pa.int64()] * 4 + [pa.binary()]
+                rows.append((host, article, tokens))
+        kinds = [pa.int64()] * 2 + [pa.binary()]
         columns = [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "shards", "shard", "article", "tokens"])
+        yield pa.RecordBatch.from_arrays(columns, ["host", "article", "tokens"])
 
 
 def suffix_groups(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -287,29 +298,19 @@ def _inside(starts: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(hit[:-1]) > 0
 
 
-def passages(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The passages of some pages' tokens: hash, pages that hold it, those of them with text of their own.
-
-    A page's own text is what stands in passages without a token that a repeated one covers.
-    """
+def passages(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The passages of some pages' tokens: hash, and pages that hold it."""
     token = np.concatenate([np.append(p.astype(np.int64), -1) for p in pages])
     if len(token) < REPEAT_TOKENS:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 2
     page = np.repeat(np.arange(len(pages)), [len(p) + 1 for p in pages])
     ends = np.concatenate([[0], np.cumsum(token < 0)])
     starts = np.flatnonzero(ends[REPEAT_TOKENS:] == ends[:-REPEAT_TOKENS])
     rank = suffix_groups(token, REPEAT_TOKENS)[starts]
     pair = np.unique(rank * np.int64(len(pages)) + page[starts])
-    of, holder = pair // len(pages), pair % len(pages)
-    size = int(rank.max(initial=0)) + 1
-    holders = np.bincount(of, minlength=size)
-    taken = np.concatenate([[0], np.cumsum(_inside(starts[holders[rank] > 1], len(token)))])
-    alone = starts[taken[starts + REPEAT_TOKENS] == taken[starts]]
-    own = np.bincount(page[_inside(alone, len(token))], minlength=len(pages))
-    voting = own >= OWN_SHARE * np.array([len(p) for p in pages])
+    holders = np.bincount(pair // len(pages), minlength=int(rank.max(initial=0)) + 1)
     which, first = np.unique(rank, return_index=True)
-    voters = np.bincount(of[voting[holder]], minlength=size)
-    return _passage_hashes(token)[starts[first]], holders[which], voters[which]
+    return _passage_hashes(token)[starts[first]], holders[which]
 
 
 def _passage_hashes(token: np.ndarray) -> np.ndarray:
@@ -321,33 +322,82 @@ def _passage_hashes(token: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _least(pages: int, share: float) -> int:
-    return max(MIN_PAGES, int(np.ceil(share * pages)))
-
-
-def _shard_passages(shard: pa.Table) -> pa.Table:
-    """Passages of one shard with their articles; a row without passage has the number of articles.
-
-    Passages that decide nothing are not reported: if the shard is the whole host those of too
-    few articles, otherwise those of a single one among many.
-    """
-    host, shards = (shard.column(c)[0].as_py() for c in ("host", "shards"))
+def _shard_candidates(shard: pa.Table) -> pa.Table:
+    """Passages that a share of ``MIN_SHARE`` of one shard's articles holds."""
+    host, whole = (shard.column(c)[0].as_py() for c in ("host", "whole"))
     # Copies come once from each task that met them.
     articles = dict(zip(shard.column("article").to_pylist(), shard.column("tokens").to_pylist(), strict=True))
-    found, pages, voters = passages([np.frombuffer(tokens, np.uint32) for tokens in articles.values()])
-    if shards == 1:
-        told = (voters >= _least(len(articles), MIN_SHARE)) | (pages >= _least(len(articles), MOST_SHARE))
-    else:
-        told = pages >= (2 if len(articles) >= ALL_REPORTED else 1)
-    n = int(told.sum()) + 1
-    return pa.table(
-        {
-            "host": pa.array([host] * n, pa.int64()),
-            "passage": pa.array([None, *found[told].tolist()], pa.int64()),
-            "pages": pa.array([len(articles), *pages[told].tolist()], pa.int64()),
-            "voters": pa.array([0, *voters[told].tolist()], pa.int64()),
-        }
-    )
+    found, pages = passages([np.frombuffer(tokens, np.uint32) for tokens in articles.values()])
+    least = MIN_SHARE * len(articles)
+    told = found[pages >= (max(MIN_PAGES, least) if whole else least)]
+    return pa.table({"host": pa.array([host] * len(told), pa.int64()), "passage": pa.array(told, pa.int64())})
+
+
+class _Lists:
+    """Passages by host, in order: for each its pages, and whether it goes from marked articles too."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by([("host", "ascending"), ("passage", "ascending")])
+        hosts, self.first = np.unique(rows.column("host").to_numpy(), return_index=True)
+        self.place = {host: k for k, host in enumerate(hosts.tolist())}
+        self.first = np.append(self.first, len(rows))
+        self.columns = [rows.column(c).to_numpy() for c in ("passage", "pages", "strong")]
+
+    def of(self, host: int) -> tuple[np.ndarray, ...] | None:
+        k = self.place.get(host)
+        return None if k is None else tuple(c[self.first[k] : self.first[k + 1]] for c in self.columns)
+
+
+def _list_of(shared, batch: pa.RecordBatch):
+    """How to find the list of a row's host, which is broadcast or joined to the row."""
+    if shared is not None:
+        hosts = batch.column("host").to_pylist()
+        return lambda k: shared.value.of(hosts[k])
+    lists = batch.column("passages")
+
+    def joined(k: int) -> tuple[np.ndarray, ...] | None:
+        found = lists[k].values
+        if found is None:
+            return None
+        columns = [found.field(c).to_numpy(zero_copy_only=False) for c in ("passage", "pages", "strong")]
+        order = np.argsort(columns[0])
+        return tuple(c[order] for c in columns)
+
+    return joined
+
+
+def _hits(hashes: np.ndarray, passage: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each hash its place among the passages (in order), and whether it is one of them."""
+    at = np.minimum(np.searchsorted(passage, hashes), len(passage) - 1)
+    return at, passage[at] == hashes
+
+
+def _hold_batches(voters: bool):
+    """(host, passage, article) of every listed passage in every stream, or only in those with text of their own:
+    pages of which listed passages leave ``OWN_SHARE`` at least."""
+
+    def job(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                listed, found, sizes = _list_of(shared, batch), [np.zeros(0, np.int64)], []
+                for k, tokens in enumerate(batch.column("tokens").to_pylist()):
+                    mine, held = listed(k), found[0]
+                    if mine is not None:
+                        hashes = _passage_hashes(np.frombuffer(tokens, np.uint32))
+                        hit = _hits(hashes, mine[0])[1]
+                        n = len(tokens) // 4
+                        if not voters or n - _inside(np.flatnonzero(hit), n).sum() >= OWN_SHARE * n:
+                            held = np.unique(hashes[hit])
+                    found.append(held)
+                    sizes.append(len(held))
+                of = [np.repeat(batch.column(c).to_numpy(), np.array(sizes, np.int64)) for c in ("host", "article")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(of[0]), pa.array(np.concatenate(found)), pa.array(of[1])], ["host", "passage", "article"]
+                )
+
+        return run
+
+    return job
 
 
 def _covered(token: np.ndarray, passage: np.ndarray, pages: np.ndarray) -> np.ndarray:
@@ -357,13 +407,20 @@ def _covered(token: np.ndarray, passage: np.ndarray, pages: np.ndarray) -> np.nd
     happens to stand beside it often.
     """
     hashes = _passage_hashes(token)
-    if not len(hashes):
+    if not len(hashes) or not len(passage):
         return np.zeros(len(token), dtype=bool)
     order = np.argsort(passage)
-    at = order[np.minimum(np.searchsorted(passage, hashes, sorter=order), len(order) - 1)]
-    holders = np.where(passage[at] == hashes, pages[at], 0)
-    around = np.lib.stride_tricks.sliding_window_view(np.pad(holders, REPEAT_TOKENS - 1), 2 * REPEAT_TOKENS - 1)
-    return _inside(np.flatnonzero((holders > 0) & (2 * holders >= around.max(axis=1))), len(token))
+    at, hit = _hits(hashes, passage[order])
+    if not hit.any():
+        return np.zeros(len(token), dtype=bool)
+    holders = np.where(hit, pages[order][at], 0)
+    # The greatest of the 15 positions around each, by doubling.
+    around, reach = np.pad(holders, REPEAT_TOKENS - 1), 1
+    while reach < 2 * REPEAT_TOKENS - 1:
+        step = min(reach, 2 * REPEAT_TOKENS - 1 - reach)
+        around = np.maximum(around[:-step], around[step:])
+        reach += step
+    return _inside(np.flatnonzero(hit & (2 * holders >= around)), len(token))
 
 
 def _main_text(blocks: list[str], boilerplate: tuple[np.ndarray, np.ndarray] | None) -> str:
@@ -383,40 +440,61 @@ def _main_text(blocks: list[str], boilerplate: tuple[np.ndarray, np.ndarray] | N
     return "\n\n".join(kept)
 
 
-def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists, texts = batch.column(2), []
-        for k, html in enumerate(batch.column(1).to_pylist()):
-            found = lists[k].values
-            boilerplate = None if found is None else (found.field("passage").to_numpy(), found.field("pages").to_numpy())
-            main = [b for b, ok in zip(*page_blocks(html or ""), strict=True) if ok]
-            texts.append(_main_text(main, boilerplate))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
+def _text_batches(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listed, texts = _list_of(shared, batch), []
+            for k, html in enumerate(batch.column("html").to_pylist()):
+                blocks, marked = _main_blocks(html or "")
+                mine = listed(k) if blocks else None
+                if mine is not None:
+                    passage, pages, strong = mine
+                    mine = (passage[strong], pages[strong]) if marked else (passage, pages)
+                    mine = mine if len(mine[0]) else None
+                texts.append(_main_text(blocks, mine))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
+
+    return run
+
+
+def _with_lists(spark: SparkSession, rows: DataFrame, listed: DataFrame, job, kind: str) -> DataFrame:
+    """``rows`` (with a host) through ``job``, which knows the lists of the hosts: 17 bytes a passage are
+    broadcast up to ``BROADCAST_PASSAGES``, more are joined."""
+    if listed.count() <= BROADCAST_PASSAGES:
+        return rows.mapInArrow(job(spark.sparkContext.broadcast(_Lists(listed.toArrow()))), kind)
+    lists = listed.groupBy("host").agg(F.collect_list(F.struct("passage", "pages", "strong")).alias("passages"))
+    return rows.join(lists, "host", "left").mapInArrow(job(None), kind)
+
+
+def _count(spark: SparkSession, streams: DataFrame, listed: DataFrame, name: str, voters: bool) -> DataFrame:
+    """How many of a host's articles (or voters) hold each of its listed passages."""
+    held = _with_lists(spark, streams, listed, _hold_batches(voters), "host long, passage long, article long")
+    # One shuffle serves the distinct articles and the counts.
+    once = held.repartition("host", "passage").distinct()
+    return once.groupBy("host", "passage").agg(F.count("*").alias(name))
 
 
-def host_boilerplate(pages: DataFrame) -> DataFrame:
-    """``host``, ``passages``: hashes and pages of the boilerplate of each host that has any.
+def host_boilerplate(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """``host``, ``passage``, ``pages``, ``strong``: the boilerplate of each host that has any.
 
-    A listed passage is on a twentieth of the host's pages, so a list has at most twenty times
-    as many as a page has tokens.
+    A passage that a share of all articles holds has that share in a shard at least, so what no
+    shard names is none. What one names is counted over the whole host, and then once more over
+    the pages with text of their own; so the verdict does not depend on how pages are dealt.
     """
-    large = pages.groupBy("host").count().where(F.col("count") > SHARD_PAGES)
-    large = large.select("host", F.ceil(F.col("count") / SHARD_PAGES).alias("shards")).checkpoint(eager=True)
-    if large.count() <= BROADCAST_HOSTS:  # 16 bytes a host
-        large = F.broadcast(large)
-    dealt = pages.join(large, "host", "left").select(
-        "host", F.coalesce("shards", F.lit(1).cast("long")).alias("shards"), "html"
-    )
-    streams = dealt.mapInArrow(_stream_batches, "host long, shards long, shard long, article long, tokens binary")
-    kind = "host long, passage long, pages long, voters long"
-    counted = streams.groupBy("host", "shard").applyInArrow(_shard_passages, kind)
-    totals = counted.groupBy("host", "passage").agg(F.sum("pages").alias("pages"), F.sum("voters").alias("voters"))
-    totals = totals.where(f"passage IS NULL OR pages >= {MIN_PAGES}").checkpoint(eager=True)
-    articles = totals.where("passage IS NULL").select("host", F.col("pages").alias("articles"))
-    least, most = (F.greatest(F.lit(MIN_PAGES), F.ceil(F.lit(s) * F.col("articles"))) for s in (MIN_SHARE, MOST_SHARE))
-    listed = totals.where("passage IS NOT NULL").join(articles, "host")
-    listed = listed.where((F.col("voters") >= least) | (F.col("pages") >= most))
-    return listed.groupBy("host").agg(F.collect_list(F.struct("passage", "pages")).alias("passages")).checkpoint(eager=True)
+    streams = pages.mapInArrow(_stream_batches, "host long, article long, tokens binary").checkpoint(eager=True)
+    hosts = streams.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("articles"))
+    hosts = hosts.checkpoint(eager=True)
+    shards = hosts.select("host", F.ceil(F.col("articles") / SHARD_PAGES).alias("shards"))
+    dealt = streams.join(shards, "host").withColumn("whole", F.col("shards") == 1)
+    dealt = dealt.withColumn("shard", F.pmod("article", "shards")).drop("shards")
+    named = dealt.groupBy("host", "shard").applyInArrow(_shard_candidates, "host long, passage long").distinct()
+    named = named.withColumn("pages", F.lit(0)).withColumn("strong", F.lit(False)).checkpoint(eager=True)
+    least, most = (F.greatest(F.lit(MIN_PAGES), F.lit(s) * F.col("articles")) for s in (MIN_SHARE, MOST_SHARE))
+    often = _count(spark, streams, named, "pages", voters=False).join(hosts, "host").where(F.col("pages") >= least)
+    often = often.withColumn("strong", F.col("pages") >= most).checkpoint(eager=True)
+    voters = _count(spark, streams, often, "voters", voters=True)
+    listed = often.join(voters, ["host", "passage"], "left").where(F.col("strong") | (F.col("voters") >= least))
+    return listed.select("host", "passage", "pages", "strong").checkpoint(eager=True)
 
 
 def extract_text(
@@ -425,15 +503,13 @@ def extract_text(
     """``row`` (page_id, url), main ``text`` of every page.
 
     Null and empty html give an empty text; a null url is on the host without a name. Broken
-    markup is read as far as it goes. Repeated rows are pages each. Other columns are not read.
+    markup is read as far as it goes. Repeated rows are pages each. Very long pages are read whole, one at
+    a time; an empty table gives no rows. No order decides, so there are no ties. Other columns are not read.
     """
     prepare(spark)
     host = F.coalesce(host_of(F.col(url)), F.lit(""))
     row = F.struct(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
     read = pages.select(row.alias("row"), F.xxhash64(host).alias("host"), F.col(html).alias("html"))
-    listed = host_boilerplate(read.select("host", "html"))
-    if (listed.agg(F.sum(F.size("passages"))).first()[0] or 0) <= BROADCAST_PASSAGES:  # 16 bytes each
-        listed = F.broadcast(listed)
+    listed = host_boilerplate(spark, read.select("host", "html"))
     kind = read.schema["row"].dataType.simpleString()
-    told = read.join(listed, "host", "left").select("row", "html", "passages")
-    return told.mapInArrow(_text_batches, f"row {kind}, text string")
+    return _with_lists(spark, read, listed, _text_batches, f"row {kind}, text string")

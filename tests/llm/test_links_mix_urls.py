@@ -305,9 +305,10 @@ def test_url_filter_plan_has_no_python_and_no_pairwise_join(spark):
 # Page text ---------------------------------------------------------------------------------
 
 
-def test_page_text_is_the_article(spark):
-    pages = duckdb.connect().execute(f"SELECT page_id, html FROM '{SF_DIR}/pages.parquet'").fetchall()
-    got = {r["page_id"]: r for r in QUERIES["op4_html_text"](spark, SF_DIR).collect()}
+@pytest.mark.parametrize("sf_dir", [SF_DIR, SF_DIR.replace("0.001", "0.01"), SF_DIR.replace("0.001", "0.1")])
+def test_page_text_is_the_article(spark, sf_dir):
+    pages = duckdb.connect().execute(f"SELECT page_id, html FROM '{sf_dir}/pages.parquet'").fetchall()
+    got = {r["page_id"]: r for r in QUERIES["op4_html_text"](spark, sf_dir).collect()}
     assert len(got) == len(pages)
     for i, html in pages:
         inner = re.search(r"<article>(.*)</article>", html, re.S).group(1)
@@ -434,10 +435,51 @@ def test_versions_of_an_article_stay(spark):
     assert {r["row"]["page_id"]: r["text"] for r in html_text.extract_text(spark, pages).collect()} == want
 
 
+@pytest.mark.parametrize("articles", [100, 480])
+def test_verdicts_do_not_depend_on_shards(spark, monkeypatch, articles):
+    rows, want = [], {}
+    notice = prose(16, 77_000)
+    for k in range(2 * articles):  # two versions of each article, a notice on a fifth of all pages
+        text = prose(60, 300_000 + k // 2).split()
+        text[k % 50] = f"edit{k}"
+        want[k] = " ".join(text)
+        rows.append((k, f"http://twins.org/{k}", f"<p>{want[k]}</p>" + (f"<p>{notice}</p>" if k % 10 < 2 else "")))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+
+    def texts():
+        return {r["row"]["page_id"]: r["text"] for r in html_text.extract_text(spark, pages).collect()}
+
+    for size in (64, 256, 4096):
+        monkeypatch.setattr(html_text, "SHARD_PAGES", size)
+        assert texts() == want
+    monkeypatch.setattr(html_text, "BROADCAST_PASSAGES", 0)  # lists are joined
+    assert texts() == want
+
+
+def test_article_text_goes_only_where_most_pages_hold_it(spark):
+    often, always = prose(12, 78_000), prose(12, 79_000)
+    own = {k: prose(30, 400_000 + k) for k in range(60)}
+    html = {k: f"<article><p>{own[k]}</p>{f'<p>{often}</p>' if k % 5 == 0 else ''}<p>{always}</p></article>" for k in own}
+    pages = spark.createDataFrame([(k, "http://marked.org/", h) for k, h in html.items()], "page_id long, url string, html string")
+    got = {r["row"]["page_id"]: r["text"] for r in html_text.extract_text(spark, pages).collect()}
+    assert got == {k: own[k] + (f"\n\n{often}" if k % 5 == 0 else "") for k in own}
+
+
+def test_versions_in_very_many_pages_are_dealt_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "SHARD_PAGES", 16)
+    base, rows, want = prose(200, 80_000).split(), [], {}
+    for k in range(400):  # a third of the pages are versions of one article
+        text = [*base[: k % 190], f"edit{k}", *base[k % 190 :]] if k % 3 == 0 else prose(40, 500_000 + k).split()
+        want[k] = " ".join(text)
+        rows.append((k, "http://hot.org/", f"<p>{want[k]}</p>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["row"]["page_id"]: r["text"] for r in html_text.extract_text(spark, pages).collect()} == want
+
+
 def test_words_beside_boilerplate_stay():
     notice = list("abcdefghijkl")
     stream = {k: np.array([ord(c) for c in x]) for k, x in {"all": notice, "some": ["z", *notice]}.items()}
-    found, pages, _ = html_text.passages([stream["some" if k % 10 == 0 else "all"] for k in range(100)])
+    found, pages = html_text.passages([stream["some" if k % 10 == 0 else "all"] for k in range(100)])
     assert sorted(pages) == [10, 100, 100, 100, 100, 100]
     token = np.array([ord(c) for c in ["x", "z", *notice, "y"]])
     assert html_text._covered(token, found, pages).tolist() == [False, False, *[True] * 12, False]
