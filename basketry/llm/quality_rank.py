@@ -2,11 +2,11 @@
 
 Each document has a vector of features of its whole text. A document labelled good is preferred
 to one labelled bad; the weights minimise the logistic loss of the feature differences over such
-pairs. The margin is cut at the quantile that equals the share of bad documents among the
-labels, and that cut becomes score ``CUT``.
+pairs. The margins of all labelled documents that may be learnt from are cut at the quantile that
+equals the share of bad ones among them, and that cut becomes score ``CUT``.
 
-Weights, bins and cut come from at most ``TRAIN_PER_CLASS`` labelled documents of each class;
-every bad one meets ``PARTNERS`` good ones. Every text is scored whole.
+Weights and bins come from at most ``TRAIN_PER_CLASS`` labelled documents of each class; every
+bad one meets ``PARTNERS`` good ones. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -20,13 +20,15 @@ from pyspark.sql import functions as F
 
 from basketry.llm.host_rules import measure
 from basketry.llm.texts import Texts, mix, prepare, slices
-from basketry.llm.toxicity import training_rows
+from basketry.llm.toxicity import clean_labels, training_rows
 
 TRAIN_PER_CLASS = 6000
 PARTNERS = 12
 BINS = 12
 ITERATIONS = 300
 CUT = 0.3
+#: Margins are counted in steps of one over this.
+STEPS = 256
 
 _CLASSES = {
     "upper": [*range(0x41, 0x5B)],
@@ -133,8 +135,8 @@ def _binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def fit(x: np.ndarray, label: np.ndarray, class_sizes: dict[int, int], seed: int = 11):
-    """Bin edges, a weight for each bin, and the margin of the cut.
+def fit(x: np.ndarray, label: np.ndarray, seed: int = 11) -> tuple[list[np.ndarray], np.ndarray]:
+    """Bin edges and a weight for each bin.
 
     Features are cut into bins at quantiles of either class, so that a weight per bin can follow
     any shape. Without documents of both classes all weights are zero.
@@ -147,7 +149,7 @@ def fit(x: np.ndarray, label: np.ndarray, class_sizes: dict[int, int], seed: int
     width = sum(len(c) + 1 for c in edges)
     weights = np.zeros(width)
     if not len(good) or not len(bad):
-        return edges, weights, 0.0
+        return edges, weights
     rng = np.random.default_rng(seed)
     a = rng.choice(good, size=(len(bad), PARTNERS)).ravel()
     b = np.repeat(bad, PARTNERS)
@@ -162,31 +164,36 @@ def fit(x: np.ndarray, label: np.ndarray, class_sizes: dict[int, int], seed: int
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         weights -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    margin = weights[bins].sum(axis=1)
-    share = class_sizes.get(0, 0) / max(1, sum(class_sizes.values()))
-    importance = np.where(label == 1, (1 - share) / len(good), share / len(bad))
-    order = np.argsort(margin, kind="stable")
-    reach = np.cumsum(importance[order])
-    cut = margin[order[min(np.searchsorted(reach, share), len(order) - 1)]]
-    return edges, weights, float(cut)
+    return edges, weights
 
 
-def _score_batches(shared):
+def _margin_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            edges, weights, cut = shared.value
-            found = []
-            for _, _, texts in slices(batch.column(1)):
-                margin = weights[_binned(features(texts), edges)].sum(axis=1)
-                found.append(1 / (1 + np.exp(-np.clip(margin - cut + np.log(CUT / (1 - CUT)), -50, 50))))
+            edges, weights = shared.value
+            found = [weights[_binned(features(texts), edges)].sum(axis=1) for _, _, texts in slices(batch.column(1))]
             if found:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.concatenate(found))], ["row", "score"]
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found))], ["row", "margin"])
 
     return run
 
 
+def quantile_cut(margins: DataFrame) -> float:
+    """The cut that as many of the (margin, label) rows are below as are bad, between two steps of
+    ``1 / STEPS`` that hold any.
+
+    Steps are few (margins are sums of bounded weights), so their totals are read by the driver.
+    """
+    steps = margins.groupBy(F.floor(F.col("margin") * STEPS).alias("step"))
+    rows = steps.agg(F.count("*").alias("docs"), F.sum(1 - F.col("label")).alias("bad")).orderBy("step").collect()
+    bad = sum(r["bad"] for r in rows)
+    if not bad:
+        return rows[0]["step"] / STEPS if rows else 0.0
+    k = int(np.searchsorted(np.cumsum([r["docs"] for r in rows]), bad))
+    above = rows[k + 1]["step"] if k + 1 < len(rows) else rows[k]["step"] + 1
+    return (rows[k]["step"] + 1 + above) / 2 / STEPS
+
+
 def score_quality(
     spark: SparkSession,
     docs: DataFrame,
@@ -201,16 +208,23 @@ def score_quality(
 
     Only text is an input of the score. Null and empty texts have the features of no words.
     Labels of held-out, missing or null ids are not learnt from; a label other than 0 and 1 is
-    none. Repeated rows are scored each and learnt from once. Other columns of ``docs`` are not read.
+    none, and an id with both has none. Repeated rows are scored each, learnt from once, and count each for
+    the cut; equal margins are on one side of it. Very long texts are read whole, one at a time. Without
+    labels of both classes every score is the same. Other columns of ``docs`` are not read.
     """
     prepare(spark)
-    rows, sizes = training_rows(docs, labels, label, doc_id, text, per_class)
+    rows, _ = training_rows(docs, labels, label, doc_id, text, per_class)
     sample = rows.mapInArrow(_feature_batches, "label int, x array<double>")
     taken = sorted((r["label"], tuple(r["x"])) for r in sample.collect())
     x = np.array([r[1] for r in taken]).reshape(len(taken), len(FEATURES))
-    model = fit(x, np.array([r[0] for r in taken], dtype=np.int64), sizes)
+    model = fit(x, np.array([r[0] for r in taken], dtype=np.int64))
     shared = spark.sparkContext.broadcast(model)
     source = docs.select(F.struct(F.col(doc_id).alias("doc_id")).alias("row"), F.col(text).alias("text"))
-    return source.mapInArrow(
-        _score_batches(shared), f"row {source.schema['row'].dataType.simpleString()}, score double"
-    )
+    kind = f"row {source.schema['row'].dataType.simpleString()}, margin double"
+    # Numbers only: the cut needs the margins of all labelled rows before any row has its score.
+    margins = source.mapInArrow(_margin_batches(shared), kind).checkpoint(eager=True)
+    known = clean_labels(labels, label, doc_id)
+    judged = margins.join(known, F.col("row.doc_id") == F.col("_id")).select("margin", F.col("_label").alias("label"))
+    shift = F.lit(quantile_cut(judged) - float(np.log(CUT / (1 - CUT))))
+    odds = F.greatest(F.lit(-50.0), F.least(F.lit(50.0), F.col("margin") - shift))
+    return margins.select("row", (1 / (1 + F.exp(-odds))).alias("score"))

@@ -6,9 +6,9 @@ The mean of a text's embeddings goes through a linear softmax; embeddings and so
 trained together in numpy. A word never seen shares most pieces, and so most of its vectors,
 with the words it resembles. As the layers are linear, scoring needs one number per bucket.
 
-The model is fitted on at most ``TRAIN_PER_CLASS`` labelled documents of each class (those of
-least hash), weighted back to the shares of the classes; what the driver holds is bounded by
-that. Every text is scored whole.
+Which buckets are trained is decided by all labelled documents that may be learnt from. The model
+is fitted on at most ``TRAIN_PER_CLASS`` of each class (those of least hash), weighted back to the
+shares of the classes; what the driver holds is bounded by that. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -83,20 +83,20 @@ def bags_of(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _presence_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each class: its texts, and in how many of them each bucket is."""
+    """For each class and bucket, in how many of a task's texts it is; the texts stand under bucket -1."""
+    held = np.zeros((2, 1 << BUCKET_BITS), np.int64)
+    n = np.zeros(2, np.int64)
     for batch in batches:
         labels = batch.column(0).to_numpy(zero_copy_only=False)
-        held = np.zeros((2, 1 << BUCKET_BITS), np.int32)
+        n += np.bincount(labels, minlength=2)
         for first, stop, texts in slices(batch.column(1)):
             bucket, _, ends = bags_of(texts)
             of = np.repeat(labels[first:stop], np.diff(ends))
             for k in (0, 1):
-                held[k] += np.bincount(bucket[of == k], minlength=1 << BUCKET_BITS).astype(np.int32)
-        n = np.bincount(labels, minlength=2)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([0, 1], pa.int32()), pa.array(n, pa.int64()), pa.array([h.tobytes() for h in held], pa.binary())],
-            ["label", "n", "held"],
-        )
+                held[k] += np.bincount(bucket[of == k], minlength=1 << BUCKET_BITS)
+    label, bucket = np.nonzero(held)
+    columns = [np.append(label, (0, 1)), np.append(bucket, (-1, -1)), np.append(held[label, bucket], n)]
+    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["label", "bucket", "n"])
 
 
 def _bag_batches(used: np.ndarray):
@@ -119,6 +119,22 @@ def _bag_batches(used: np.ndarray):
     return run
 
 
+def clean_labels(labels: DataFrame, label: str, doc_id: str) -> DataFrame:
+    """(_id, _label) of the ids that may be learnt from, once each; an id with both labels has none."""
+    rows = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
+    rows = rows.where(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id")))
+    both = rows.groupBy("_id").agg(F.min("_label").alias("_label"), F.max("_label").alias("_most"))
+    return both.where("_label = _most").drop("_most")
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str) -> DataFrame:
+    """(label, text) of all documents that may be learnt from; of rows with the same id the least text."""
+    known = clean_labels(labels, label, doc_id)
+    found = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("text"))
+    found = found.join(known, F.col("_doc") == F.col("_id")).groupBy("_doc", F.col("_label").alias("label"))
+    return found.agg(F.min("text").alias("text")).select("label", "text")
+
+
 def training_rows(
     docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, per_class: int
 ) -> tuple[DataFrame, dict[int, int]]:
@@ -128,9 +144,7 @@ def training_rows(
     broadcast: their number is bounded by the parameter. Of rows with the same id the least text
     is learnt from, so repeated rows do not add to the sample.
     """
-    rows = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label"))
-    rows = rows.where(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out(F.col("_id")))
-    rows = rows.dropDuplicates(["_id"])
+    rows = clean_labels(labels, label, doc_id)
     sizes = {r["_label"]: r["count"] for r in rows.groupBy("_label").count().collect()}
     chosen = None
     for value in (0, 1):
@@ -151,14 +165,14 @@ def held_out(doc_id: Column) -> Column:
 def informative(rows: DataFrame) -> np.ndarray:
     """Buckets that the texts of one class hold clearly more often than those of the other.
 
-    A z-score between the two shares; a bucket found about as often in either class is noise in
-    so small a sample, and its embedding stays zero.
+    A z-score between the two shares over all the rows; the embedding of a bucket found about as
+    often in either class stays zero. Counts are added up by Spark: two for each bucket come back.
     """
-    n = np.zeros(2)
-    held = np.zeros((2, 1 << BUCKET_BITS))
-    for r in rows.mapInArrow(_presence_batches, "label int, n long, held binary").toLocalIterator():
-        n[r["label"]] += r["n"]
-        held[r["label"]] += np.frombuffer(r["held"], np.int32)
+    counts = rows.mapInArrow(_presence_batches, "label long, bucket long, n long").groupBy("label", "bucket")
+    label, bucket, total = (c.to_numpy() for c in counts.agg(F.sum("n").alias("n")).toArrow().columns)
+    held = np.zeros((2, (1 << BUCKET_BITS) + 1))
+    held[label, bucket] = total  # bucket -1 comes last
+    held, n = held[:, :-1], held[:, -1]
     if not n.all():
         return np.zeros(0, np.int64)
     share = (held.sum(axis=0) + 1) / (n.sum() + 2)
@@ -264,13 +278,14 @@ def score_toxicity(
     """``row`` (the id, or with ``whole_rows`` all of the document) and ``score`` of every row.
 
     Only text is an input of the score. Null and empty texts score the bias alone. Labels of
-    held-out, missing or null ids are not learnt from; a label other than 0 and 1 is none.
-    Repeated rows are scored each and learnt from once. Columns of ``docs`` stay inside ``row``: no name can clash.
+    held-out, missing or null ids are not learnt from; a label other than 0 and 1 is none, and an id
+    with both has none. Very long texts are read whole, one at a time. Repeated rows are scored each
+    and learnt from once. Columns of ``docs`` stay inside ``row``: no name can clash.
     """
     prepare(spark)
     rows, sizes = training_rows(docs, labels, label, doc_id, text, per_class)
-    rows = rows.withColumn("text", F.lower("text")).checkpoint(eager=True)  # the bounded sample, read twice
-    used = informative(rows)
+    rows = rows.withColumn("text", F.lower("text")).checkpoint(eager=True)  # the bounded sample
+    used = informative(labelled_rows(docs, labels, label, doc_id, text).withColumn("text", F.lower("text")))
     shared = spark.sparkContext.broadcast(train(gather(rows, used), used, sizes))
     row = F.struct(*docs.columns) if whole_rows else F.struct(F.col(doc_id).alias("doc_id"))
     source = docs.select(row.alias("row"), F.lower(text).alias("text"))

@@ -16,9 +16,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from basketry.llm import html_text, mixing, simhash, url_filter
+from basketry.llm import html_text, mixing, quality_rank, simhash, url_filter
 from basketry.llm.queries import llm_oracle, llm_queries
-from basketry.llm.quality_rank import score_quality
+from basketry.llm.quality_rank import STEPS, quantile_cut, score_quality
 from basketry.llm.toxicity import score_toxicity, training_rows
 from check import compare, oracle_connection
 from tests.conftest import SF_DIR
@@ -541,6 +541,46 @@ def test_scores_of_odd_rows(spark, odd, empty, score, label):
     assert score(spark, empty, labels).count() == 0
 
 
+@pytest.mark.parametrize("score, label", [(score_quality, "quality"), (score_toxicity, "toxic")])
+def test_ids_with_both_labels_are_not_learnt_from(spark, score, label):
+    docs = [(k, prose(60, k) + (" # | # grisly" * 6 if k % 3 == 0 else "")) for k in range(90)]
+    rows = [(k, int(k % 3 == 0)) for k, _ in docs]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    kind = f"doc_id long, {label} int"
+    clear = [r for r in rows if r[0] % 4]
+    want = {r["row"]["doc_id"]: r["score"] for r in score(spark, docs, spark.createDataFrame(clear, kind)).collect()}
+    for seed in range(3):
+        mixed = clear + [r for r in rows if r[0] % 4 == 0] + [(k, 1 - v) for k, v in rows if k % 4 == 0]
+        random.Random(seed).shuffle(mixed)
+        found = score(spark, docs, spark.createDataFrame(mixed, kind).repartition(seed + 1)).collect()
+        assert {r["row"]["doc_id"]: r["score"] for r in found} == want
+
+
+def test_quality_is_cut_at_the_share_of_bad_margins(spark):
+    rng = random.Random(4)
+    rows = [(rng.gauss(2 * good, 1), good) for good in (0, 1, 1) * 400]
+    cut = quantile_cut(spark.createDataFrame(rows, "margin double, label int"))
+    below = sum(margin < cut for margin, _ in rows)
+    near = sum(abs(margin - cut) <= 2 / STEPS for margin, _ in rows)
+    assert abs(below - 400) <= near + 1
+    assert quantile_cut(spark.createDataFrame([(1.5, 1), (2.5, 1)], "margin double, label int")) <= 1.5
+    assert quantile_cut(spark.createDataFrame([(1.5, 0), (2.5, 0)], "margin double, label int")) > 2.5
+    assert quantile_cut(spark.createDataFrame([], "margin double, label int")) == 0
+
+
+def test_margins_minimise_the_pairwise_loss():
+    rng = np.random.default_rng(3)
+    label = (np.arange(300) % 3 > 0).astype(np.int64)
+    x = rng.normal(label[:, None] * [1.5, 0.0], 1.0)
+    edges, weights = quality_rank.fit(x, label)
+    margin = weights[quality_rank._binned(x, edges)].sum(axis=1)
+
+    def loss(m):
+        return np.mean([np.log1p(np.exp(b - a)) for a in m[label == 1] for b in m[label == 0]])
+
+    assert loss(margin) < loss(np.zeros(300)) and loss(margin) < 1.02 * min(loss(margin * f) for f in (0.5, 0.8, 1.25))
+
+
 def test_unseen_spellings_share_pieces(spark):
     bad = ["horrid", "grisly", "vileness"]
     rng = random.Random(5)
