@@ -22,7 +22,7 @@ MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 MAX_SYMBOL_PERCENT = 10  # of the words
 MAX_DUP_LINE_PERCENT = 30  # of the lines that are not blank
-MEAN_WORD = (3, 10)  # characters
+MEAN_WORD = (3, 10)  # characters, in texts that are mostly ASCII: other scripts may have no blanks between words
 #: A host with a rule's shrunk failure rate above this loses all its documents: most of what it
 #: holds fails.
 MAX_HOST_RATE = 0.5
@@ -30,7 +30,7 @@ MAX_HOST_RATE = 0.5
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
-_MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+_MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_ascii long"
 
 
 def _lines(text: bytes) -> tuple[int, int]:
@@ -41,11 +41,11 @@ def _lines(text: bytes) -> tuple[int, int]:
 
 def measure(texts: Texts) -> list[np.ndarray]:
     """The five measures of each text that its rules and features are made of."""
-    return _measures(texts)[:-1]
+    return _measures(texts)[:5]
 
 
 def _measures(texts: Texts) -> list[np.ndarray]:
-    """The six measures of each text, in the order of the output columns."""
+    """All measures of each text, in the order of the output columns."""
     words = texts.words()
     raw = texts.data[: texts.size]
     counts = words.counts()
@@ -76,6 +76,7 @@ def _measures(texts: Texts) -> list[np.ndarray]:
         lines[:, 1],
         upto[words.at[1:]] - upto[words.at[:-1]],
         lines[:, 0],
+        texts.per_text((raw > 0x20) & (raw < 0x7F)),
     ]
 
 
@@ -110,7 +111,8 @@ def host_rules() -> dict[str, Column]:
         "host_rate": F.col("base_failed"),
         "host_symbol_rate": 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("n_words"),
         "host_dup_line_rate": 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines"),
-        "host_word_length_rate": (F.col("word_chars") < shortest) | (F.col("word_chars") > longest),
+        "host_word_length_rate": (2 * F.col("n_ascii") > F.col("word_chars"))
+        & ((F.col("word_chars") < shortest) | (F.col("word_chars") > longest)),
     }
 
 
@@ -174,8 +176,9 @@ def judge(judged: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
 def host_quality(spark: SparkSession, docs: DataFrame, **columns: str) -> DataFrame:
     """All documents with measures, own verdict, host rates and verdict.
 
-    Empty and null texts have no words and fail. Repeated rows count as often as they occur. An
-    empty table gives no rows. Other columns of ``docs`` are not read, whatever their names.
+    Empty and null texts have no words and fail. Repeated rows count as often as they occur. A rate equal
+    to the limit keeps its host; nothing else is compared, so there are no ties. Very long texts are
+    measured whole, one at a time. An empty table gives no rows. Other columns of ``docs`` are not read, whatever their names.
     """
     prepare(spark)
     rules = document_rules(docs, **columns)

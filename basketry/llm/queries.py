@@ -36,8 +36,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def _host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_quality(spark, _read(spark, sf_dir, "documents")).withColumnRenamed("host", "source")
-    others = ["n_lines", *(rate for rate in host_rules() if rate != "host_rate")]
-    return judged.withColumn("host_rate", F.round("host_rate", 6)).drop(*others)
+    rates = {rate: F.round(rate, 6) for rate in host_rules()}
+    return judged.withColumns(rates).drop("n_lines", "n_ascii")
 
 
 def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

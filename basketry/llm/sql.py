@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from basketry.llm.url_filter import LISTED_SITES
 
-_URL_FILTER = """
+_URL_FILTER = r"""
 WITH parts AS (
   SELECT page_id,
     CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
@@ -13,8 +13,21 @@ WITH parts AS (
   SELECT page_id,
     translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path,
+    string_split(regexp_extract(coalesce(rest, ''), '^[^?#]*[?]([^#]*)', 1), '&') AS query
   FROM parts
+), named AS (
+  SELECT *, list_sort([x for x in query if x <> '' AND NOT regexp_matches(x, 'TRACKING')]) AS asked,
+    len([x for x in query if regexp_matches(x, 'TRACKING')]) > 0 AS advertised
+  FROM split
+), spelled AS (
+  SELECT page_id, host, path, advertised,
+    regexp_replace(regexp_replace(host, ':(80|443)$', ''), '[.]$|^www[.]', '', 'g') || regexp_replace(path, '/+$', '')
+      || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END AS canonical
+  FROM named
+), listed AS (
+  SELECT DISTINCT canonical AS on_list FROM spelled
+  WHERE advertised AND regexp_matches(host, '(^|[.])(SITES)[.]')
 ), rules(rule, action, rule_host, rule_path) AS (
   VALUES ('com/', 'allow', 'com', '/'), ('example.com/en/', 'block', 'example.com', '/en/'),
     ('www.example.com/en/', 'allow', 'www.example.com', '/en/'),
@@ -26,10 +39,9 @@ WITH parts AS (
   GROUP BY host, path
 )
 SELECT page_id, s.host, s.path, rule,
-  coalesce(action, CASE WHEN regexp_matches(s.host, '(^|[.])(SITES)[.]') THEN 'block' ELSE 'allow' END)
-    AS verdict
-FROM split s LEFT JOIN best USING (host, path)
-""".replace("SITES", "|".join(LISTED_SITES))
+  coalesce(action, CASE WHEN on_list IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM spelled s LEFT JOIN best USING (host, path) LEFT JOIN listed ON canonical = on_list
+""".replace("SITES", "|".join(LISTED_SITES)).replace("TRACKING", "^(utm_[^=]*|ref|gclid|fbclid|sessionid)(=|$)")
 
 _HOST_RULES = r"""
 WITH words AS (
@@ -49,26 +61,41 @@ WITH words AS (
     len([x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')])
       - len(list_distinct([x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')]))
       AS n_dup_lines,
-    coalesce(n_repeat_words, 0) AS n_repeat_words
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    len([x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')]) AS n_lines,
+    length(regexp_replace(t, '[^\x21-\x7E]', '', 'g')) AS n_ascii
   FROM words LEFT JOIN repeats USING (row_id)
 ), judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+), failures AS (
+  SELECT source AS host, 'base' AS rule, base_failed AS failed FROM judged
+  UNION ALL SELECT source, 'symbols', 100 * n_symbols > 10 * n_words FROM judged
+  UNION ALL SELECT source, 'lines', 100 * n_dup_lines > 30 * n_lines FROM judged
+  UNION ALL SELECT source, 'length', 2 * n_ascii > word_chars AND (word_chars < 3 * n_words OR word_chars > 10 * n_words)
+    FROM judged
 ), hosts AS (
-  SELECT source AS host, count(*) AS docs, count(*) FILTER (base_failed) AS failed FROM judged GROUP BY source
+  SELECT host, rule, count(*) AS docs, count(*) FILTER (failed) AS failed FROM failures GROUP BY host, rule
 ), moments AS (
-  SELECT sum(failed) / sum(docs) AS mean, var_pop(failed / docs) AS spread, avg(1 / docs) AS inverse,
+  SELECT rule, sum(failed) / sum(docs) AS mean, var_pop(failed / docs) AS spread, avg(1 / docs) AS inverse,
     avg(docs) AS mean_docs
-  FROM hosts
+  FROM hosts GROUP BY rule
 ), prior AS (
-  SELECT mean, CASE WHEN spread - mean * (1 - mean) * inverse <= 0 THEN mean_docs
+  SELECT rule, mean, CASE WHEN spread - mean * (1 - mean) * inverse <= 0 THEN mean_docs
     ELSE greatest(mean * (1 - mean) / (spread - mean * (1 - mean) * inverse) - 1, 1) END AS weight
   FROM moments
 ), rates AS (
-  SELECT host, (mean * weight + failed) / (weight + docs) AS host_rate FROM hosts, prior
+  SELECT host, rule, (mean * weight + failed) / (weight + docs) AS rate FROM hosts JOIN prior USING (rule)
+), verdicts AS (
+  SELECT host, max(rate) AS worst, max(rate) FILTER (rule = 'base') AS host_rate,
+    max(rate) FILTER (rule = 'symbols') AS host_symbol_rate, max(rate) FILTER (rule = 'lines') AS host_dup_line_rate,
+    max(rate) FILTER (rule = 'length') AS host_word_length_rate
+  FROM rates GROUP BY host
 )
 SELECT doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  round(host_rate, 6) AS host_rate, NOT base_failed AND host_rate <= 0.5 AS kept
-FROM judged JOIN rates ON source IS NOT DISTINCT FROM host
+  round(host_rate, 6) AS host_rate, round(host_symbol_rate, 6) AS host_symbol_rate,
+  round(host_dup_line_rate, 6) AS host_dup_line_rate, round(host_word_length_rate, 6) AS host_word_length_rate,
+  NOT base_failed AND worst <= 0.5 AS kept
+FROM judged JOIN verdicts ON source IS NOT DISTINCT FROM host
 """
 
 _DECONTAMINATE = r"""

@@ -29,9 +29,11 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-#: Site names whose pages make up the block list of the registered query.
+#: Site names whose advertised pages make up the block list of the registered query.
 LISTED_SITES = ("spam-farm", "cheap-pills", "casino-win", "free-bets", "ads-track", "adult-x")
 BROADCAST_BLOCKS = 1 << 17
+#: Listed URLs that one task may hold in a hash table; with more, the join is left to the planner.
+HASHED_URLS = 1 << 20
 _URLS_PER_BLOCK = 16
 _LONGS = 4
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -98,21 +100,29 @@ def bloom_filter(listed: DataFrame, blocks: int) -> DataFrame:
 
 def on_list(urls: DataFrame, listed: DataFrame, broadcast_blocks: int = BROADCAST_BLOCKS) -> DataFrame:
     """``urls`` (one column ``url``, canonical, distinct) that are on ``listed`` (same, distinct)."""
-    blocks = max(1, -(-listed.count() // _URLS_PER_BLOCK))
+    listed_urls = listed.count()
+    blocks = max(1, -(-listed_urls // _URLS_PER_BLOCK))
     filter_rows = bloom_filter(listed, blocks)
     if blocks <= broadcast_blocks:
         filter_rows = F.broadcast(filter_rows)
     probed = urls.withColumn("block", _block(F.col("url"), blocks)).join(filter_rows, "block")
     set_bits = [F.col(f"w{k}").bitwiseAND(mask) == mask for k, mask in enumerate(_masks(F.col("url")))]
     possible = probed.where(reduce(and_, set_bits)).select("url")
-    return possible.join(listed.hint("shuffle_hash"), "url", "left_semi")
+    # Distinct URLs spread evenly, so the count tells the size of each task's hash table.
+    tasks = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    exact = listed.hint("shuffle_hash") if listed_urls <= HASHED_URLS * tasks else listed
+    return possible.join(exact, "url", "left_semi")
 
 
 def site_list(pages: DataFrame, url: str = "url", sites: tuple[str, ...] = LISTED_SITES) -> DataFrame:
-    """Canonical URLs of the pages on the named sites: the block list of the registered query."""
+    """The block list of the registered query: canonical URLs on the named sites that some page's
+    address advertises, with a tracking parameter. Other pages of these sites are not on it; a page
+    whose own address has no such parameter is, if another spelling of its URL has one."""
     host = host_of(F.col(url))
     named = reduce(or_, (host.rlike(rf"(^|\.){re.escape(s)}\.") for s in sites))
-    return pages.where(named).select(canonical(F.col(url)).alias("url")).distinct()
+    query = F.regexp_extract(after_scheme(F.col(url)), r"^[^?#]*\?([^#]*)", 1)
+    advertised = F.exists(F.split(query, "&"), lambda part: part.rlike(_TRACKING))
+    return pages.where(named & advertised).select(canonical(F.col(url)).alias("url")).distinct()
 
 
 def filter_urls(

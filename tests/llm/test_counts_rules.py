@@ -212,6 +212,17 @@ def test_hosts_of_symbols_or_repeated_lines_or_odd_words_lose_all_documents(spar
         assert rate[host][f"host_{name}_rate"] > 0.9 and rate["h1"][f"host_{name}_rate"] < 0.1
 
 
+def test_hosts_of_scripts_without_blanks_keep_their_documents(spark):
+    rng = random.Random(8)
+    segments = ["".join(chr(0x3041 + rng.randrange(80)) for _ in range(14)) for _ in range(4000)]
+    rows = [(k, " ".join(rng.sample(segments, 80)), "jp.example") for k in range(100)]
+    rows += [(1000 + k, prose(80, k), f"h{k % 4}") for k in range(100)]
+    rows += [(2000 + k, " ".join("x" * 14 + str(rng.randrange(10**6)) for _ in range(80)), "codes.example") for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r["doc_id"] for r in host_quality(spark, docs).where("kept").collect()}
+    assert kept == {r[0] for r in rows if r[0] < 2000}
+
+
 def test_host_rules_of_odd_rows(spark, odd, empty):
     got = host_quality(spark, odd).collect()
     assert Counter((r["doc_id"], *judged(r)) for r in got) == Counter((i, *measures(t)) for i, t in ids_and_texts())

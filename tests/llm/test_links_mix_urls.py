@@ -297,6 +297,31 @@ def test_filter_lets_all_listed_urls_through_and_few_others(spark):
     assert 2000 <= probed.count() < 2000 + 0.02 * 36000
 
 
+def test_only_advertised_urls_of_a_listed_site_are_blocked(spark, monkeypatch):
+    site = "https://spam-farm.example.org/en/"
+    urls = [f"{site}{k}" + ("?utm_source=a" if k % 3 == 0 else "") for k in range(3000)]
+    urls += [f"http://www.spam-farm.example.org/en/{k}/#top" for k in range(0, 3000, 6)]  # other spellings of listed URLs
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+
+    def blocked():
+        found = url_filter.filter_urls(spark, pages, url_filter.site_list(pages)).where("verdict = 'block'")
+        return {r["page_id"] for r in found.collect()}
+
+    want = {*range(0, 3000, 3), *range(3000, 3500)}
+    assert blocked() == want
+    # A filter of so few bits that most unlisted URLs get through: the join alone decides.
+    monkeypatch.setattr(url_filter, "_URLS_PER_BLOCK", 500)
+    rows = url_filter.bloom_filter(url_filter.site_list(pages), 2)
+    probe = pages.select(url_filter.canonical(F.col("url")).alias("url")).distinct()
+    probe = probe.withColumn("block", url_filter._block(F.col("url"), 2)).join(rows, "block")
+    for k, mask in enumerate(url_filter._masks(F.col("url"))):
+        probe = probe.where(F.col(f"w{k}").bitwiseAND(mask) == mask)
+    assert probe.count() > 2500
+    assert blocked() == want
+    monkeypatch.setattr(url_filter, "HASHED_URLS", 0)
+    assert blocked() == want
+
+
 def test_url_filter_plan_has_no_python_and_no_pairwise_join(spark):
     plan = QUERIES["op8_url_filter"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
