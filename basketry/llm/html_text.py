@@ -15,7 +15,7 @@ Pages with the same main text count as one: an article served under many address
 boilerplate. Neither are versions of an article: pages of which such passages leave less than
 ``OWN_SHARE`` count only where a passage is on ``MOST_SHARE`` of all.
 
-Four bytes a token are shuffled, to shards of about ``SHARD_PAGES`` pages of a host, which name
+Three bytes a token are shuffled, to shards of about ``SHARD_PAGES`` pages of a host, which name
 the passages that may be boilerplate; those are counted over the whole host. The pages, read
 again, lose what their host's list holds, so no host meets in one task, however large.
 """
@@ -27,6 +27,8 @@ from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,7 @@ MIN_SHARE = 0.05
 MOST_SHARE = 0.5
 OWN_SHARE = 0.25
 MIN_PAGES = 3
+BROADCAST_HOSTS = 50_000
 BROADCAST_PASSAGES = 1_000_000
 
 # A quote opens a value only after "=", no tag reaches into the next one, and nothing is tried
@@ -238,13 +241,23 @@ def _blocks(html: str) -> tuple[list[str], list[tuple[bool, bool]]]:
 
 
 def _tokens(blocks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Words of all blocks in order as 32-bit numbers, and how many each block has."""
+    """Words of all blocks in order as 24-bit numbers, and how many each block has."""
     hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, _, texts in slices(pa.array(blocks, pa.string())):
         words = texts.words()
         hashes.append(words.hashes())
         counts.append(words.counts())
-    return (np.concatenate(hashes) >> np.uint64(32)).astype(np.uint32), np.concatenate(counts)
+    return (np.concatenate(hashes) >> np.uint64(40)).astype(np.uint32), np.concatenate(counts)
+
+
+def _packed(token: np.ndarray) -> bytes:
+    return np.ascontiguousarray(token, "<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def _unpacked(tokens: bytes) -> np.ndarray:
+    out = np.zeros((len(tokens) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(tokens, np.uint8).reshape(-1, 3)
+    return out.view("<u4").ravel()
 
 
 def _stream_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,15 +268,15 @@ def _stream_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         token, per_block = _tokens([b for blocks in main for b in blocks])
         bounds = np.concatenate([[0], np.cumsum(per_block)])[np.cumsum([0, *map(len, main)])]
         rows = []
-        for k, host in enumerate(batch.column(0).to_pylist()):
-            tokens = token[bounds[k] : bounds[k + 1]].tobytes()
+        for k, (host, shards) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2)), strict=True)):
+            tokens = _packed(token[bounds[k] : bounds[k + 1]])
             article = int.from_bytes(blake2b(tokens, digest_size=8).digest(), "little", signed=True)
             if (host, article) not in seen:
                 seen.add((host, article))
-                rows.append((host, article, tokens))
-        kinds = [pa.int64()] * 2 + [pa.binary()]
+                rows.append((host, shards, article % shards, article, tokens))
+        kinds = [pa.int64()] * 4 + [pa.binary()]
         columns = [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "article", "tokens"])
+        yield pa.RecordBatch.from_arrays(columns, ["host", "shards", "shard", "article", "tokens"])
 
 
 def suffix_groups(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -322,15 +335,28 @@ def _passage_hashes(token: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _shard_candidates(shard: pa.Table) -> pa.Table:
-    """Passages that a share of ``MIN_SHARE`` of one shard's articles holds."""
-    host, whole = (shard.column(c)[0].as_py() for c in ("host", "whole"))
-    # Copies come once from each task that met them.
-    articles = dict(zip(shard.column("article").to_pylist(), shard.column("tokens").to_pylist(), strict=True))
-    found, pages = passages([np.frombuffer(tokens, np.uint32) for tokens in articles.values()])
-    least = MIN_SHARE * len(articles)
-    told = found[pages >= (max(MIN_PAGES, least) if whole else least)]
-    return pa.table({"host": pa.array([host] * len(told), pa.int64()), "passage": pa.array(told, pa.int64())})
+def _shards(rows: Iterator[tuple]) -> Iterator[tuple[int, int, list[tuple]]]:
+    """(host, its shards, distinct articles) of every shard of a task, whose rows are in order of
+    host, shard and article; copies come once from each task that met them."""
+    for (host, shards, _), group in groupby(rows, key=itemgetter(0, 1, 2)):
+        yield host, shards, [next(copies) for _, copies in groupby(group, key=itemgetter(3))]
+
+
+def _candidate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages that a share of ``MIN_SHARE`` of a shard's articles holds; a row without passage has their number."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    for host, shards, articles in _shards(rows):
+        found, pages = passages([_unpacked(row[4]) for row in articles])
+        least = MIN_SHARE * len(articles)
+        told = found[pages >= (max(MIN_PAGES, least) if shards == 1 else least)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([host] * (len(told) + 1), pa.int64()),
+                pa.array([None, *told.tolist()], pa.int64()),
+                pa.array([len(articles)] + [0] * len(told), pa.int64()),
+            ],
+            ["host", "passage", "articles"],
+        )
 
 
 class _Lists:
@@ -373,27 +399,31 @@ def _hits(hashes: np.ndarray, passage: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _hold_batches(voters: bool):
-    """(host, passage, article) of every listed passage in every stream, or only in those with text of their own:
-    pages of which listed passages leave ``OWN_SHARE`` at least."""
+    """(host, passage, n): how many articles of a shard hold each listed passage; or only those with
+    text of their own, of which listed passages leave ``OWN_SHARE`` at least."""
 
     def job(shared):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             for batch in batches:
-                listed, found, sizes = _list_of(shared, batch), [np.zeros(0, np.int64)], []
-                for k, tokens in enumerate(batch.column("tokens").to_pylist()):
-                    mine, held = listed(k), found[0]
-                    if mine is not None:
-                        hashes = _passage_hashes(np.frombuffer(tokens, np.uint32))
-                        hit = _hits(hashes, mine[0])[1]
-                        n = len(tokens) // 4
-                        if not voters or n - _inside(np.flatnonzero(hit), n).sum() >= OWN_SHARE * n:
-                            held = np.unique(hashes[hit])
-                    found.append(held)
-                    sizes.append(len(held))
-                of = [np.repeat(batch.column(c).to_numpy(), np.array(sizes, np.int64)) for c in ("host", "article")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(of[0]), pa.array(np.concatenate(found)), pa.array(of[1])], ["host", "passage", "article"]
-                )
+                listed = _list_of(shared, batch)
+                columns = (batch.column(c).to_pylist() for c in ("host", "shards", "shard", "article", "tokens"))
+                for k, row in enumerate(zip(*columns, strict=True)):
+                    yield *row, listed(k)
+
+        def held(article: tuple) -> np.ndarray:
+            token, mine = _unpacked(article[4]), article[5]
+            hashes = _passage_hashes(token)
+            hit = _hits(hashes, mine[0])[1]
+            own = len(token) - _inside(np.flatnonzero(hit), len(token)).sum()
+            return np.unique(hashes[hit]) if not voters or own >= OWN_SHARE * len(token) else hashes[:0]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for host, _, articles in _shards(rows(batches)):
+                found = [held(article) for article in articles if article[5] is not None]
+                if found:
+                    passage, n = np.unique(np.concatenate(found), return_counts=True)
+                    columns = [np.full(len(n), host), passage, n]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["host", "passage", "n"])
 
         return run
 
@@ -457,21 +487,16 @@ def _text_batches(shared):
     return run
 
 
-def _with_lists(spark: SparkSession, rows: DataFrame, listed: DataFrame, job, kind: str) -> DataFrame:
+def _with_lists(spark: SparkSession, rows: DataFrame, listed: DataFrame, job, kind: str, order=()) -> DataFrame:
     """``rows`` (with a host) through ``job``, which knows the lists of the hosts: 17 bytes a passage are
-    broadcast up to ``BROADCAST_PASSAGES``, more are joined."""
+    broadcast up to ``BROADCAST_PASSAGES``, more are joined, and the rows dealt and put in ``order`` again."""
     if listed.count() <= BROADCAST_PASSAGES:
         return rows.mapInArrow(job(spark.sparkContext.broadcast(_Lists(listed.toArrow()))), kind)
     lists = listed.groupBy("host").agg(F.collect_list(F.struct("passage", "pages", "strong")).alias("passages"))
-    return rows.join(lists, "host", "left").mapInArrow(job(None), kind)
-
-
-def _count(spark: SparkSession, streams: DataFrame, listed: DataFrame, name: str, voters: bool) -> DataFrame:
-    """How many of a host's articles (or voters) hold each of its listed passages."""
-    held = _with_lists(spark, streams, listed, _hold_batches(voters), "host long, passage long, article long")
-    # One shuffle serves the distinct articles and the counts.
-    once = held.repartition("host", "passage").distinct()
-    return once.groupBy("host", "passage").agg(F.count("*").alias(name))
+    joined = rows.join(lists, "host", "left")
+    if order:
+        joined = joined.repartition(*order[:-1]).sortWithinPartitions(*order)
+    return joined.mapInArrow(job(None), kind)
 
 
 def host_boilerplate(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -481,19 +506,30 @@ def host_boilerplate(spark: SparkSession, pages: DataFrame) -> DataFrame:
     shard names is none. What one names is counted over the whole host, and then once more over
     the pages with text of their own; so the verdict does not depend on how pages are dealt.
     """
-    streams = pages.mapInArrow(_stream_batches, "host long, article long, tokens binary").checkpoint(eager=True)
-    hosts = streams.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("articles"))
-    hosts = hosts.checkpoint(eager=True)
-    shards = hosts.select("host", F.ceil(F.col("articles") / SHARD_PAGES).alias("shards"))
-    dealt = streams.join(shards, "host").withColumn("whole", F.col("shards") == 1)
-    dealt = dealt.withColumn("shard", F.pmod("article", "shards")).drop("shards")
-    named = dealt.groupBy("host", "shard").applyInArrow(_shard_candidates, "host long, passage long").distinct()
-    named = named.withColumn("pages", F.lit(0)).withColumn("strong", F.lit(False)).checkpoint(eager=True)
+    large = pages.groupBy("host").count().where(F.col("count") > SHARD_PAGES)
+    large = large.select("host", F.ceil(F.col("count") / SHARD_PAGES).alias("shards")).checkpoint(eager=True)
+    if large.count() <= BROADCAST_HOSTS:  # 16 bytes a host
+        large = F.broadcast(large)
+    known = pages.join(large, "host", "left").select("host", "html", F.coalesce("shards", F.lit(1).cast("long")).alias("shards"))
+    order = ("host", "shards", "shard", "article")
+    streams = known.mapInArrow(_stream_batches, "host long, shards long, shard long, article long, tokens binary")
+    # A shard is in one partition, its rows together, and stays so: the tokens are shuffled once.
+    streams = streams.repartition(*order[:-1]).sortWithinPartitions(*order).checkpoint(eager=True)
+    named = streams.mapInArrow(_candidate_batches, "host long, passage long, articles long")
+    named = named.groupBy("host", "passage").agg(F.sum("articles").alias("articles")).checkpoint(eager=True)
+    hosts = named.where("passage IS NULL").select("host", "articles")
+    named = named.where("passage IS NOT NULL").select("host", "passage", F.lit(0).alias("pages"), F.lit(False).alias("strong"))
+
+    def count(listed: DataFrame, name: str, voters: bool) -> DataFrame:
+        kind = "host long, passage long, n long"
+        held = _with_lists(spark, streams, listed, _hold_batches(voters), kind, order)
+        return held.groupBy("host", "passage").agg(F.sum("n").alias(name))
+
     least, most = (F.greatest(F.lit(MIN_PAGES), F.lit(s) * F.col("articles")) for s in (MIN_SHARE, MOST_SHARE))
-    often = _count(spark, streams, named, "pages", voters=False).join(hosts, "host").where(F.col("pages") >= least)
+    often = count(named, "pages", voters=False).join(hosts, "host").where(F.col("pages") >= least)
     often = often.withColumn("strong", F.col("pages") >= most).checkpoint(eager=True)
-    voters = _count(spark, streams, often, "voters", voters=True)
-    listed = often.join(voters, ["host", "passage"], "left").where(F.col("strong") | (F.col("voters") >= least))
+    listed = often.join(count(often, "voters", voters=True), ["host", "passage"], "left")
+    listed = listed.where(F.col("strong") | (F.col("voters") >= least))
     return listed.select("host", "passage", "pages", "strong").checkpoint(eager=True)
 
 
