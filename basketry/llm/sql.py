@@ -17,17 +17,16 @@ WITH parts AS (
     string_split(regexp_extract(coalesce(rest, ''), '^[^?#]*[?]([^#]*)', 1), '&') AS query
   FROM parts
 ), named AS (
-  SELECT *, list_sort([x for x in query if x <> '' AND NOT regexp_matches(x, 'TRACKING')]) AS asked,
-    len([x for x in query if regexp_matches(x, 'TRACKING')]) > 0 AS advertised
+  SELECT *, list_sort([x for x in query if x <> '' AND NOT regexp_matches(x, 'TRACKING')]) AS asked
   FROM split
 ), spelled AS (
-  SELECT page_id, host, path, advertised,
+  SELECT page_id, host, path,
     regexp_replace(regexp_replace(host, ':(80|443)$', ''), '[.]$|^www[.]', '', 'g') || regexp_replace(path, '/+$', '')
       || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END AS canonical
   FROM named
 ), listed AS (
   SELECT DISTINCT canonical AS on_list FROM spelled
-  WHERE advertised AND regexp_matches(host, '(^|[.])(SITES)[.]')
+  WHERE regexp_matches(host, '(^|[.])(SITES)[.]')
 ), rules(rule, action, rule_host, rule_path) AS (
   VALUES ('com/', 'allow', 'com', '/'), ('example.com/en/', 'block', 'example.com', '/en/'),
     ('www.example.com/en/', 'allow', 'www.example.com', '/en/'),

@@ -29,7 +29,7 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-#: Site names whose advertised pages make up the block list of the registered query.
+#: Site names whose pages make up the block list of the registered query.
 LISTED_SITES = ("spam-farm", "cheap-pills", "casino-win", "free-bets", "ads-track", "adult-x")
 BROADCAST_BLOCKS = 1 << 17
 #: Listed URLs that one task may hold in a hash table; with more, the join is left to the planner.
@@ -114,15 +114,19 @@ def on_list(urls: DataFrame, listed: DataFrame, broadcast_blocks: int = BROADCAS
     return possible.join(exact, "url", "left_semi")
 
 
+def pages_of_sites(pages: DataFrame, url: str = "url", sites: tuple[str, ...] = LISTED_SITES) -> DataFrame:
+    """The block list of the registered query: canonical URLs of all pages on the named sites."""
+    named = reduce(or_, (host_of(F.col(url)).rlike(rf"(^|\.){re.escape(s)}\.") for s in sites))
+    return pages.where(named).select(canonical(F.col(url)).alias("url")).distinct()
+
+
 def site_list(pages: DataFrame, url: str = "url", sites: tuple[str, ...] = LISTED_SITES) -> DataFrame:
-    """The block list of the registered query: canonical URLs on the named sites that some page's
-    address advertises, with a tracking parameter. Other pages of these sites are not on it; a page
-    whose own address has no such parameter is, if another spelling of its URL has one."""
-    host = host_of(F.col(url))
-    named = reduce(or_, (host.rlike(rf"(^|\.){re.escape(s)}\.") for s in sites))
+    """A narrower list: canonical URLs on the named sites that some page's address advertises, with
+    a tracking parameter. Other pages of these sites are not on it; a page whose own address has no
+    such parameter is, if another spelling of its URL has one."""
     query = F.regexp_extract(after_scheme(F.col(url)), r"^[^?#]*\?([^#]*)", 1)
     advertised = F.exists(F.split(query, "&"), lambda part: part.rlike(_TRACKING))
-    return pages.where(named & advertised).select(canonical(F.col(url)).alias("url")).distinct()
+    return pages_of_sites(pages.where(advertised), url, sites)
 
 
 def filter_urls(

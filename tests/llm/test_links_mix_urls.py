@@ -322,6 +322,16 @@ def test_only_advertised_urls_of_a_listed_site_are_blocked(spark, monkeypatch):
     assert blocked() == want
 
 
+def test_the_query_blocks_every_page_of_a_listed_site(spark, tmp_path):
+    site = "https://spam-farm.example.org/en/"
+    urls = [f"{site}{k}" + ("?utm_source=a" if k % 3 == 0 else "") for k in range(30)]
+    urls += ["http://WWW.spam-farm.example.org:80/en/4/#top", "https://not-spam-farm.example.org/en/4", "no url", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    found = QUERIES["op8_url_filter"](spark, str(tmp_path)).where("verdict = 'block'")
+    assert {r["page_id"] for r in found.collect()} == set(range(31))
+
+
 def test_url_filter_plan_has_no_python_and_no_pairwise_join(spark):
     plan = QUERIES["op8_url_filter"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
