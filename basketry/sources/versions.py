@@ -99,7 +99,7 @@ def _files(spark: SparkSession, root: str, names: list[str], schema: T.StructTyp
     if not names:
         return spark.createDataFrame([], schema).withColumn("_file", F.lit(""))
     found = spark.read.schema(schema).parquet(*[f"{root}/files/{name}" for name in names])
-    return found.withColumn("_file", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1))
+    return found.withColumn("_file", F.substring_index("_metadata.file_path", "/", -2))
 
 
 def _schema(spark: SparkSession, root: str, token: str) -> T.StructType:

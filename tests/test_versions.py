@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators.merge import upsert
 from basketry.plans.ingest import Run, merge_into_files, transform
+from basketry.sources import versions
 from basketry.sources.versions import (
     candidate_files,
     create_table,
@@ -131,3 +132,11 @@ def test_ingest_keeps_tables_of_files(spark, tmp_path):
     assert read_version(spark, root).count() == 51
     with pytest.raises(ValueError, match="no columns"):
         merge_into_files(spark, root, batch.withColumn("EXTRA", F.lit(1)), "orders")
+
+
+def test_rows_get_their_file_without_a_regular_expression(spark, table):
+    """The name is worked out for every row read, so it has to be cheap."""
+    listed = {r["file"] for r in manifest(spark, table).collect()}
+    read = versions._files(spark, table, sorted(listed), versions._schema(spark, table, "empty"))
+    assert {r["_file"] for r in read.select("_file").distinct().collect()} == listed
+    assert "regexp" not in read._jdf.queryExecution().optimizedPlan().toString()
