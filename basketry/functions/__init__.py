@@ -7,7 +7,7 @@ from basketry.functions.dates import (
     months_before,
     parse_timestamp,
 )
-from basketry.functions.keys import surrogate_key
+from basketry.functions.keys import key_text, surrogate_key
 from basketry.functions.numbers import greatest_strict, mean_of, ratio, rounded_ratio
 from basketry.functions.text import address_part, is_blank
 
@@ -23,6 +23,7 @@ __all__ = [
     "parse_timestamp",
     "ratio",
     "rounded_ratio",
+    "key_text",
     "surrogate_key",
     "to_int",
 ]

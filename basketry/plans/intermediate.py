@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions import address_part, is_blank, mean_of, surrogate_key
+from basketry.functions import address_part, is_blank, key_text, mean_of, surrogate_key
 
 
 def _run_timestamp(run_ts: datetime) -> Column:
@@ -108,25 +108,23 @@ def addresses(stg_orders: DataFrame, stg_customers: DataFrame, run_ts: datetime)
 
     One join and one distinct: both street columns of an order travel in one row. The
     location key is a function of the customer's untrimmed city, state and country,
-    whether or not such a location row exists.
+    whether or not such a location row exists. Both keys are made of the street and the text
+    under the location key, so the distinct is over these, and keys are made after it.
     """
-    places = stg_customers.select("customer_id", "city", "state", "country")
+    places = stg_customers.select("customer_id", key_text("city", "state", "country").alias("place"))
     streets = stg_orders.select("customer_id", "shipping_address", "billing_address")
     return (
         streets.join(places, "customer_id")
         .select(
-            "city",
-            "state",
-            "country",
-            F.explode(F.array("shipping_address", "billing_address")).alias("street_address"),
+            "place", F.explode(F.array("shipping_address", "billing_address")).alias("street_address")
         )
         .filter(F.col("street_address").isNotNull())
+        .distinct()
         .select(
-            surrogate_key("street_address", "city", "state", "country").alias("address_id"),
+            surrogate_key("street_address", "place").alias("address_id"),
             "street_address",
-            surrogate_key("city", "state", "country").alias("location_id"),
+            F.md5("place").alias("location_id"),
         )
-        .distinct()
         .withColumn("created_at", _run_timestamp(run_ts))
     )
 
@@ -349,7 +347,8 @@ def order_items(
 
     Every side is made distinct before it joins, so the result is distinct by itself:
     copies of an item are folded in the map tasks, however many there are, and a plan
-    that needs no review score drops that join altogether.
+    that needs no review score drops that join altogether. Orders and reviews join first, while
+    rows are narrow and lie by order; the product's groups, wide as they are, come last.
     """
     items = stg_order_items.select(
         "order_item_id",
@@ -363,9 +362,10 @@ def order_items(
     groups = products.select("product_id", "category_id", "subcategory_id", "brand_id").distinct()
     buyers = stg_orders.select("order_id", "customer_id").distinct()
     return (
-        items.join(groups, "product_id")
+        items.filter(F.col("product_id").isNotNull())
         .join(buyers, "order_id", "left")
         .join(latest_review_scores(stg_reviews), ["order_id", "product_id"], "left")
+        .join(groups, "product_id")
         .select(
             "order_item_id",
             "order_id",

@@ -36,7 +36,7 @@ from basketry.plans.increments import add_load, replace_groups
 from basketry.plans.ingest import Run, ingest_table, transform
 from basketry.plans.warehouse import Warehouse
 from basketry.schemas import TABLES
-from basketry.session import ensure_checkpoint_dir, tune
+from basketry.session import RETAIL_CONF, ensure_checkpoint_dir, tune
 from basketry.sources.driver_tables import DriverTables
 from basketry.sources.versions import Merged, create_table, merge_version, read_version
 
@@ -86,7 +86,7 @@ _MODELS: dict[str, tuple[str, str | None]] = {
 def open_warehouse(
     spark: SparkSession, directory: str, as_of: date = ORDERS_AS_OF, mode: str = "faithful"
 ) -> Warehouse:
-    tables = DriverTables(tune(spark), directory)
+    tables = DriverTables(tune(spark, RETAIL_CONF), directory)
     raw = {name: getattr(tables, name) for name in TABLES}
     return Warehouse(spark, raw, as_of, RUN_TS, mode)
 

@@ -7,6 +7,8 @@ names and brands are missing or blank here and there.
 
 from __future__ import annotations
 
+import re
+
 import duckdb
 import pytest
 
@@ -120,3 +122,10 @@ def test_hot_join_partitions_are_split(spark, large_plan, skewed):
     df = entry.queries()["fct_sales_by_region"](spark, skewed)
     df.collect()
     assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_items_meet_orders_and_reviews_where_they_lie(spark, large_plan, skewed):
+    """Items are dealt by their row, by order and by product, and reviews not met by a deal of their own."""
+    df = entry.queries()["order_items"](spark, skewed)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id#\d+, product_id#\d+", plan)) == 1
