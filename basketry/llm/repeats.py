@@ -7,7 +7,8 @@ minimizer is a *string* here, 50 to 84 bytes long. The steps, each a shuffle of
 1. documents are dealt into chunks of a few megabytes by a hash of their id; each chunk sends the
    minimizers it holds, and learns which of them occur in several documents;
 2. the chunk's distinct strings on those minimizers go, with the least document that holds them,
-   to the minimizer's bucket. There each shard of strings gets its suffixes sorted once and a
+   to the minimizer's bucket. Strings without a 44-byte core of another around the minimizer are
+   there by chance and are left aside; of the others each shard gets its suffixes sorted once and a
    Burrows-Wheeler transform; the transforms are merged by refining an interleave one symbol a
    round, without sorting the suffixes of all shards again. Suffixes part in the round that is
    one more than their common prefix; what is still together after 50 rounds is an interval of
@@ -46,7 +47,7 @@ HOT_CHUNKS = 8
 WIDE_CHUNKS = 1024
 SHARD_SYMBOLS = 1 << 18
 BATCH_SYMBOLS = 1 << 20
-_SLICE = 1 << 20
+_SLICE = 1 << 16  # its arrays stay in a core's cache
 _LAST = np.iinfo(np.int64).max  # a null id comes after all others
 _LOW = np.uint64(0xFFFFFFFF)
 _S32 = np.uint64(32)
@@ -57,6 +58,8 @@ _ROW_NAMES = ["part", "chunk", "kind", "a", "b", "c", "d"]
 _ZSTD = pa.Codec("zstd", 1)
 _SHARED, _RUNS, _FLAGS = 0, 1, 2
 _STRINGS, _WINDOWS = 0, 1
+_META = [("hash", "<u8"), ("least", "<i8"), ("number", "<u4"), ("place", "u1")]
+_BAND = 7  # offsets of a minimizer in its window that are looked at together
 
 
 def _pack(values: np.ndarray | bytes) -> bytes:
@@ -79,6 +82,11 @@ def _table(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=_ROW_NAMES)
 
 
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``begin``, ``begin + 1`` ... of each range, ``count`` numbers of each."""
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
 def _cuts(sorted_keys: np.ndarray) -> np.ndarray:
     """Where each run of equal keys begins, and the end."""
     if not len(sorted_keys):
@@ -107,18 +115,18 @@ class Chunk:
             stop = min(stop, len(raw))
             found.append(self._strings(first, stop))
             first = stop
-        self.start, self.stop, self.hash = (np.concatenate(x) for x in zip(*found, strict=True))
+        self.start, self.stop, self.hash, self.place = (np.concatenate(x) for x in zip(*found, strict=True))
         self.doc = self.ids[np.searchsorted(offsets, self.start, side="right") - 1]
 
-    def _strings(self, first: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, end and minimizer hash of every string of some documents."""
+    def _strings(self, first: int, stop: int) -> tuple[np.ndarray, ...]:
+        """Start, end, minimizer hash and minimizer place of every string of some documents."""
         low, high = int(self.texts.offsets[first]), int(self.texts.offsets[stop])
         length = np.diff(self.texts.offsets[first : stop + 1])
         windows = np.maximum(length - WINDOW + 1, 0)
         n = high - low
         if not windows.any():
             none = np.zeros(0, np.int64)
-            return none, none, np.zeros(0, np.uint64)
+            return none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint8)
         padded = np.concatenate([self.texts.data[low:high], np.zeros(PIECE, np.uint8)])
         lanes = np.ndarray((n + 9,), "<u8", padded, strides=(1,))
         h = mix(mix(np.full(n, _SEEDS[0]), lanes[:n]), lanes[8 : n + 8])
@@ -136,7 +144,8 @@ class Chunk:
         least = least[at]
         edge = _cuts(least)
         piece = (least[edge[:-1]] & place).astype(np.int64)
-        return at[edge[:-1]] + low, at[edge[1:] - 1] + low + WINDOW, h[piece]
+        head = at[edge[:-1]]
+        return head + low, at[edge[1:] - 1] + low + WINDOW, h[piece], (piece - head).astype(np.uint8)
 
     def shared_strings(self, shared: list[dict], buckets: int) -> None:
         """Keeps the strings whose minimizer is shared, numbers the distinct ones.
@@ -153,7 +162,8 @@ class Chunk:
         at = np.searchsorted(key, mine)
         at[at == len(key)] = 0
         found = key[at] == mine if len(key) else np.zeros(len(mine), bool)
-        self.start, self.stop, self.hash, self.doc = (x[found] for x in (self.start, self.stop, self.hash, self.doc))
+        kept = (self.start, self.stop, self.hash, self.place, self.doc)
+        self.start, self.stop, self.hash, self.place, self.doc = (x[found] for x in kept)
         is_hot = hot[at[found]] if len(key) else np.zeros(0, bool)
         numbers: dict[bytes, int] = {}
         body = self.texts.data.tobytes()
@@ -163,7 +173,8 @@ class Chunk:
         )
         self.strings = list(numbers)
         _, seen = np.unique(self.number, return_index=True)
-        self.least, self.of_hash, self.hot = self.doc[seen], self.hash[seen], is_hot[seen]
+        self.least, self.of_hash, self.of_place = self.doc[seen], self.hash[seen], self.place[seen]
+        self.hot = is_hot[seen]
 
     def hot_windows(self) -> tuple[np.ndarray, ...]:
         """Windows of hot strings: (string, offset) of each, its number among the distinct ones;
@@ -271,8 +282,9 @@ def _send_strings(buckets: int, parts: int):
         for a, b in zip(edge[:-1], edge[1:], strict=True):
             mine = cold[a:b]
             strings = [chunk.strings[i] for i in mine]
-            meta = np.empty(len(mine), [("hash", "<u8"), ("least", "<i8"), ("number", "<u4")])
+            meta = np.empty(len(mine), _META)
             meta["hash"], meta["least"], meta["number"] = chunk.of_hash[mine], chunk.least[mine], mine
+            meta["place"] = chunk.of_place[mine]
             size = np.array([len(s) for s in strings], dtype=np.uint8)
             out.append((int(part[a]), number, _STRINGS, _pack(b"".join(strings)), _pack(size), _pack(meta), b""))
         *_, one, two, least = chunk.hot_windows()
@@ -380,6 +392,11 @@ def first_documents(
     strings: list[bytes], least: np.ndarray, shard_symbols: int = SHARD_SYMBOLS
 ) -> list[np.ndarray]:
     """For each string the least document of each of its windows, over all strings given."""
+    ends = np.cumsum([len(s) - WINDOW + 1 for s in strings])
+    return np.split(_first_documents(strings, least, shard_symbols), ends[:-1])
+
+
+def _first_documents(strings: list[bytes], least: np.ndarray, shard_symbols: int = SHARD_SYMBOLS) -> np.ndarray:
     body = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8)
     size = np.array([len(s) for s in strings])
     begin = np.cumsum(size + 1) - (size + 1)
@@ -403,11 +420,38 @@ def first_documents(
     first = least[string]  # a window that no other string holds is its own string's
     first[start] = held[interval]
     at = np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
-    return np.split(first[at], np.cumsum(count)[:-1])
+    return first[at]
+
+
+def may_share(strings: list[bytes], size: np.ndarray, place: np.ndarray, of_hash: np.ndarray) -> np.ndarray:
+    """Which distinct strings may have a window in common with another one; no such string is missed.
+
+    Equal windows have their minimizer at the same offset. Those where it stands ``low`` to ``high``
+    bytes in all hold ``low`` bytes before it and what the window has behind it at ``high``; two
+    strings that share one of them share that core, of 44 bytes. A string with no core of another
+    is left out: it is on a common minimizer by chance. A hash only lets too many through.
+    """
+    found = np.zeros(len(strings), dtype=bool)
+    joined = b"".join(strings)
+    lanes = np.ndarray((len(joined) + 1,), "<u8", np.frombuffer(joined + bytes(8), np.uint8), strides=(1,))
+    begin = np.cumsum(size) - size + place
+    for low in range(0, _REACH, _BAND):
+        high = min(low + _BAND, _REACH) - 1
+        core = WINDOW - (high - low)
+        mine = np.flatnonzero((place >= low) & (place - low + core <= size))
+        at = begin[mine] - low
+        h = of_hash[mine]
+        for k in (*range(0, core - 8, 8), core - 8):
+            h = mix(h, lanes[at + k])
+        order = np.argsort(h)
+        edge = _cuts(h[order])
+        many = np.diff(edge)
+        found[mine[order]] |= np.repeat(many > 1, many)
+    return found
 
 
 def _resolve_strings(rows: list[dict]) -> list[tuple]:
-    meta = [_unpack(r["c"], [("hash", "<u8"), ("least", "<i8"), ("number", "<u4")]) for r in rows]
+    meta = [_unpack(r["c"], _META) for r in rows]
     numbers: dict[bytes, int] = {}
     which = []
     for r in rows:
@@ -425,45 +469,51 @@ def _resolve_strings(rows: list[dict]) -> list[tuple]:
     of_hash = np.zeros(len(strings), np.uint64)
     of_hash[which] = every["hash"]
     size = np.array([len(s) for s in strings])
-    # Alone on its minimizer: no other string can hold its windows.
+    place = np.zeros(len(strings), np.int64)
+    place[which] = every["place"]
+    # What may share a window is sorted; no other string can hold the windows of the rest.
     order = np.argsort(of_hash, kind="stable")
+    order = order[may_share(strings, size, place, of_hash)[order]]
     edge = _cuts(of_hash[order])
-    firsts: list[np.ndarray | None] = [None] * len(strings)
+    count = size - WINDOW + 1
+    begin = np.cumsum(count) - count
+    firsts = np.repeat(least, count)  # of each window the first document
     batch: list[np.ndarray] = []
 
     def settle() -> None:
         mine = np.concatenate(batch)
-        for i, windows in zip(mine, first_documents([strings[i] for i in mine], least[mine]), strict=True):
-            firsts[i] = windows
+        firsts[_ranges(begin[mine], count[mine])] = _first_documents([strings[i] for i in mine], least[mine])
         batch.clear()
 
     held = 0
     for a, b in zip(edge[:-1], edge[1:], strict=True):
-        if b - a > 1:
-            batch.append(order[a:b])
-            held += int(size[order[a:b]].sum())
-            if held >= BATCH_SYMBOLS:
-                settle()
-                held = 0
+        batch.append(order[a:b])
+        held += int(size[order[a:b]].sum())
+        if held >= BATCH_SYMBOLS:
+            settle()
+            held = 0
     if batch:
         settle()
     out, at = [], 0
     for r, m in zip(rows, meta, strict=True):
-        found = []
-        for number, mine, i in zip(m["number"].tolist(), m["least"].tolist(), which[at : at + len(m)], strict=True):
-            if firsts[i] is None:
-                if least[i] < mine:
-                    found.append((number, 0, int(size[i]) - WINDOW))
-                continue
-            earlier = np.flatnonzero(firsts[i] < mine)
-            if len(earlier):
-                cut = np.flatnonzero(np.diff(earlier) > 1)
-                begins, ends = np.append(earlier[0], earlier[cut + 1]), np.append(earlier[cut], earlier[-1])
-                found += [(number, int(x), int(y)) for x, y in zip(begins, ends, strict=True)]
+        mine = which[at : at + len(m)]
         at += len(m)
-        if found:
-            runs = np.array(found, dtype=np.uint32)
-            out.append((r["part"], r["chunk"], _RUNS, _pack(runs[:, 0].copy()), _pack(runs[:, 1:].astype(np.uint8)), b"", b""))
+        many = count[mine]
+        earlier = np.zeros(int(many.sum()) + 2, dtype=np.int8)  # a window that is not earlier on both sides
+        earlier[1:-1] = firsts[_ranges(begin[mine], many)] < np.repeat(m["least"], many)
+        string = np.repeat(np.arange(len(m)), many)
+        parted = np.cumsum(many)[:-1]
+        # Where a string begins a run begins anew.
+        opens = earlier[1:-1] > earlier[:-2]
+        opens[parted] = earlier[parted + 1] > 0
+        closes = earlier[1:-1] > earlier[2:]
+        closes[parted - 1] = earlier[parted] > 0
+        first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+        if len(first):
+            string = string[first]
+            zero = (np.cumsum(many) - many)[string]
+            runs = np.stack([first - zero, last - zero], axis=1).astype(np.uint8)
+            out.append((r["part"], r["chunk"], _RUNS, _pack(m["number"][string]), _pack(runs), b"", b""))
     return out
 
 

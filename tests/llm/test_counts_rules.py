@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models
 
@@ -140,6 +141,42 @@ def test_merged_transforms_give_shared_prefixes_and_intervals():
         assert len(set(interval.tolist())) == len({tuple(suffixes[k]) for k in alive})
 
 
+def test_strings_on_a_common_minimizer_by_chance_are_not_sorted(monkeypatch):
+    rng = random.Random(12)
+    word = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    texts = [word(rng.randint(0, 60)) + b"the common sixteen" + word(rng.randint(0, 60)) for _ in range(300)]
+    texts += [x[rng.randint(0, 40) :] + word(rng.randint(0, 30)) for x in rng.choices(texts[:40], k=40)]
+    texts += [word(rng.randint(0, 30)) + x[: len(x) - rng.randint(0, 40)] for x in rng.choices(texts[:40], k=40)]
+    sorted_symbols = []
+    shard = repeats.shard_of
+    monkeypatch.setattr(repeats, "shard_of", lambda symbols, depth: sorted_symbols.append(len(symbols)) or shard(symbols, depth))
+    chunks = [pa.table({"chunk": [k], "row": [k], "id": [k], "text": [t]}) for k, t in enumerate(texts)]
+    sent = pa.concat_tables([repeats._send_minimizers(1, 8)(c) for c in chunks])
+    shared = repeats._find_shared(1 << 30)(sent).to_pylist()
+    of = {r["chunk"]: pa.Table.from_pylist([r], sent.schema) for r in shared}
+    strings = pa.concat_tables([repeats._send_strings(1, 1)(c, of.get(k, sent.slice(0, 0))) for k, c in enumerate(chunks)])
+    back = repeats._resolve(strings).to_pylist() + shared
+    for (k, kept, spans), chunk in zip(cut([(i, t.decode()) for i, t in enumerate(texts)]), chunks, strict=True):
+        mine = pa.Table.from_pylist([r for r in back if r["chunk"] == k], sent.schema)
+        got = repeats._cut(1, False)(chunk, mine).to_pylist()[0]
+        assert (got["kept"], tuple(got["spans"])) == (kept, spans)
+    in_bucket = sum(int.from_bytes(r["a"][:8], "little") for r in strings.to_pylist())
+    assert sorted_symbols and sum(sorted_symbols) < 0.6 * in_bucket
+
+
+@pytest.mark.parametrize("place", [0, 17, 34])
+def test_strings_that_share_one_window_may_share(place):
+    rng = random.Random(place)
+    word = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    window = word(50)
+    left = word(34 - place)
+    strings = [window, left + window, window + word(place), left[1:] + window + word(place // 2), word(84), word(84)]
+    places = np.array([place, 34, place, place + len(left[1:]), 34, 34])
+    size = np.array([len(s) for s in strings])
+    got = repeats.may_share(strings, size, places, np.full(len(strings), 7, np.uint64))
+    assert got.tolist() == [True] * 4 + [False] * 2
+
+
 def test_windows_shared_between_shards():
     rng = random.Random(3)
     for size in (60, 200, 1 << 18):
