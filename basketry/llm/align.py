@@ -104,15 +104,21 @@ class Aligner:
         written += [f"{i}{end}" for i in range(len(self.b_bytes)) for end in (",", ";", "")]
         self.strings = pa.array(written, pa.string())
 
-    def tokens(self, text: str | None) -> tuple[bytes, bytes]:
-        """Ids of both, or none if the text is null or empty or either's bytes are not the text's."""
-        if not text or MARK in text:
-            return b"", b""
-        try:
-            # The bytes of a word's A parts are the word's by the way they are cut.
-            return self.a.encode(" " + text), self.b.encode(text)
-        except Unfaithful:
-            return b"", b""
+    def tokens(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """Ids of both, or none if a text is null or empty or either's bytes are not the text's."""
+        found = [(b"", b"")] * len(texts)
+        some = [i for i, t in enumerate(texts) if t and MARK not in t]
+        of_b = {}
+        for i in some:
+            try:
+                of_b[i] = self.b.encode(texts[i])
+            except Unfaithful:
+                pass
+        # The bytes of a word's A parts are the word's by the way they are cut.
+        of_a = self.a.encode_all([" " + texts[i] for i in of_b])
+        for (i, b), a in zip(of_b.items(), of_a, strict=True):
+            found[i] = a, b
+        return found
 
 
 def _lists(found: list[bytes]) -> pa.ListArray:
@@ -133,7 +139,7 @@ def _ends(ids: pa.LargeListArray, sizes: pa.Array, side: str) -> pa.Table:
 def align_slice(aligner: Aligner, texts: list[str | None]) -> dict[str, pa.Array]:
     """Counts, groups and folded links of some documents."""
     n = len(texts)
-    found = [aligner.tokens(t) for t in texts]
+    found = aligner.tokens(texts)
     lists = [_lists([x[k] for x in found]) for k in (0, 1)]
     (a, a_ids), (b, b_ids) = (
         _ends(ids, sizes, side) for ids, sizes, side in zip(lists, (aligner.a_sizes, aligner.b_sizes), "ab")

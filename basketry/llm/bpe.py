@@ -5,7 +5,9 @@ flat lists: the boundaries of its parts, one byte each at first, and the rank of
 pair of neighbours. The least rank is looked for again and again (of equal ones the leftmost), the
 boundary inside that pair is deleted, and the ranks on both sides are refreshed. Scanning flat
 lists beats a heap for the few bytes of a word; words over ``LONG_WORD`` bytes take a heap, which
-keeps a text without blanks from costing the square of its length. A rule is known by the bytes it makes
+keeps a text without blanks from costing the square of its length. Words that are new in many texts
+(``Memo.join``) are merged side by side: their parts lie in one array, and in each round every word
+joins its leftmost pair of least rank. A rule is known by the bytes it makes
 and the length of its left part, so no two parts join unless the file has that very rule.
 
 The tables come from a tokenizer file in JSON (its path is a parameter); the driver reads it,
@@ -18,6 +20,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -48,6 +51,19 @@ NARROW = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}--[NEW]]+| ?[\p{N}--[NEW]]+| ?(?:[^\s\p{L}\p{N}]|[NEW])+|\s+(?!\S)|\s+"
 )
 
+# The same pattern in spelled-out classes of letters, digits and white space.
+SPELLED = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+
+
+def spelled_words():
+    """``PATTERN`` for texts without characters past U+FFFF; ``re`` looks its classes up in tables."""
+    every = "".join(map(chr, range(0x10000)))
+    spelled = SPELLED
+    for name, kind in (("L", r"\p{L}+"), ("N", r"\p{N}+"), ("S", r"\s+")):
+        runs = [f"\\u{ord(x[0]):04x}-\\u{ord(x[-1]):04x}" for x in regex.findall(kind, every)]
+        spelled = spelled.replace(f"{{{name}}}", "".join(runs))
+    return re.compile(spelled).findall
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -151,6 +167,89 @@ class Memo(dict):
         self[word] = found
         return found
 
+    def join(self, texts: list[list[str]], work_all) -> list[bytes | None]:
+        """Ids of each text's words; None for a text with a word that has none.
+
+        ``work_all`` takes the words that are not remembered, all at once, each once.
+        """
+        found = [list(map(self.get, words)) for words in texts]
+        gaps = [[i for i, ids in enumerate(each) if ids is None] for each in found]
+        new = dict.fromkeys(words[i] for words, at in zip(texts, gaps, strict=True) for i in at)
+        for word in new:
+            new[word] = self.old.get(word)
+        unknown = [word for word, ids in new.items() if ids is None]
+        new.update(zip(unknown, work_all(unknown), strict=True))
+        for each, words, at in zip(found, texts, gaps, strict=True):
+            for i in at:
+                each[i] = new[words[i]]
+        for word, ids in new.items():
+            if ids is not None and len(word) <= MEMO_WORD:
+                if len(self) >= MEMO:
+                    self.old = dict(self)
+                    self.clear()
+                self[word] = ids
+        lost = [any(each[i] is None for i in at) for each, at in zip(found, gaps, strict=True)]
+        return [None if gone else b"".join(each) for gone, each in zip(lost, found, strict=True)]
+
+
+class Rules:
+    """Merge rules as arrays: the key of a pair of ids, in order, its rank, and the id that it makes."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        id_of, lefts = vocabulary.id_of, vocabulary.lefts
+        self.n = len(vocabulary.bytes_of)
+        self.byte_ids = np.array([id_of[bytes([b])] for b in range(256)], np.int64)
+        rules = [
+            (id_of[part[: lefts[rank]]] * self.n + id_of[part[lefts[rank] :]], rank, id_of[part])
+            for part, rank in vocabulary.ranks.items()
+        ]
+        rules.sort()
+        self.keys, self.ranks, made = np.array(rules or [(-1, 0, 0)], np.int64).T.copy()
+        self.made = np.zeros(int(self.ranks.max()) + 1, np.int64)
+        self.made[self.ranks] = made
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.n + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], NO_RANK)
+
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, none of them empty."""
+        size = np.array([len(w) for w in words], np.int64)
+        part = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        owner = np.repeat(np.arange(len(words)), size)
+        rank = np.full(len(part), NO_RANK)  # of the pair that begins here
+        inside = np.flatnonzero(owner[:-1] == owner[1:])
+        rank[inside] = self.rank(part[inside], part[inside + 1])
+        merged = []
+        while len(part):
+            least = np.minimum.reduceat(rank, np.cumsum(size) - size)
+            if (over := least == NO_RANK).any():
+                gone = np.repeat(over, size)
+                merged.append((owner[gone], part[gone]))
+                owner, part, rank = owner[~gone], part[~gone], rank[~gone]
+                size, least = size[~over], least[~over]
+                if not len(part):
+                    break
+            hit = np.flatnonzero(rank == np.repeat(least, size))
+            at = hit[np.concatenate([[True], owner[hit[1:]] != owner[hit[:-1]]])]
+            part[at] = self.made[least]
+            kept = np.ones(len(part), bool)
+            kept[at + 1] = False
+            owner, part, rank = owner[kept], part[kept], rank[kept]
+            size = size - 1
+            at = at - np.arange(len(at))  # a part went in each word before
+            after = np.minimum(at + 1, len(part) - 1)
+            follows = (after > at) & (owner[after] == owner[at])
+            rank[at] = np.where(follows, self.rank(part[at], part[after]), NO_RANK)
+            at = at[at > 0]
+            at = at[owner[at - 1] == owner[at]]
+            rank[at - 1] = self.rank(part[at - 1], part[at])
+        owner, part = (np.concatenate(x) for x in zip(*merged, strict=True)) if merged else (owner, part)
+        ids = part[np.argsort(owner, kind="stable")].astype("<u4").tobytes()
+        ends = (np.cumsum(np.bincount(owner, minlength=len(words))) * 4).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
 
 class Bpe:
     """Encodes and decodes texts; one per task."""
@@ -158,10 +257,12 @@ class Bpe:
     def __init__(self, vocabulary: Vocabulary, *, special: bool = True):
         self.v = vocabulary
         self.words = regex.compile(PATTERN).findall
+        self.spelled_words = self.rules = None  # made when first needed
         self.narrow = None
         names = sorted(vocabulary.special, key=lambda s: (-len(s), s)) if special else []
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         rare = regex.compile(f"[{vocabulary.newer}]").search if vocabulary.newer else None
+        self.rare = rare
         self.memo = Memo(self.word, rare)
 
     def boundaries(self, word: bytes) -> list[int]:
@@ -229,6 +330,29 @@ class Bpe:
                 self.narrow = regex.compile(NARROW.replace("NEW", self.v.newer), regex.V1).findall
             return b"".join(map(self.word, self.narrow(text)))
 
+    def _words(self, words: list[str]) -> list[bytes | None]:
+        """Ids of words; None where one holds a letter that the tokenizer's tables do not have."""
+        raw = [w.encode("utf-8", "replace") for w in words]
+        short = [i for i, w in enumerate(raw) if len(w) <= LONG_WORD]
+        found: list[bytes | None] = [None] * len(words)
+        for i, ids in zip(short, self.rules.merge([raw[i] for i in short]), strict=True):
+            found[i] = ids
+        for i, word in enumerate(words):
+            if self.rare and not word.isascii() and self.rare(word):
+                found[i] = None
+            elif found[i] is None:
+                found[i] = self.word(word)
+        return found
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, none of which holds a special token that counts."""
+        if self.rules is None:
+            self.rules, self.spelled_words = Rules(self.v), spelled_words()
+        wide = (not t.isascii() and len(t.encode("utf-16-le", "surrogatepass")) > 2 * len(t) for t in texts)
+        words = [self.words(t) if w else self.spelled_words(t) for t, w in zip(texts, wide)]
+        found = self.memo.join(words, self._words)
+        return [self._plain(t) if ids is None else ids for t, ids in zip(texts, found, strict=True)]
+
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers; none for null."""
         if not text:

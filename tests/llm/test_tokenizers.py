@@ -122,6 +122,35 @@ def test_memo_turns_over(vocabulary, library, monkeypatch):
         assert len(mine.memo) <= 5 and len(mine.memo.old) <= 5
 
 
+def test_new_words_are_merged_side_by_side(vocabulary, plain_library, monkeypatch):
+    def alone(self, word):
+        raise AssertionError("a short word merged by itself")
+
+    texts = [t for t in [*HARD[4:], *scrawl(300, 11), prose(500, 12)] if t]
+    want = [plain_library.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = bpe.Bpe(vocabulary, special=False)
+    newer = [bool(encoder.rare and encoder.rare(t)) for t in texts]
+    got = encoder.encode_all(texts)
+    assert [list(struct.unpack(f"<{len(x) // 4}I", x)) for x in got] == want
+    monkeypatch.setattr(bpe.Bpe, "word", alone)
+    monkeypatch.setattr(bpe, "MEMO", 7)
+    encoder = bpe.Bpe(vocabulary, special=False)
+    short = [k for k, t in enumerate(texts) if not newer[k] and max(map(len, encoder.words(t))) < 60]
+    assert len(short) > 50
+    for _ in range(2):  # the second time from the memo
+        assert encoder.encode_all([texts[k] for k in short]) == [got[k] for k in short]
+    assert encoder.encode_all([]) == []
+
+
+def test_spelled_out_classes_cut_the_same_words():
+    every = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF)
+    rng = random.Random(5)
+    cut, spelled = bpe.regex.compile(bpe.PATTERN).findall, bpe.spelled_words()
+    texts = [every, *("a".join(every[k : k + 90]) for k in range(0, len(every), 90))]
+    texts += ["".join(rng.choices(every, k=60)) for _ in range(500)]
+    assert all(cut(t) == spelled(t) for t in [*texts, "  \n\n a", " \t", "don't 'll"])
+
+
 def test_bpe_of_odd_rows(spark, odd, empty, library):
     tokens = bpe.encode_texts(spark, odd, BPE, keep=tuple(odd.columns))
     found = bpe.decode_ids(spark, tokens, BPE).select("row.doc_id", "row.row", "ids", "decoded").collect()
