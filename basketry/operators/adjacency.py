@@ -2,8 +2,9 @@
 
 ``lead()`` over a sequence puts all of it into one task. Here copies of a row are folded
 into one with a count, so that no order key repeats, and rows are range partitioned on
-(sequence, order), which cuts a long sequence wherever it must. ``lead()`` runs inside each
-range; the pairs across two ranges come from the first and last row of every range.
+(sequence, order), which cuts a long sequence wherever it must. ``lead()`` runs inside the piece
+of a sequence that lies in one range, so pieces spread evenly and are sorted by their sequence
+first; the pairs across two ranges come from the first and last row of every piece.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_END = "struct<part: int, side: int, sequence: string, state: string>"
+_END = "struct<part: int, side: int, state: string>"
 
 
 def _pair(where: Column, source: str, target: str, n: Column) -> Column:
@@ -24,10 +25,11 @@ def _pair(where: Column, source: str, target: str, n: Column) -> Column:
 
 
 def _end(where: Column, side: int) -> Column:
-    """The first (0) or last (1) row of a range where the condition holds, else NULL."""
-    end = F.struct(F.col("part"), F.lit(side), F.col("sequence"), F.col("state")).cast(_END)
-    nothing = [F.lit(None).cast("string").alias(c) for c in ("sequence", "source", "target")]
-    return F.when(where, F.struct(*nothing, F.lit(0).cast("bigint").alias("n"), end.alias("end")))
+    """The first (0) or last (1) row of a piece where the condition holds, else NULL."""
+    end = F.struct(F.col("part"), F.lit(side), F.col("state")).cast(_END)
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("source", "target")]
+    n = F.lit(0).cast("bigint").alias("n")
+    return F.when(where, F.struct(F.col("sequence"), *nothing, n, end.alias("end")))
 
 
 def adjacent_pairs(
@@ -42,7 +44,7 @@ def adjacent_pairs(
     Rows without a sequence or a state are left out; rows equal in every order column follow
     one another by state. The same combination may occur on several rows: group the result.
     With ``keep_sequence=False`` the sequence is NULL and the counts are over all sequences.
-    Nothing runs while the plan is built: pairs inside a range and the ends of the ranges come
+    Nothing runs while the plan is built: pairs inside a piece and the ends of the pieces come
     out of one pass, so both see the same ranges.
     """
     keys = [f"order_{i}" for i in range(len(order))]
@@ -59,33 +61,33 @@ def adjacent_pairs(
     ranged = folded.repartitionByRange("sequence", *keys, "state").withColumn(
         "part", F.spark_partition_id()
     )
-    inside = Window.partitionBy("part").orderBy("sequence", *keys, "state")
+    inside = Window.partitionBy("sequence", "part").orderBy(*keys, "state")
     steps = ranged.select(
         "part",
         "sequence",
         "state",
         "copies",
-        F.lead("sequence").over(inside).alias("next_sequence"),
         F.lead("state").over(inside).alias("next_state"),
-        F.lag("sequence").over(inside).isNull().alias("first"),
+        F.lag("state").over(inside).isNull().alias("first"),
     )
     found = F.array(
-        _pair(F.col("next_sequence") == F.col("sequence"), "state", "next_state", F.lit(1)),
+        _pair(F.col("next_state").isNotNull(), "state", "next_state", F.lit(1)),
         _pair(F.col("copies") > 1, "state", "state", F.col("copies") - 1),
         _end(F.col("first"), 0),
-        _end(F.col("next_sequence").isNull(), 1),
+        _end(F.col("next_state").isNull(), 1),
     )
     entries = steps.select(F.inline(F.filter(found, lambda e: e.isNotNull())))
     if not keep_sequence:
-        entries = entries.withColumn("sequence", F.lit(None).cast("string"))
-    # one group has no source: the ends, two per range
+        ends_only = F.when(F.col("source").isNull(), F.col("sequence"))
+        entries = entries.withColumn("sequence", ends_only)
+    # a sequence's group without a source: its ends, two per range that holds some of it
     counted = entries.groupBy("sequence", "source", "target").agg(
         F.sum("n").alias("n"), F.sort_array(F.collect_list("end")).alias("ends")
     )
 
     def bridge(left: Column, right: Column) -> Column:
-        meets = (left["side"] == 1) & (left["sequence"] == right["sequence"])
-        kept = left["sequence"] if keep_sequence else F.lit(None).cast("string")
+        meets = (left["side"] == 1) & right["part"].isNotNull()  # zip_with pads the last
+        kept = F.col("sequence") if keep_sequence else F.lit(None).cast("string")
         names = ("sequence", "source", "target", "n")
         values = (kept, left["state"], right["state"], F.lit(1).cast("bigint"))
         return F.when(meets, F.struct(*[v.alias(c) for c, v in zip(names, values)]))

@@ -422,3 +422,17 @@ def test_checks_on_an_empty_table(spark):
     empty = spark.createDataFrame([], "id string")
     report = quality.run_checks({"t": empty}, [Check("t", "id", "not_null")])
     assert rows(report) == [("t", "id", "not_null", "error", 0, "pass")]
+
+
+def test_pieces_of_a_sequence_are_dealt_and_sorted_by_the_sequence(spark, capsys):
+    rows = [(f"s{k % 3}", k // 3, "ab"[k % 2]) for k in range(30)] + [("hot", k, "abc"[k % 3]) for k in range(300)]
+    df = spark.createDataFrame(rows, "sequence string, place int, state string").repartition(4)
+    pairs = adjacent_pairs(df, "sequence", ["place"], "state")
+    pairs.explain()
+    window = next(x for x in capsys.readouterr().out.splitlines() if "windowspecdefinition" in x)
+    assert window.split("windowspecdefinition(")[1].startswith("sequence")
+    got = {(r["sequence"], r["source"], r["target"]): 0 for r in pairs.collect()}
+    for r in pairs.collect():
+        got[r["sequence"], r["source"], r["target"]] += r["n"]
+    assert got[("hot", "a", "b")] + got[("hot", "b", "c")] + got[("hot", "c", "a")] == 299
+    assert sum(got.values()) == 299 + 3 * 9
