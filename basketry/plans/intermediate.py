@@ -103,13 +103,10 @@ def locations(stg_orders: DataFrame, stg_customers: DataFrame, run_ts: datetime)
     )
 
 
-def addresses(stg_orders: DataFrame, stg_customers: DataFrame, run_ts: datetime) -> DataFrame:
-    """Distinct street texts with the city, state and country of the ordering customer.
+def street_places(stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
+    """Distinct street texts with the place of the ordering customer, as the text under its key.
 
-    One join and one distinct: both street columns of an order travel in one row. The
-    location key is a function of the customer's untrimmed city, state and country,
-    whether or not such a location row exists. Both keys are made of the street and the text
-    under the location key, so the distinct is over these, and keys are made after it.
+    One join and one distinct: both street columns of an order travel in one row.
     """
     places = stg_customers.select("customer_id", key_text("city", "state", "country").alias("place"))
     streets = stg_orders.select("customer_id", "shipping_address", "billing_address")
@@ -120,12 +117,21 @@ def addresses(stg_orders: DataFrame, stg_customers: DataFrame, run_ts: datetime)
         )
         .filter(F.col("street_address").isNotNull())
         .distinct()
-        .select(
-            surrogate_key("street_address", "place").alias("address_id"),
-            "street_address",
-            F.md5("place").alias("location_id"),
-        )
-        .withColumn("created_at", _run_timestamp(run_ts))
+    )
+
+
+def addresses(stg_orders: DataFrame, stg_customers: DataFrame, run_ts: datetime) -> DataFrame:
+    """Distinct street texts with the city, state and country of the ordering customer.
+
+    The location key is a function of the customer's untrimmed city, state and country,
+    whether or not such a location row exists. Both keys are made of the street and the text
+    under the location key, so the distinct is over these, and keys are made after it.
+    """
+    return street_places(stg_orders, stg_customers).select(
+        surrogate_key("street_address", "place").alias("address_id"),
+        "street_address",
+        F.md5("place").alias("location_id"),
+        _run_timestamp(run_ts).alias("created_at"),
     )
 
 
@@ -342,13 +348,19 @@ def order_items(
     stg_orders: DataFrame,
     products: DataFrame,
     stg_reviews: DataFrame,
+    days: DataFrame | None = None,
+    goods: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct items of known products, with customer, product groups and review score.
 
-    Every side is made distinct before it joins, so the result is distinct by itself:
-    copies of an item are folded in the map tasks, however many there are, and a plan
-    that needs no review score drops that join altogether. Orders and reviews join first, while
+    Items are dealt out once for their first join and made distinct after it, where they lie:
+    every other side is distinct by itself, so the result is too, and a plan that needs no
+    review score drops that join altogether. Orders and reviews join first, while
     rows are narrow and lie by order; the product's groups, wide as they are, come last.
+
+    Rows that a reader would join on come along where items lie anyway: ``days`` (order id and
+    more) with the orders; ``goods`` (product id and more) with the product's groups, which then
+    come first, so that the items end up lying by order.
     """
     items = stg_order_items.select(
         "order_item_id",
@@ -358,28 +370,39 @@ def order_items(
         "unit_price",
         "total_price",
         "created_at",
-    ).distinct()
+    ).filter(F.col("product_id").isNotNull())
     groups = products.select("product_id", "category_id", "subcategory_id", "brand_id").distinct()
     buyers = stg_orders.select("order_id", "customer_id").distinct()
-    return (
-        items.filter(F.col("product_id").isNotNull())
-        .join(buyers, "order_id", "left")
-        .join(latest_review_scores(stg_reviews), ["order_id", "product_id"], "left")
-        .join(groups, "product_id")
-        .select(
-            "order_item_id",
-            "order_id",
-            "product_id",
-            "customer_id",
-            "quantity",
-            "unit_price",
-            "total_price",
-            "category_id",
-            "subcategory_id",
-            "brand_id",
-            "review_score",
-            "created_at",
-        )
+
+    def by_order(rows: DataFrame) -> DataFrame:
+        rows = rows.join(buyers, "order_id", "left")
+        return rows.distinct() if goods is None else rows
+
+    def by_product(rows: DataFrame) -> DataFrame:
+        rows = rows.join(groups, "product_id")
+        return rows if goods is None else rows.distinct().join(goods, "product_id")
+
+    if goods is not None:
+        items = by_product(items)
+    rows = by_order(items).join(latest_review_scores(stg_reviews), ["order_id", "product_id"], "left")
+    if days is not None:
+        rows = rows.join(days, "order_id")
+    if goods is None:
+        rows = by_product(rows)
+    return rows.select(
+        "order_item_id",
+        "order_id",
+        "product_id",
+        "customer_id",
+        "quantity",
+        "unit_price",
+        "total_price",
+        "category_id",
+        "subcategory_id",
+        "brand_id",
+        "review_score",
+        "created_at",
+        *[c for more in (days, goods) if more is not None for c in more.columns if not c.endswith("_id")],
     )
 
 
@@ -387,10 +410,10 @@ _ORDER_GROUP = [
     "order_id",
     "customer_id",
     "order_date",
-    "status_id",
-    "payment_method_id",
-    "shipping_address_id",
-    "billing_address_id",
+    "status",
+    "payment_method",
+    "shipping_key",
+    "billing_key",
     "total_amount",
     "shipping_cost",
     "created_at",
@@ -405,6 +428,7 @@ def orders(
     stg_customers: DataFrame,
     mode: str = "faithful",
     destination: bool = False,
+    people: DataFrame | None = None,
 ) -> DataFrame:
     """Orders with lookup keys, address keys, item totals and review totals.
 
@@ -414,8 +438,14 @@ def orders(
     items and reviews are never multiplied out. ``corrected`` counts each item once and
     takes the address of the ordering customer, without any address join.
 
+    ``address_book`` is the published table of addresses or, to the same effect, ``street_places``.
+    Keys that are no sooner needed are made after the grouping: what rows are dealt out with is the
+    text under them, which tells rows apart as the keys do and is smaller.
+
     With ``destination`` the street and location key of the shipping address come along (the
-    address key decides both), so that no reader has to look the address up again.
+    address key decides both), so that no reader has to look the address up again. Rows of ``people``
+    (customer id and more) that a reader would join on come along too: orders then lie by customer
+    when they are grouped. Copies of such a row are folded and counted, and unfolded at the end.
     """
     if mode not in ("faithful", "corrected"):
         raise ValueError(f"unknown mode {mode}")
@@ -440,21 +470,22 @@ def orders(
         "order_id",
         "customer_id",
         "order_date",
-        key_or_null(F.col("status")).alias("status_id"),
-        key_or_null(F.col("payment_method")).alias("payment_method_id"),
+        "status",
+        "payment_method",
         "shipping_address",
         "billing_address",
         "total_amount",
         "shipping_cost",
         F.col("loaded_at").alias("created_at"),
     )
+    published = mode == "faithful" and "address_id" in address_book.columns
     if mode == "faithful":
+        found = ["address_id", "location_id"] if published else ["place"]
         for role in ("shipping", "billing"):
             keyed = keyed.join(
                 address_book.select(
                     F.col("street_address").alias(f"{role}_address"),
-                    F.col("address_id").alias(f"{role}_address_id"),
-                    F.col("location_id").alias(f"{role}_location_id"),
+                    *[F.col(c).alias(f"{role}_{c}") for c in found],
                 ),
                 f"{role}_address",
                 "left",
@@ -467,52 +498,66 @@ def orders(
             .agg(F.min(F.struct("city", "state", "country")).alias("place"))
         )
         keyed = keyed.join(places, "customer_id", "left")
+        place = key_text(*[F.col(f"place.{c}") for c in ("city", "state", "country")])
         for role in ("shipping", "billing"):
             known = F.col(f"{role}_address").isNotNull() & F.col("place").isNotNull()
-            keyed = keyed.withColumn(
-                f"{role}_address_id",
-                F.when(
-                    known,
-                    surrogate_key(
-                        F.col(f"{role}_address"),
-                        F.col("place.city"),
-                        F.col("place.state"),
-                        F.col("place.country"),
-                    ),
-                ),
-            )
-        keyed = keyed.withColumn(
-            "shipping_location_id",
-            F.when(
-                F.col("shipping_address_id").isNotNull(),
-                surrogate_key("place.city", "place.state", "place.country"),
-            ),
-        )
+            keyed = keyed.withColumn(f"{role}_place", F.when(known, place))
         units = F.col("units")
+    for role in ("shipping", "billing"):
+        street, place = F.col(f"{role}_address"), F.col(f"{role}_{'address_id' if published else 'place'}")
+        key = place if published else F.when(place.isNotNull(), key_text(street, place))
+        keyed = keyed.withColumn(f"{role}_key", key)
     total_items = F.sum(units) if mode == "faithful" else F.max(units)
-    carried = []
+
+    def key_of(text: str) -> Column:
+        return F.col(text) if published else F.md5(text)
+
+    group = _ORDER_GROUP
+    location = "shipping_location_id" if published else "shipping_place"
     if destination:
-        known = F.col("shipping_address_id").isNotNull()
+        known = F.col("shipping_key").isNotNull()
         keyed = keyed.withColumn("shipping_street", F.when(known, F.col("shipping_address")))
-        carried = ["shipping_street", "shipping_location_id"]
-    return (
+        group = [*group, "shipping_street", location]
+        if not published:  # the two make the key
+            group.remove("shipping_key")
+    described = []
+    if people is not None:
+        described = [c for c in people.columns if c != "customer_id"]
+        folded = people.groupBy(*people.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        keyed = keyed.join(folded, "customer_id")
+        group = [*group, *described, "_copies"]
+    shipping = F.md5(key_text("shipping_street", location)) if "shipping_key" not in group else key_of("shipping_key")
+    grouped = (
         keyed.join(items, "order_id", "left")
         .join(reviews, "order_id", "left")
         # grouping keys include the join key: no shuffle of its own
-        .groupBy(*_ORDER_GROUP, *carried)
+        .groupBy(*group)
         .agg(
             F.coalesce(F.max("products"), F.lit(0).cast("bigint")).alias("unique_products"),
             total_items.alias("total_items"),
             F.coalesce(F.bool_or(F.col("scores") > 0), F.lit(False)).alias("has_review"),
             mean_of(F.max("score_sum"), F.max("scores")).alias("avg_review_score"),
         )
-        .select(
-            *_ORDER_GROUP[:-1],
-            "unique_products",
-            "total_items",
-            "has_review",
-            "avg_review_score",
-            "created_at",
-            *carried,
-        )
+    )
+    if people is not None:
+        grouped = grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return grouped.select(
+        "order_id",
+        "customer_id",
+        "order_date",
+        key_or_null(F.col("status")).alias("status_id"),
+        key_or_null(F.col("payment_method")).alias("payment_method_id"),
+        (F.when(F.col("shipping_street").isNotNull(), shipping) if destination else shipping).alias(
+            "shipping_address_id"
+        ),
+        key_of("billing_key").alias("billing_address_id"),
+        "total_amount",
+        "shipping_cost",
+        "unique_products",
+        "total_items",
+        "has_review",
+        "avg_review_score",
+        "created_at",
+        *(["shipping_street", key_of(location).alias("shipping_location_id")] if destination else []),
+        *described,
     )

@@ -360,6 +360,30 @@ def fct_customer_reviews(
 # sales facts
 
 
+def described_goods(products: DataFrame, categories: DataFrame, brands: DataFrame) -> DataFrame:
+    """Names around a product, at product size."""
+    return (
+        products.select("product_id", "product_name", "category_id", "brand_id")
+        .join(categories.select("category_id", "category_name"), "category_id")
+        .join(brands.select("brand_id", "brand_name"), "brand_id")
+        .select("product_id", "product_name", "category_name", "brand_name")
+    )
+
+
+def named_customers(customers: DataFrame, locations: DataFrame) -> DataFrame:
+    """E-mail and place of the customers with a known location."""
+    return (
+        customers.select("customer_id", "email", "location_id")
+        .join(locations.select("location_id", "city", "state"), "location_id")
+        .select(
+            "customer_id",
+            "email",
+            F.col("city").alias("customer_city"),
+            F.col("state").alias("customer_state"),
+        )
+    )
+
+
 def fct_order_details(
     orders: DataFrame,
     order_items: DataFrame,
@@ -377,27 +401,13 @@ def fct_order_details(
 
     ``orders`` carry the street and location of their destination, so the address book is not
     met again. Dimensions are widened at their own size, orders get theirs before they meet the
-    items, and the items join once per key. Small sides are broadcast by their measured
+    items, and the items join once per key. ``orders`` may carry the names of their customer
+    (``named_customers``), ``order_items`` those of their product (``described_goods``). Small sides are broadcast by their measured
     size only.
     """
-    place = locations.select("location_id", "city", "state")
-    people = (
-        customers.select("customer_id", "email", "location_id")
-        .join(place, "location_id")
-        .select(
-            "customer_id",
-            "email",
-            F.col("city").alias("customer_city"),
-            F.col("state").alias("customer_state"),
-        )
-    )
-    goods = (
-        products.select("product_id", "product_name", "category_id", "brand_id")
-        .join(categories.select("category_id", "category_name"), "category_id")
-        .join(brands.select("brand_id", "brand_name"), "brand_id")
-        .select("product_id", "product_name", "category_name", "brand_name")
-    )
-    cities = place.select(
+    if "email" not in orders.columns:
+        orders = orders.join(named_customers(customers, locations), "customer_id")
+    cities = locations.select(
         F.col("location_id").alias("shipping_location_id"),
         F.col("city").alias("shipping_city"),
         F.col("state").alias("shipping_state"),
@@ -414,8 +424,10 @@ def fct_order_details(
             "shipping_cost",
             F.col("total_amount").alias("order_total"),
             "created_at",
+            "email",
+            "customer_city",
+            "customer_state",
         )
-        .join(people, "customer_id")
         .join(statuses.select("status_id", "status_name"), "status_id", "left")
         .join(
             payments.select("payment_method_id", F.col("method_name").alias("payment_method")),
@@ -424,9 +436,21 @@ def fct_order_details(
         )
         .join(cities, "shipping_location_id", "left")
     )
+    if "product_name" not in order_items.columns:
+        order_items = order_items.join(
+            described_goods(products, categories, brands).withColumnRenamed("product_id", "_id"),
+            F.col("product_id") == F.col("_id"),
+        )
     items = order_items.select(
-        "order_id", "product_id", "quantity", "unit_price", F.col("total_price").alias("item_total")
-    ).join(goods, "product_id")
+        "order_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+        F.col("total_price").alias("item_total"),
+        "product_name",
+        "category_name",
+        "brand_name",
+    )
     scores = reviews.select("order_id", "product_id", "review_score")
     return (
         heads.join(items, "order_id")

@@ -288,6 +288,48 @@ def test_published_layers_give_the_same_marts(spark, tmp_path):
     assert spark.table("dim_products").count() == 2
 
 
+def copied_rows(spark):
+    """Copies of a customer, a product, an item and an order; a street in two cities, one unknown customer."""
+    return fx.warehouse(
+        spark,
+        customers=[fx.customer("c1"), fx.customer("c1"), fx.customer("c2", city="Boston", state="MA")],
+        products=[fx.product("p1"), fx.product("p1"), fx.product("p2")],
+        categories=[fx.CATEGORY],
+        subcategories=[fx.SUBCATEGORY],
+        orders=[
+            fx.order("o1", shipping_address="1 High St"),
+            fx.order("o1", shipping_address="1 High St"),
+            fx.order("o2", "c2", shipping_address="1 High St", billing_address=None),
+            fx.order("o3", "gone"),
+        ],
+        order_items=[
+            *[fx.item("i1")] * 3,
+            fx.item("i2", "o2", "p2"),
+            fx.item("i3", "o3"),
+            fx.item("i4", "o4"),
+            fx.item("i5", product_id=None),
+        ],
+        reviews=[fx.review("r1"), fx.review("r2")],
+    )
+
+
+def test_copies_multiply_the_facts_alike_composed_and_published(spark, tmp_path):
+    w = copied_rows(spark)
+    details = rows(w["fct_order_details"].groupBy("order_id", "product_id", "shipping_city").count())
+    # o1: two copies of the customer and of the product, two reviews of a product with two rows
+    assert details == [
+        ("o1", "p1", "Austin", 16),
+        ("o1", "p1", "Boston", 16),
+        ("o2", "p2", "Austin", 1),
+        ("o2", "p2", "Boston", 1),
+    ]
+    assert {r.total_orders for r in w["fct_sales_by_product"].collect()} == {1, 2}
+    expected = {name: rows(w[name]) for name in FACTS}
+    built = copied_rows(spark)
+    built.refresh(str(tmp_path))
+    assert {name: rows(built[name]) for name in FACTS} == expected
+
+
 def test_checks_after_a_refresh_read_the_written_files_once(spark, tmp_path):
     composed = rows(two_by_two(spark, "faithful").check(INTERMEDIATE_CHECKS))
     built = two_by_two(spark, "faithful")

@@ -129,3 +129,18 @@ def test_items_meet_orders_and_reviews_where_they_lie(spark, large_plan, skewed)
     df = entry.queries()["order_items"](spark, skewed)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning\(order_id#\d+, product_id#\d+", plan)) == 1
+
+
+def test_items_are_dealt_out_by_one_column(spark, large_plan, skewed):
+    """Not by their whole row to make them distinct, and again by the key of their first join."""
+    for name in ("order_items", "fct_order_details"):
+        plan = entry.queries()[name](spark, skewed)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(order_item_id#" not in plan
+
+
+def test_order_details_group_orders_where_they_meet_customers(spark, large_plan, skewed):
+    df = entry.queries()["fct_order_details"](spark, skewed)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(order_id#\d+, customer_id#\d+, order_date", plan)
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(billing_address#" in line]
+    assert dealt and "address_id" not in plan.split("Exchange hashpartitioning(billing_address#")[1].split("Exchange")[0]
