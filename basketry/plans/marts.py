@@ -504,10 +504,15 @@ def fct_product_interactions(interactions: DataFrame) -> DataFrame:
     )
 
 
+def order_days(orders: DataFrame) -> DataFrame:
+    return orders.select("order_id", F.to_date("order_date").alias("date"))
+
+
 def _dated_items(orders: DataFrame, order_items: DataFrame, *columns: str) -> DataFrame:
-    """Items with the day of their order, once per order row."""
-    days = orders.select("order_id", F.to_date("order_date").alias("date"))
-    return order_items.select("order_id", "product_id", *columns).join(days, "order_id")
+    """Items with the day of their order, once per order row; they may carry it already."""
+    if "date" in order_items.columns:
+        return order_items.select("order_id", "product_id", *columns, "date")
+    return order_items.select("order_id", "product_id", *columns).join(order_days(orders), "order_id")
 
 
 def fct_product_performance(

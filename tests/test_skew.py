@@ -144,3 +144,9 @@ def test_order_details_group_orders_where_they_meet_customers(spark, large_plan,
     assert not re.search(r"hashpartitioning\(order_id#\d+, customer_id#\d+, order_date", plan)
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(billing_address#" in line]
     assert dealt and "address_id" not in plan.split("Exchange hashpartitioning(billing_address#")[1].split("Exchange")[0]
+
+
+def test_sold_items_lie_by_product_when_they_are_grouped(spark, large_plan, skewed):
+    df = entry.queries()["fct_sales_by_product"](spark, skewed)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(product_id#\d+, date#", plan)
