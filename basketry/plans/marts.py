@@ -405,8 +405,7 @@ def fct_order_details(
     (``named_customers``), ``order_items`` those of their product (``described_goods``). Small sides are broadcast by their measured
     size only.
     """
-    if "email" not in orders.columns:
-        orders = orders.join(named_customers(customers, locations), "customer_id")
+    named = ["email", "customer_city", "customer_state"] if "email" in orders.columns else []
     cities = locations.select(
         F.col("location_id").alias("shipping_location_id"),
         F.col("city").alias("shipping_city"),
@@ -424,9 +423,7 @@ def fct_order_details(
             "shipping_cost",
             F.col("total_amount").alias("order_total"),
             "created_at",
-            "email",
-            "customer_city",
-            "customer_state",
+            *named,
         )
         .join(statuses.select("status_id", "status_name"), "status_id", "left")
         .join(
@@ -436,6 +433,8 @@ def fct_order_details(
         )
         .join(cities, "shipping_location_id", "left")
     )
+    if not named:
+        heads = heads.join(named_customers(customers, locations), "customer_id")
     if "product_name" not in order_items.columns:
         order_items = order_items.join(
             described_goods(products, categories, brands).withColumnRenamed("product_id", "_id"),
@@ -523,17 +522,19 @@ def fct_product_performance(
     Items fold to (product, day) first; prices and stock join that small table, and the
     trailing average is one window over it: at most one row per product and day.
     ``total_orders`` counts distinct quantities and the window spans 31 observed days,
-    both as in the results to match.
+    both as in the results to match. Undated items leave after they are grouped: up to there
+    the rows are those of the sales by product.
     """
     daily = (
         _dated_items(orders, order_items, "quantity", "total_price")
-        .filter(F.col("date").isNotNull())
         .groupBy("product_id", "date")
         .agg(
             F.countDistinct("quantity").alias("total_orders"),
             F.sum("quantity").alias("units"),
             F.sum("total_price").alias("sales"),
+            F.count("date").alias("dated"),
         )
+        .filter(F.col("dated") > 0)
     )
     shelf = (
         products.groupBy("product_id")

@@ -401,6 +401,24 @@ def test_checks_on_orphans(spark):
     ]
 
 
+def test_checks_on_the_columns_of_one_grain(spark):
+    """The table is folded on its grain first; copies count as rows, and a key with a NULL is none."""
+    data = [("1", "a"), ("1", "a"), ("2", None), ("2", None), ("3", "gone"), ("3", "gone"), ("3", "b")]
+    facts = spark.createDataFrame(data, "id string, p string")
+    parent = spark.createDataFrame([("a",), ("b",)], "pid string")
+    checks = [
+        Check("facts", "id, p", "grain"),
+        Check("facts", "id", "unique"),
+        Check("facts", "p", "not_null"),
+        Check("facts", "p", "relationships", "parent.pid"),
+        Check("parent", "pid", "unique"),
+    ]
+    report = quality.run_checks({"facts": facts.groupBy("id", "p").count().drop("count"), "parent": parent}, checks)
+    assert [r.failing_rows for r in report.collect()] == [0, 1, 1, 1, 0]
+    report = quality.run_checks({"facts": facts, "parent": parent}, checks)
+    assert [r.failing_rows for r in report.collect()] == [2, 3, 2, 2, 0]
+
+
 def test_two_parents_of_one_column_are_kept_apart(spark):
     child = spark.createDataFrame([("1",), ("2",), ("2",), (None,)], "c string")
     a, b = (spark.createDataFrame([(k,) for k in keys], "k string") for keys in (["1", "2"], ["2", "2"]))

@@ -150,3 +150,18 @@ def test_sold_items_lie_by_product_when_they_are_grouped(spark, large_plan, skew
     df = entry.queries()["fct_sales_by_product"](spark, skewed)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\(product_id#\d+, date#", plan)
+
+
+def test_checks_of_the_marts_build_orders_once(spark, large_plan, skewed):
+    """They read them from Parquet, with the columns asked for; grain keys are not dealt out as hashes."""
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, None)
+    report = entry.queries()["dq_marts"](spark, skewed)
+    assert spark.conf.get(cleanup, None) == before
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(shipping_address#" not in plan and "ExistingRDD" not in plan
+
+
+def test_checks_of_the_marts_on_skewed_tables(spark, large_plan, oracle, skewed):
+    outcome = compare(spark, oracle, "dq_marts", skewed)
+    assert outcome.startswith("ok"), outcome
