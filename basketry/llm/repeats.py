@@ -176,6 +176,18 @@ class Chunk:
         self.least, self.of_hash, self.of_place = self.doc[seen], self.hash[seen], self.place[seen]
         self.hot = is_hot[seen]
 
+    def holders(self, which: np.ndarray, string: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row of ``string``, occurrence) for the occurrences among ``which`` of numbered strings.
+
+        It sorts the chunk's occurrences, so it is asked once for all messages of a chunk.
+        """
+        mine = np.flatnonzero(which)
+        mine = mine[np.argsort(self.number[mine], kind="stable")]
+        low = np.searchsorted(self.number[mine], string, side="left")
+        many = np.searchsorted(self.number[mine], string, side="right") - low
+        row = np.repeat(np.arange(len(string)), many)
+        return row, mine[_ranges(low, many)]
+
     def hot_windows(self) -> tuple[np.ndarray, ...]:
         """Windows of hot strings: (string, offset) of each, its number among the distinct ones;
         of the distinct ones the two hashes and the least document."""
@@ -278,15 +290,17 @@ def _send_strings(buckets: int, parts: int):
         part = chunk.of_hash[cold] % np.uint64(parts)
         order = np.argsort(part, kind="stable")
         part, cold = part[order], cold[order]
+        strings = [chunk.strings[i] for i in cold.tolist()]
+        body = b"".join(strings)
+        size = np.fromiter(map(len, strings), np.uint8, len(strings))
+        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        meta = np.empty(len(cold), _META)
+        meta["hash"], meta["least"], meta["number"] = chunk.of_hash[cold], chunk.least[cold], cold
+        meta["place"] = chunk.of_place[cold]
         edge = _cuts(part)
-        for a, b in zip(edge[:-1], edge[1:], strict=True):
-            mine = cold[a:b]
-            strings = [chunk.strings[i] for i in mine]
-            meta = np.empty(len(mine), _META)
-            meta["hash"], meta["least"], meta["number"] = chunk.of_hash[mine], chunk.least[mine], mine
-            meta["place"] = chunk.of_place[mine]
-            size = np.array([len(s) for s in strings], dtype=np.uint8)
-            out.append((int(part[a]), number, _STRINGS, _pack(b"".join(strings)), _pack(size), _pack(meta), b""))
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            blobs = [_pack(x) for x in (body[ends[a] : ends[b]], size[a:b], meta[a:b])]
+            out.append((int(part[a]), number, _STRINGS, *blobs, b""))
         *_, one, two, least = chunk.hot_windows()
         part = one % np.uint64(parts)
         order = np.argsort(part, kind="stable")
@@ -557,21 +571,13 @@ def _marked(chunk: Chunk, rows: list[dict], buckets: int) -> np.ndarray:
     np.add.at(edge, chunk.start[later & cold], 1)
     np.add.at(edge, chunk.stop[later & cold], -1)
 
-    def first_holders(string: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row of ``string``, occurrence) for the occurrences in the string's least document."""
-        mine = np.flatnonzero(~later & cold)
-        mine = mine[np.argsort(chunk.number[mine], kind="stable")]
-        low = np.searchsorted(chunk.number[mine], string, side="left")
-        many = np.searchsorted(chunk.number[mine], string, side="right") - low
-        row = np.repeat(np.arange(len(string)), many)
-        return row, mine[np.arange(len(row)) + np.repeat(low - (np.cumsum(many) - many), many)]
-
-    for r in rows:
-        if r["kind"] == _RUNS:
-            string, span = _unpack(r["a"], np.uint32).astype(np.int64), _unpack(r["b"], np.uint8).reshape(-1, 2)
-            row, at = first_holders(string)
-            np.add.at(edge, chunk.start[at] + span[row, 0], 1)
-            np.add.at(edge, chunk.start[at] + span[row, 1] + WINDOW, -1)
+    runs = [r for r in rows if r["kind"] == _RUNS]
+    if runs:
+        string = np.concatenate([_unpack(r["a"], np.uint32) for r in runs]).astype(np.int64)
+        span = np.concatenate([_unpack(r["b"], np.uint8) for r in runs]).reshape(-1, 2)
+        row, at = chunk.holders(~later & cold, string)
+        np.add.at(edge, chunk.start[at] + span[row, 0], 1)
+        np.add.at(edge, chunk.start[at] + span[row, 1] + WINDOW, -1)
     string, offset, number, _, _, least = chunk.hot_windows()
     if len(string):
         flagged = np.zeros(len(least), dtype=bool)

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer, models
 
@@ -119,6 +120,36 @@ def test_repeats_with_a_passage_in_a_third_of_all_documents(spark, hot):
     assert removed(got) == Counter(cut(rows))
 
 
+@pytest.mark.parametrize("parts", [1, 40])
+def test_runs_of_all_messages_of_a_chunk_are_placed_at_once(monkeypatch, parts):
+    """However many buckets answer, the chunk's occurrences are sorted once."""
+    rng = random.Random(8)
+    passages = ["".join(rng.choices("abcdefgh ", k=rng.randrange(40, 120))) for _ in range(40)]
+    texts = ["".join(rng.choices(passages, k=8)).encode() for _ in range(20)]
+    ids = list(range(len(texts)))
+    docs = pa.table(
+        [pa.array([0] * len(ids), pa.int64()), pa.array([{"doc_id": i} for i in ids]), pa.array(ids, pa.int64()), pa.array(texts, pa.binary())],
+        names=["chunk", "row", "id", "text"],
+    )
+
+    def in_parts(sent, run):
+        found = [run(sent.filter(pc.equal(sent["part"], part))) for part in sorted(set(sent["part"].to_pylist()))]
+        return pa.concat_tables(found)
+
+    shared = in_parts(repeats._send_minimizers(4, repeats.HOT_DOCS * 9)(docs), repeats._find_shared(8))
+    back = pa.concat_tables([shared, in_parts(repeats._send_strings(4, parts)(docs, shared), repeats._resolve)])
+    asked, holders = [], repeats.Chunk.holders
+    monkeypatch.setattr(repeats.Chunk, "holders", lambda self, *of: asked.append(1) or holders(self, *of))
+    out = repeats._cut(4, False)(docs, back).to_pylist()
+    assert len(asked) == 1 and back.num_rows - shared.num_rows > parts / 2
+    seen, want = set(), []
+    for text in texts:
+        gone = {k for a in range(len(text) - 49) if text[a : a + 50] in seen for k in range(a, a + 50)}
+        want.append(bytes(c for k, c in enumerate(text) if k not in gone))
+        seen |= {text[a : a + 50] for a in range(len(text) - 49)}
+    assert [r["kept"] for r in out] == want
+
+
 def test_merged_transforms_give_shared_prefixes_and_intervals():
     rng = random.Random(8)
     for _ in range(30):
